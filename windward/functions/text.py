@@ -63,13 +63,12 @@ def decimal_comma(c: Column, strict: bool = True) -> Column:
 
 def number_or_null(c: Column) -> Column:
     """A double, or null for text that is no number; NaN counts as missing."""
-    value = c.try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
 
 
 def coordinate(c: Column, part: int, digits: int = 4) -> Column:
     """Latitude (part 0) or longitude (part 1) of 'lat, lon', rounded, or null."""
-    return F.round(number_or_null(F.get(F.split(c, ", "), F.lit(part))), digits)
+    return F.round(number_or_null(F.split_part(c, F.lit(", "), F.lit(part + 1))), digits)
 
 
 def coordinate_key(c: Column) -> Column:

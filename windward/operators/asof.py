@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from windward.operators.lookup import lookup_join
 
 
-def _nearest_reading(
+def nearest_table(
     left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str,
-    payload: list[str], order: list[str], bucket: float,
+    payload: list[str], order: list[str] | None = None, bucket: float = 3600.0,
 ) -> DataFrame:
     """One row per distinct (key, left time): the nearest right reading as ``_hit``.
 
@@ -21,7 +21,6 @@ def _nearest_reading(
     """
     points = (
         left.select(*keys, F.col(left_time).cast("double").alias("_t"))
-        .na.drop()
         .distinct()
         .withColumn("_b", F.floor(F.col("_t") / bucket))
     )
@@ -31,9 +30,9 @@ def _nearest_reading(
             *keys,
             F.col(right_time).cast("double").alias("_t"),
             F.struct(*payload).alias("_p"),
-            F.struct(*order).alias("_o"),
+            F.struct(*(order or payload)).alias("_o"),
         )
-        .na.drop(subset=[*keys, "_t"])
+        .where(F.col("_t").isNotNull())
         .groupBy(*keys, "_t")
         .agg(F.max_by("_p", "_o").alias("_p"))
         .select(
@@ -41,41 +40,33 @@ def _nearest_reading(
             F.struct("_t", "_p").alias("_r"),
         )
     )
+    no_reading = F.lit(None).cast(readings.schema["_r"].dataType).alias("_r")
 
     # One row per key and bucket in use, small enough to scan along each key's time line.
     edges = (
-        points.select(*keys, "_b", F.lit(None).cast(readings.schema["_r"].dataType).alias("_r"))
+        points.select(*keys, "_b", no_reading)
         .unionByName(readings.select(*keys, "_b", "_r"))
         .groupBy(*keys, "_b")
         .agg(
             F.min_by("_r", F.col("_r._t")).alias("_first"),
             F.max_by("_r", F.col("_r._t")).alias("_last"),
+            F.bool_or(F.col("_r").isNull()).alias("_asked"),
         )
     )
     earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy(*keys).orderBy(F.desc("_b")).rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        edges.select(
-            *keys, "_b",
-            F.explode(
-                F.array(
-                    F.last("_last", ignorenulls=True).over(earlier),
-                    F.last("_first", ignorenulls=True).over(later),
-                )
-            ).alias("_r"),
-        )
+        edges.withColumn("_before", F.last("_last", ignorenulls=True).over(earlier))
+        .withColumn("_after", F.last("_first", ignorenulls=True).over(later))
+        .where("_asked")
+        .select(*keys, "_b", F.explode(F.array("_before", "_after")).alias("_r"))
         .where(F.col("_r").isNotNull())
         .select(*keys, "_b", F.col("_r._t").alias("_t"), "_r")
     )
 
     line = (
         readings.unionByName(carried).withColumn("_left", F.lit(0))
-        .unionByName(
-            points.select(
-                *keys, "_b", "_t", F.lit(None).cast(readings.schema["_r"].dataType).alias("_r"),
-                F.lit(1).alias("_left"),
-            )
-        )
+        .unionByName(points.select(*keys, "_b", "_t", no_reading, F.lit(1).alias("_left")))
     )
     up = Window.partitionBy(*keys, "_b").orderBy("_t", "_left")
     down = Window.partitionBy(*keys, "_b").orderBy(F.desc("_t"), "_left")
@@ -100,6 +91,7 @@ def nearest_join(
     order: list[str] | None = None,
     bucket: float = 3600.0,
     suffix: str = "_right",
+    points: DataFrame | None = None,
     left_if_no_match: bool = False,
 ) -> DataFrame:
     """Give each left row the right row nearest in time with the same keys.
@@ -109,18 +101,23 @@ def nearest_join(
     whose key has no reading, or with a null key or time, are dropped (see
     ``unmatched_groups``); with ``left_if_no_match`` all rows stay when no row
     at all found a reading. Times are numbers in one unit; ``bucket`` is in it too.
+
+    ``points`` is a cheaper table with the same keys and times, for a left side
+    that is itself the result of joins.
     """
     payload = [c for c in payload if c not in keys]
-    hits = _nearest_reading(left, right, keys, left_time, right_time, payload, order or payload, bucket)
-    fields = {
-        c: F.col(f"_hit._p.`{c}`").alias(c + suffix if c in left.columns else c) for c in payload
-    }
+    hits = nearest_table(
+        left if points is None else points, right, keys, left_time, right_time, payload, order, bucket
+    )
+    fields = [
+        F.col(f"_hit._p.`{c}`").alias(c + suffix if c in left.columns else c) for c in payload
+    ]
     rows = left.withColumn("_t", F.col(left_time).cast("double"))
-    joined = lookup_join(rows, hits, [*keys, "_t"], "left")
+    joined = lookup_join(rows, hits, [*keys, "_t"])
     found = F.col("_hit").isNotNull()
     if left_if_no_match:
         found = found | (hits.agg(F.count("*")).scalar() == 0)
-    return joined.where(found).select(*left.columns, *fields.values())
+    return joined.where(found).select(*left.columns, *fields)
 
 
 def unmatched_groups(
@@ -134,12 +131,13 @@ def unmatched_groups(
         F.count("*").alias("_rows"), F.count_if(F.col(left_time).isNull()).alias("_no_time")
     )
     known = right.select(*keys).na.drop().distinct().withColumn("_known", F.lit(True))
-    joined = counted.join(known, keys, "left")
+    no_reading = F.col("_known").isNull()
     return (
-        joined.select(
+        counted.join(known, keys, "left")
+        .select(
             *keys,
-            F.when(no_key, "no key").when(F.col("_known").isNull(), "no reading").otherwise("no time").alias("reason"),
-            F.when(no_key | F.col("_known").isNull(), F.col("_rows")).otherwise(F.col("_no_time")).alias("rows_dropped"),
+            F.when(no_key, "no key").when(no_reading, "no reading").otherwise("no time").alias("reason"),
+            F.when(no_key | no_reading, F.col("_rows")).otherwise(F.col("_no_time")).alias("rows_dropped"),
         )
         .where("rows_dropped > 0")
     )

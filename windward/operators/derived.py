@@ -6,29 +6,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windward.functions import metrics, times
-from windward.operators.ranks import rank_within
+from windward.operators.ranks import Rank, with_ranks
 
 
 def segment_times(
     df: DataFrame, date: str = "race_date", start_clock: str = "segment_start_clock",
     end_clock: str = "segment_end_clock",
 ) -> DataFrame:
-    """Start, end (after the midnight fix), mid time and duration of each segment."""
-    day = F.col(date).cast("date")
-    df = df.withColumn("segment_start", times.at_clock(day, F.col(start_clock)))
-    df = df.withColumn(
-        "segment_end",
-        times.past_midnight(F.col("segment_start"), times.at_clock(day, F.col(end_clock))),
-    )
-    start, end = F.col("segment_start"), F.col("segment_end")
-    return df.withColumns({
+    """Start, end (after the midnight fix), mid time and duration of each segment.
+
+    Duration and mid-segment seconds come straight from the clock texts, so a
+    job that needs only those never builds the timestamps.
+    """
+    day, begin, finish = F.col(date).cast("date"), F.col(start_clock), F.col(end_clock)
+    last_day = F.date_add(day, times.rollover(begin, finish))
+    df = df.withColumns({
         "race_year": F.year(day),
         "race_month": F.month(day),
         "race_day": F.dayofmonth(day),
-        "segment_date": start.cast("date"),
-        "segment_mid_clock": F.date_format(times.midpoint(start, end), "HH:mm:ss.SSS"),
-        "segment_time_s": times.seconds_between(start, end),
-        "mid_seconds": times.mid_seconds(start, times.seconds_between(start, end)),
+        "segment_date": day,
+        "segment_start": times.at_clock(day, begin),
+        "segment_end": times.at_clock(last_day, finish),
+        "segment_time_s": times.clock_duration(begin, finish),
+    })
+    return df.withColumns({
+        "mid_seconds": times.mid_seconds(begin, F.col("segment_time_s")),
+        "segment_mid_clock": times.mid_clock(F.col("segment_start"), F.col("segment_time_s")),
     })
 
 
@@ -81,13 +84,17 @@ def wind_ratio(df: DataFrame) -> DataFrame:
 SEGMENT_KEY = ["race_id", "segment_no"]
 
 
-def rank_segment(df: DataFrame, group: list[str] | None = None) -> DataFrame:
-    """Rank by time spent on the segment."""
-    return rank_within(df, group or SEGMENT_KEY, "segment_time_s", "rank_segment", bucket=60.0)
+def segment_ranks(df: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """Rank by time spent on the segment, and by the moment the segment is finished."""
+    group = group or SEGMENT_KEY
+    ended = df.withColumn("_end_us", times.micros(F.col("segment_end")))
+    return with_ranks(
+        ended,
+        Rank("rank_segment", group, "segment_time_s", bucket=60.0),
+        Rank("rank_segment_end", group, "_end_us", bucket=60e6),
+    ).drop("_end_us")
 
 
-def rank_segment_end(df: DataFrame, group: list[str] | None = None) -> DataFrame:
-    """Rank by the moment the segment is finished."""
-    ended = df.withColumn("_end_us", times.micros(F.col("segment_end")))
-    ranked = rank_within(ended, group or SEGMENT_KEY, "_end_us", "rank_segment_end", bucket=60e6)
-    return ranked.drop("_end_us")
+def rank_segment(df: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """Only the rank by time spent on the segment."""
+    return with_ranks(df, Rank("rank_segment", group or SEGMENT_KEY, "segment_time_s", bucket=60.0))

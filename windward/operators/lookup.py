@@ -2,54 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key counts as hot when it holds more than this share of the rows, so there
-# can be at most 1 / HOT_SHARE of them.
-HOT_SHARE = 0.01
-_TRACKED = 4096
-
-
-def hot_keys(rows: DataFrame, keys: list[str]) -> Column:
-    """Hashes of the hot keys: an array of at most 1 / HOT_SHARE entries.
-
-    A frequency sketch over the key columns alone, merged from per-task
-    sketches: it reads no other column and shuffles one sketch per task. A miss
-    or a false hit changes how work is spread, never the result.
-    """
-    top = int(1 / HOT_SHARE)
-    key = ", ".join(f"`{k}`" for k in keys)
-    return (
-        rows.agg(
-            F.expr(f"approx_top_k(xxhash64({key}), {top}, {_TRACKED})").alias("top"),
-            F.count("*").alias("n"),
-        )
-        .select(F.expr(f"transform(filter(top, x -> x.count > n * {HOT_SHARE}), x -> x.item)"))
-        .scalar()
-    )
-
 
 def lookup_join(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join ``rows`` to ``lookup``, which holds one row per key.
+    """Join ``rows`` to ``lookup``, which holds at most one row per key.
 
-    Rows of a hot key are spread over all shuffle partitions by a hash of the
-    whole row (the same in every retry of a task), and that key's one lookup
-    row is repeated for each of them. All other keys join as usual. A lookup
-    small enough by its measured size is broadcast by Spark instead.
+    A lookup that proves small enough is broadcast by Spark, judged by its
+    size. Otherwise both sides are shuffled, and a key with very many rows makes
+    one oversized partition of ``rows``; adaptive execution splits it over as
+    many tasks as its measured size asks for, each with that key's one lookup row.
+
+    Splitting needs a shuffle of its own directly below each side of the join. A
+    lookup aggregated by the same keys would bring its partitioning along instead,
+    so the join also compares a hash of the keys. That costs one more shuffle of
+    the lookup, which is already reduced to one row per key.
     """
-    spread = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     types = dict(rows.dtypes)
     lookup = lookup.withColumns({k: F.col(k).cast(types[k]) for k in keys})
-    is_hot = F.array_contains(hot_keys(rows, keys), F.xxhash64(*keys))
-    salted_rows = rows.withColumn(
-        "_salt",
-        F.when(is_hot, F.pmod(F.xxhash64(*rows.columns), F.lit(spread))).otherwise(F.lit(0)).cast("int"),
-    )
-    salted_lookup = lookup.withColumn(
-        "_salt",
-        F.explode(
-            F.when(is_hot, F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
-        ),
+    hashed = F.hash(*keys)
+    joined = rows.withColumn("_key_hash", hashed).join(
+        lookup.withColumn("_key_hash", hashed), [*keys, "_key_hash"], how
     )
-    return salted_rows.join(salted_lookup, keys + ["_salt"], how).drop("_salt")
+    return joined.drop("_key_hash")

@@ -110,7 +110,7 @@ def grid_search(
         fitted = search.fit(data)
     finally:
         data.unpersist()
-    scored = list(zip(points, fitted.avgMetrics))
+    scored = [(p, float(m)) for p, m in zip(points, fitted.avgMetrics)]
     best, score = max(scored, key=lambda s: s[1])
     return GridResult(fitted.bestModel, best, score, scored, time.time() - started)
 

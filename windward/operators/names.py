@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from windward.operators.lookup import hot_keys, lookup_join
+from windward.operators.lookup import lookup_join
+from windward.session import stage
 
 THRESHOLD = 85
 
@@ -62,6 +63,20 @@ def _max_edits(total_length: str, threshold: int) -> str:
     return f"(({total_length}) * {995 - 10 * threshold} div 1000)"
 
 
+def _common_tokens(parts: DataFrame) -> Column:
+    """Tokens that at least one in a hundred names has: an array of bounded length.
+
+    A frequency sketch merged from one sketch per task. A miss or a false hit
+    changes which piece a name leaves out, never which pairs are found.
+    """
+    return (
+        parts.select(F.explode("tokens").alias("token"), F.col("k"))
+        .agg(F.expr("approx_top_k(token, 500, 8192)").alias("top"), F.sum(1 / F.col("k")).alias("names"))
+        .select(F.expr("transform(filter(top, x -> x.count > names / 100), x -> x.item)"))
+        .scalar()
+    )
+
+
 def _pieces(folds: DataFrame, threshold: int) -> DataFrame:
     """The join tokens of each name as the longer one of a pair."""
     need = f"{_max_edits('2 * n', threshold)} + 1"
@@ -73,13 +88,11 @@ def _pieces(folds: DataFrame, threshold: int) -> DataFrame:
             "substring(f, int(i * n div k) + 1, int((i + 1) * n div k) - int(i * n div k))))"
         ),
     )
-    common = hot_keys(parts.select(F.explode("tokens").alias("token")), ["token"])
-    # hot_keys hashes its key, so compare hashed tokens.
     left_out = F.slice(
-        F.filter("tokens", lambda t: F.array_contains(F.col("common"), F.xxhash64(t))),
+        F.filter("tokens", lambda t: F.array_contains(F.col("common"), t)),
         F.lit(1), F.col("spare").cast("int"),
     )
-    return parts.withColumn("common", common).select(
+    return parts.withColumn("common", _common_tokens(parts)).select(
         F.col("f").alias("b"), F.col("n").alias("n_b"),
         F.explode(F.array_except("tokens", left_out)).alias("token"),
     )
@@ -176,11 +189,15 @@ def canonical_names(names: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 def unify_names(
     df: DataFrame, name: str, order: Column, threshold: int = THRESHOLD
 ) -> DataFrame:
-    """Replace each name by its canonical form."""
+    """Replace each name by its canonical form.
+
+    The map of changed names is written to the shared folder once, so that
+    later steps which read the result several times do not pair names again.
+    """
     changed = canonical_names(distinct_names(df, name, order), threshold).where("name <> canonical")
-    renamed = changed.select(F.col("name").alias(name), "canonical")
+    renamed = stage(changed.select(F.col("name").alias(name), "canonical"), "names")
     return (
-        lookup_join(df, renamed, [name], "left")
+        lookup_join(df, renamed, [name])
         .withColumn(name, F.coalesce("canonical", name))
         .select(*df.columns)
     )

@@ -25,7 +25,8 @@ def fill_from_key(
     """Fill a missing value from the last row (by ``order``) of the same key that has one.
 
     The last value per key is an aggregate that tasks combine before the
-    shuffle; the rows then look it up.
+    shuffle; the rows then look it up. ``df`` is read twice: pass a table or a
+    plan that is cheap to run again.
     """
     known = (
         df.where(F.col(value).isNotNull())

@@ -1,41 +1,63 @@
-"""Ranks inside a race segment."""
+"""Ranks inside a group, counted instead of sorted."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from windward.operators.lookup import lookup_join
 
 
-def rank_within(df: DataFrame, group: list[str], by: str, name: str, bucket: float) -> DataFrame:
-    """Rank (1, 2, 2, 4 ...) of a numeric column inside a group, smallest first.
+@dataclass(frozen=True)
+class Rank:
+    """Rank ``name``: 1, 2, 2, 4 ... by a numeric column inside a group, smallest first."""
+
+    name: str
+    group: list[str]
+    by: str
+    bucket: float
+
+
+def rank_table(df: DataFrame, r: Rank) -> DataFrame:
+    """The rank of each distinct (group, value).
 
     A rank is one plus the rows with a smaller value, so only the counts per
     distinct value are ordered, never the rows: counting happens before the
-    shuffle, a group's values are summed bucket by bucket, and the rows fetch
-    their rank by (group, value). Rows with a null group or value get no rank.
+    shuffle, and a group's counts are summed bucket by bucket, so that no
+    window holds more than one bucket of a group's distinct values.
     """
     counts = (
-        df.select(*group, by).na.drop()
-        .groupBy(*group, by).agg(F.count("*").alias("_n"))
-        .withColumn("_b", F.floor(F.col(by) / bucket))
+        df.where(F.col(r.by).isNotNull())
+        .groupBy(*r.group, r.by).agg(F.count("*").alias("_n"))
+        .withColumn("_b", F.floor(F.col(r.by) / r.bucket))
     )
-    before = Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*r.group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        counts.groupBy(*group, "_b").agg(F.sum("_n").alias("_n"))
+        counts.groupBy(*r.group, "_b").agg(F.sum("_n").alias("_n"))
         .withColumn("_n", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .withColumn(by, F.lit(None).cast(df.schema[by].dataType))
+        .withColumn(r.by, F.lit(None).cast(df.schema[r.by].dataType))
     )
     # The bucket's offset sorts first (null), then its values.
     smaller = (
-        Window.partitionBy(*group, "_b").orderBy(F.asc_nulls_first(by))
+        Window.partitionBy(*r.group, "_b").orderBy(F.asc_nulls_first(r.by))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    ranks = (
+    return (
         counts.unionByName(offsets)
-        .withColumn(name, (F.sum("_n").over(smaller) + 1).cast("int"))
-        .where(F.col(by).isNotNull())
-        .select(*group, by, name)
+        .withColumn(r.name, (F.sum("_n").over(smaller) + 1).cast("int"))
+        .where(F.col(r.by).isNotNull())
+        .select(*r.group, r.by, r.name)
     )
-    return lookup_join(df, ranks, [*group, by], "left").select(*df.columns, name)
+
+
+def with_ranks(df: DataFrame, *ranks: Rank) -> DataFrame:
+    """All ranks, each computed from ``df`` itself and not from the joins of the ones before.
+
+    Rows with a null group or value get no rank.
+    """
+    out = df
+    for r in ranks:
+        out = lookup_join(out, rank_table(df, r), [*r.group, r.by])
+    return out.select(*df.columns, *[r.name for r in ranks])

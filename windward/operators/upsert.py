@@ -30,4 +30,4 @@ def upsert(existing: DataFrame, new: DataFrame, keys: list[str], order: list[Col
 def not_yet_known(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows whose key the output does not hold yet."""
     ids = known.select(key).where(F.col(key).isNotNull()).distinct()
-    return lookup_join(df, ids, [key], "left_anti").select(*df.columns)
+    return lookup_join(df, ids, [key], "left_anti")

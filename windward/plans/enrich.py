@@ -65,11 +65,9 @@ def weather_readings(table: DataFrame) -> DataFrame:
     )
 
 
-def enrich_segments(segments: DataFrame, weather_table: DataFrame, left_if_no_match: bool = True) -> DataFrame:
-    """Times, speeds, nearest weather, and all derived columns of the processed layer."""
-    readings = weather_readings(weather_table)
-    payload = [c for c in readings.columns if c not in PLACE_KEYS]
-    located = (
+def timed_segments(segments: DataFrame) -> DataFrame:
+    """Times, speeds and place keys: column expressions only."""
+    return (
         segments.transform(derived.segment_times)
         .transform(derived.segment_speeds)
         .transform(columns.drop_columns, SUPERSEDED)
@@ -77,17 +75,36 @@ def enrich_segments(segments: DataFrame, weather_table: DataFrame, left_if_no_ma
         .withColumn("lat_key", text.coordinate_key(F.col("lat")))
         .withColumn("lon_key", text.coordinate_key(F.col("lon")))
     )
+
+
+def attach_weather(
+    timed: DataFrame, weather_table: DataFrame, points: DataFrame | None = None,
+    left_if_no_match: bool = False,
+) -> DataFrame:
+    """The weather reading nearest to mid-segment, at the same place and day."""
+    readings = weather_readings(weather_table)
+    payload = [c for c in readings.columns if c not in PLACE_KEYS]
+    return nearest_join(
+        timed, readings, PLACE_KEYS, "mid_seconds", "time_seconds", payload,
+        points=points, left_if_no_match=left_if_no_match, suffix="_weather",
+    ).transform(columns.drop_suffixed, "_weather")
+
+
+def enrich_segments(
+    segments: DataFrame, weather_table: DataFrame, left_if_no_match: bool = False
+) -> DataFrame:
+    """Cleaned segments and hourly weather to the processed layer.
+
+    Ranks and weather are both looked up from the timed segments, so each costs
+    a narrow scan of them and the wide rows are carried through once.
+    """
+    timed = timed_segments(segments)
     return (
-        nearest_join(
-            located, readings, PLACE_KEYS, "mid_seconds", "time_seconds", payload,
-            left_if_no_match=left_if_no_match, suffix="_weather",
-        )
-        .transform(columns.drop_suffixed, "_weather")
+        timed.transform(derived.segment_ranks)
+        .transform(attach_weather, weather_table, timed, left_if_no_match)
         .drop("lat", "lon", "lat_key", "lon_key")
         .transform(derived.course_speeds)
         .transform(derived.distance_diffs)
         .transform(derived.sailing_angle)
         .transform(derived.wind_ratio)
-        .transform(derived.rank_segment)
-        .transform(derived.rank_segment_end)
     )

@@ -137,29 +137,31 @@ def site_location(site: str) -> str:
 
 
 def race_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order as untimed race segments at a site and day."""
-    s = segments(spark, sf_dir).drop("segment_time_s", "segment_start", "wind_speed_kn")
+    """Line items as untimed race segments at a site and day."""
     begin = "(athlete_no * 37 + segment_no * 600) % 86400"
-    clock = "format_string('%02d:%02d:%02d', int({0} div 3600), int({0} % 3600 div 60), int({0} % 60))"
-    took = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("race_id"), F.col("l_linenumber").alias("segment_no"),
-        F.col("l_suppkey").alias("serial_no"), F.col("l_partkey").alias("athlete_no"),
-        "l_extendedprice", "l_discount", "l_quantity",
-    )
-    del s  # the columns below are computed from one scan
+    clock = "date_format(timestamp_seconds({0}), 'HH:mm:ss')"
     length = F.col("l_extendedprice") / 100
-    timed = took.select(
-        "race_id", "segment_no", "serial_no", "athlete_no",
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("race_id"),
+        F.col("l_linenumber").alias("segment_no"),
+        F.col("l_suppkey").alias("serial_no"),
+        F.col("l_partkey").alias("athlete_no"),
         length.alias("segment_length_m"),
         (length * (1 + F.col("l_discount"))).alias("segment_dist_m"),
-        (F.col("athlete_no") % 360).cast("double").alias("heading_deg"),
-        (F.col("serial_no") * 37 % 360).cast("double").alias("wind_dir_site"),
+        (length * 5).alias("total_length_m"),
+        (length * 5 * (1 + F.col("l_tax"))).alias("total_dist_m"),
+        (F.col("l_partkey") % 500).cast("double").alias("total_time_s"),
+        (F.col("l_partkey") % 360).cast("double").alias("heading_deg"),
+        (F.col("l_suppkey") * 37 % 360).cast("double").alias("wind_dir_site"),
+        F.col("l_quantity").cast("bigint").alias("took"),
+    )
+    return rows.select(
+        "*",
         F.expr(site_location(f"(serial_no % {SITES})")).alias("event_location"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("race_id") % (DAYS + 2)).cast("int")).alias("race_date"),
         F.expr(clock.format(begin)).alias("segment_start_clock"),
-        F.expr(clock.format(f"(({begin}) + int(l_quantity) - 1) % 86400")).alias("segment_end_clock"),
-    )
-    return timed.join(courses(spark, sf_dir).drop("course", "event_name"), "race_id")
+        F.expr(clock.format(f"(({begin}) + took - 1) % 86400")).alias("segment_end_clock"),
+    ).drop("took")
 
 
 def weather_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,25 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+# Settings a running session can still take.
+SQL_SETTINGS = {
+    # Zone-less columns become instants in places; all answers are meant in UTC.
+    "spark.sql.session.timeZone": "UTC",
+    # HotSpot does not compile a method beyond 8,000 bytes of byte code. Wide projections
+    # exceed that as one generated method and then run many times slower than operator by operator.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Splitting a skewed join partition is worth a shuffle that follows from it.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def apply_settings(spark: SparkSession) -> SparkSession:
+    for key, value in SQL_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
 
 
 def build_session(
@@ -23,11 +41,9 @@ def build_session(
     """
     builder = (
         SparkSession.builder.appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
     )
@@ -37,7 +53,7 @@ def build_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return apply_settings(builder.getOrCreate())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -57,3 +73,14 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, label: str) -> str:
     """A new sub-folder name of the shared folder, never used before."""
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate table to the shared folder now and go on from there.
+
+    Unlike a cache it survives the loss of an executor.
+    """
+    spark = df.sparkSession
+    path = run_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
