@@ -142,6 +142,22 @@ def importances(spark: SparkSession, model: RandomForestRegressionModel, feature
     return spark.createDataFrame(rows, schema).orderBy(F.desc("importance"), "variable")
 
 
+def run_tables(
+    spark: SparkSession, found: GridResult, metrics: DataFrame, ranked: DataFrame, data: DataFrame
+) -> dict[str, DataFrame]:
+    """The tables of one run: matrix, best point with score and training time, all scores,
+    importances, test metrics."""
+    best = [("best_params", repr(found.best)), ("best_r2", repr(found.best_score)), ("seconds", repr(found.seconds))]
+    scores = [(repr(point), score) for point, score in found.scores]
+    return {
+        "data": data,
+        "best": spark.createDataFrame(best, "name string, value string"),
+        "scores": spark.createDataFrame(scores, "params string, cv_r2 double"),
+        "importances": ranked,
+        "metrics": metrics,
+    }
+
+
 def model_path(root: str, features: list[str], target: str, grid: dict) -> str:
     """A folder name that changes with the feature list, the target and the grid."""
     said = repr((features, target, sorted(grid.items())))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from windward.functions import metrics
 from windward.operators import derived, distributions, features, model, names, profile, weather
 from windward.operators.asof import nearest_join, unmatched_groups
+from windward.operators.lookup import lookup_join
 from windward.plans import enrich
 from windward.plans import standins as s
-from windward.plans.queries_columns import COURSES
+from windward.plans.queries_columns import COURSES, EXTRACTED
 from windward.plans.registry import query
 
 SEG = """(SELECT l_orderkey AS race_id, l_linenumber AS segment_no, l_suppkey AS serial_no, l_partkey AS athlete_no,
@@ -154,36 +156,71 @@ def location_lookup(spark, d):
 
 
 # Common subsequence by rows: each row of the table is a running maximum.
-_NAMES = "(SELECT p_name || ' ' || p_type AS name, min(p_partkey) AS ord FROM part GROUP BY 1)"
-_PAIRS = f"""(SELECT earlier, later, ord_earlier, ord_later, CAST(round(100 * 2.0 * lcs / total) AS INTEGER) AS score
+def _pairs_sql(names_sql: str) -> str:
+    return f"""(SELECT earlier, later, ord_earlier, ord_later, CAST(round(100 * 2.0 * lcs / total) AS INTEGER) AS score
 FROM (SELECT *, length(earlier) + length(later) AS total, list_last(list_reduce(
   list_prepend(list_transform(range(length(later) + 1), lambda z: 0), list_transform(string_split(lower(earlier), ''), lambda ch:
     list_transform(range(length(later) + 1), lambda j: CASE WHEN j > 0 AND substr(lower(later), j, 1) = ch THEN 1 ELSE 0 END))),
   lambda row, eq: list_transform(range(1, length(later) + 2), lambda upto: list_max(list_transform(range(1, upto + 1), lambda j:
     greatest(row[j], CASE WHEN j > 1 THEN row[j - 1] + eq[j] ELSE 0 END)))))) AS lcs
 FROM (SELECT a.name AS earlier, b.name AS later, a.ord AS ord_earlier, b.ord AS ord_later
-  FROM {_NAMES} a JOIN {_NAMES} b ON a.ord < b.ord
+  FROM {names_sql} a JOIN {names_sql} b ON a.ord < b.ord
   WHERE abs(length(a.name) - length(b.name)) <= 0.145 * (length(a.name) + length(b.name))))
 WHERE round(100 * 2.0 * lcs / total) > 85)"""
 
 
+def _canonical_sql(names_sql: str) -> str:
+    return f"""(SELECT later, arg_max(CASE WHEN length(earlier) > length(later) THEN earlier ELSE later END,
+  ord_earlier) AS canonical FROM {_pairs_sql(names_sql)} GROUP BY 1)"""
+
+
+_NAMES = "(SELECT p_name || ' ' || p_type AS name, min(p_partkey) AS ord FROM part GROUP BY 1)"
+
+
 def _part_names(spark, d):
     p = s.table(spark, d, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_type").alias("athlete_name"))
     return p
 
 
-@query(f"SELECT * FROM {_PAIRS}")
+@query(f"SELECT * FROM {_pairs_sql(_NAMES)}")
 def fuzzy_pairs(spark, d):
     return names.similar_pairs(names.distinct_names(_part_names(spark, d), "athlete_name", F.col("p_partkey")))
 
 
-@query(f"""SELECT p_partkey, coalesce(canonical, p_name || ' ' || p_type) AS athlete_name FROM part LEFT JOIN (
-  SELECT later, arg_max(CASE WHEN length(earlier) > length(later) THEN earlier ELSE later END, ord_earlier) AS canonical
-  FROM {_PAIRS} GROUP BY 1) ON later = p_name || ' ' || p_type""")
+@query(f"""SELECT p_partkey, coalesce(canonical, p_name || ' ' || p_type) AS athlete_name FROM part
+LEFT JOIN {_canonical_sql(_NAMES)} ON later = p_name || ' ' || p_type""")
 def fuzzy_canonical(spark, d):
     return names.unify_names(_part_names(spark, d), "athlete_name", F.col("p_partkey"))
 
 
+_SAILED = f"""(SELECT l_orderkey AS race_id, l_linenumber AS segment_no, l_suppkey AS serial_no, l_partkey AS athlete_no,
+  (l_orderkey * 10 + l_linenumber) * 10000000 + l_partkey AS o, p_name || ' ' || p_type AS name, e.sex, e.age_class,
+  e.course FROM lineitem JOIN part ON p_partkey = l_partkey JOIN {EXTRACTED} e ON e.race_id = l_orderkey
+  WHERE (e.raw IS NULL OR NOT regexp_matches(e.raw, 'abandon|recall', 'i'))
+    AND (e.event_name <> 'EVENT 3' OR coalesce(regexp_matches(e.raw, 'IQFOIL', 'i'), FALSE)))"""
+
+
+@query(f"""WITH sailed AS {_SAILED},
+names AS (SELECT name, min(o) AS ord FROM sailed GROUP BY 1), canon AS {_canonical_sql("names")},
+unified AS (SELECT s.*, coalesce(canonical, name) AS athlete_name FROM sailed s LEFT JOIN canon ON later = name),
+known AS (SELECT serial_no AS ks, athlete_name AS kn, arg_max(age_class, o) AS last FROM unified
+  WHERE age_class IS NOT NULL GROUP BY 1, 2)
+SELECT race_id, segment_no, serial_no, athlete_no, athlete_name, course, sex,
+  coalesce(age_class, last, 'Senior') AS age_class
+FROM unified LEFT JOIN known ON ks = serial_no AND kn = athlete_name""")
+def cleaned_segments(spark, d):
+    """Names unified, excluded runs out, profile extracted and completed, in one plan."""
+    sailed = lookup_join(
+        s.segments(spark, d).select(*ID),
+        _part_names(spark, d).withColumnRenamed("p_partkey", "athlete_no"), ["athlete_no"], "inner",
+    )
+    race = s.courses(spark, d).select("race_id", "event_name", "course")
+    order = (F.col("race_id") * 10 + F.col("segment_no")) * 10_000_000 + F.col("athlete_no")
+    return enrich.clean_segments(
+        lookup_join(sailed, race, ["race_id"], "inner"), order, rules={"EVENT 3": "IQFOIL"}
+    ).select(*ID, "athlete_name", "course", "sex", "age_class")
+
+
 # ---------------------------------------------------------------- places and hours
 
 _VISITS = """(SELECT user_id % 25 * 1.11111::DOUBLE AS la, user_id % 25 * 0.5::DOUBLE AS lo, ts AS a,
@@ -407,9 +444,9 @@ def model_matrix(spark, d):
 
 
 VALUES = {
-    "sex": ["Men", "Women"], "age_class": ["U17", "U19"],
-    "point_of_sail": [label for _, label in sorted((v, v) for v in dict.fromkeys(
-        ["Vent debout", "Allures remontantes", "Reaching", "Allures portantes", "Vent arrière"]))],
+    "sex": ["Men", "Women"],
+    "age_class": features.AGE_CLASSES,
+    "point_of_sail": sorted(label for _, label in metrics.POINTS_OF_SAIL),
 }
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from windward.operators.upsert import keep_last
+from windward.sources.tables import read_table
 
 BATCH = "batch_id"
 
@@ -22,11 +23,10 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 def read_batches(spark: SparkSession, path: str, schema: T.StructType, before: int | None = None) -> DataFrame:
     """All batches, or those before a batch; an absent table reads as empty."""
     full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop_path):
+    try:
+        df = read_table(spark, path, full, basePath=path)
+    except FileNotFoundError:
         return spark.createDataFrame([], full)
-    df = spark.read.schema(full).option("basePath", path).parquet(path)
     return df if before is None else df.where(F.col(BATCH) < before)
 
 
