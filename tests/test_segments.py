@@ -105,6 +105,21 @@ def test_clean_and_enrich_end_to_end(spark):
     assert missing <= {"total_efficiency_pct", "segment_efficiency_pct", "port_pct", "starboard_pct"}
 
 
+def test_ranks_count_only_segments_with_weather(spark):
+    timed = landed(spark).where("o <= 2").withColumn(
+        "event_location", F.when(F.col("o") == 2, "1.0, 1.0").otherwise(F.col("event_location"))
+    )
+    out = enrich.enrich_segments(timed, readings(spark, ("10:00:00", 20.0, 8.0))).collect()
+    assert [(r["o"], r["rank_segment"], r["rank_segment_end"]) for r in out] == [(1, 1, 1)]
+
+
+def test_segments_stay_when_there_is_no_weather_at_all(spark):
+    out = enrich.enrich_segments(landed(spark), readings(spark).where("false"), left_if_no_match=True)
+    assert out.count() == 5 and out.where("temperature_c is not null").count() == 0
+    some = enrich.enrich_segments(landed(spark), readings(spark, ("10:00:00", 20.0, 8.0)), left_if_no_match=True)
+    assert some.count() == 4
+
+
 def test_weather_hours_cover_the_midnight_end(spark):
     hours = enrich.weather_hours(landed(spark))
     assert {str(r[0]) for r in hours.select("day").distinct().collect()} == {"2024-05-01", "2024-05-02"}

@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 
 from windward.operators.lookup import lookup_join
 
+# With clocks to the microsecond a minute holds at most 6e7 distinct times, with
+# clocks to the half second 120: the most a window can be given.
+BUCKET_S = 60.0
+
 
 def nearest_table(
     left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str,
-    payload: list[str], order: list[str] | None = None, bucket: float = 3600.0,
+    payload: list[str], order: list[str] | None = None, bucket: float = BUCKET_S,
 ) -> DataFrame:
     """One row per distinct (key, left time): the nearest right reading as ``_hit``.
 
@@ -89,7 +93,7 @@ def nearest_join(
     right_time: str,
     payload: list[str],
     order: list[str] | None = None,
-    bucket: float = 3600.0,
+    bucket: float = BUCKET_S,
     suffix: str = "_right",
     points: DataFrame | None = None,
     left_if_no_match: bool = False,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from windward.functions import text, times
 from windward.operators import columns, derived, filters, names, profile, upsert, weather
 from windward.operators.asof import nearest_join
+from windward.operators.lookup import lookup_join
 from windward.schemas import require_columns
 from windward.sources import race_xml
 from windward.sources.tables import typed_segments
@@ -77,6 +78,19 @@ def timed_segments(segments: DataFrame) -> DataFrame:
     )
 
 
+def covered_segments(
+    timed: DataFrame, weather_table: DataFrame, left_if_no_match: bool = False
+) -> DataFrame:
+    """Segments at a place and day with weather; all of them if none is and the option says so."""
+    places = weather_readings(weather_table).select(*PLACE_KEYS).na.drop().distinct()
+    covered = lookup_join(timed.where(F.col("mid_seconds").isNotNull()), places, PLACE_KEYS, "left_semi")
+    if not left_if_no_match:
+        return covered
+    asked = timed.where(F.col("mid_seconds").isNotNull()).select(*PLACE_KEYS).distinct()
+    met = lookup_join(asked, places, PLACE_KEYS, "left_semi").agg(F.count("*")).scalar()
+    return covered.unionByName(timed.where(met == 0))
+
+
 def attach_weather(
     timed: DataFrame, weather_table: DataFrame, points: DataFrame | None = None,
     left_if_no_match: bool = False,
@@ -95,13 +109,14 @@ def enrich_segments(
 ) -> DataFrame:
     """Cleaned segments and hourly weather to the processed layer.
 
-    Ranks and weather are both looked up from the timed segments, so each costs
+    Segments without weather drop out first, so ranks count only the others.
+    Ranks and weather are both looked up from the covered segments, so each costs
     a narrow scan of them and the wide rows are carried through once.
     """
-    timed = timed_segments(segments)
+    covered = covered_segments(timed_segments(segments), weather_table, left_if_no_match)
     return (
-        timed.transform(derived.segment_ranks)
-        .transform(attach_weather, weather_table, timed, left_if_no_match)
+        covered.transform(derived.segment_ranks)
+        .transform(attach_weather, weather_table, covered, left_if_no_match)
         .drop("lat", "lon", "lat_key", "lon_key")
         .transform(derived.course_speeds)
         .transform(derived.distance_diffs)

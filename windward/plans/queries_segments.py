@@ -99,7 +99,7 @@ def enriched_segments(spark, d):
     )
 
 
-@query(f"""SELECT wind_bin, point_of_sail, count(*) AS n, sum(CAST(round(segment_vmc_kn, 4) AS DECIMAL(18,4))) AS sum_vmc
+@query(f"""SELECT wind_bin, point_of_sail, count(*) AS n, CAST(sum(CAST(round(segment_vmc_kn, 4) AS DECIMAL(18,4))) AS DOUBLE) AS sum_vmc
 FROM (SELECT *, CAST(floor(wind_speed_kn / 2) * 2 AS INTEGER) AS wind_bin FROM {ENRICHED})
 WHERE wind_speed_kn >= 6 AND segment_vmc_kn IS NOT NULL GROUP BY 1, 2""")
 def vmc_by_wind(spark, d):
@@ -112,7 +112,7 @@ def vmc_by_wind(spark, d):
     )
     exact = F.round("segment_vmc_kn", 4).cast("decimal(18,4)")
     return rows.groupBy("wind_bin", "point_of_sail").agg(
-        F.count("*").alias("n"), F.sum(exact).alias("sum_vmc")
+        F.count("*").alias("n"), F.sum(exact).cast("double").alias("sum_vmc")
     )
 
 
@@ -336,11 +336,13 @@ def _sailing(spark, d, **kw):
 
 @query(f"""SELECT {_ID}, wind_speed_kn, CAST(floor(wind_speed_kn / 2) * 2 AS INTEGER) AS wind_bin,
 CASE WHEN wind_speed_kn < (SELECT ceil(max(wind_speed_kn) / 2) * 2 FROM {SEG})
-  THEN CAST(floor(wind_speed_kn / 2) * 2 AS INTEGER) END AS strict_bin FROM {SEG}""")
+  THEN floor(wind_speed_kn / 2) * 2 END AS strict_bin FROM {SEG}""")
 def wind_bin(spark, d):
     seg = s.segments(spark, d).select(*ID, "wind_speed_kn")
-    strict = distributions.with_wind_bin(seg, strict_edges=True).withColumnRenamed("wind_bin", "strict_bin")
-    return distributions.with_wind_bin(strict)
+    strict = distributions.with_wind_bin(seg, strict_edges=True)
+    return distributions.with_wind_bin(
+        strict.withColumn("strict_bin", F.col("wind_bin").cast("double")).drop("wind_bin")
+    )
 
 
 @query(f"""SELECT wind_bin, point_of_sail, CAST(floor(segment_speed_kn) AS INTEGER) AS speed_lo, count(*) AS n
