@@ -83,8 +83,9 @@ def test_clock_arithmetic(spark):
     df = spark.createDataFrame(
         [("23:50:00", "00:10:30"), ("10:00:00", "10:00:00"), ("10:00:00", None), ("x", "10:00:00")], "a string, b string"
     )
-    d = times.clock_duration(F.col("a"), F.col("b"))
-    got = df.select(d, times.mid_seconds(F.col("a"), d)).collect()
+    a, b = times.clock_micros(F.col("a")), times.clock_micros(F.col("b"))
+    d = times.duration_us(a, b)
+    got = df.select(d / 1e6, times.mid_seconds(a, d)).collect()
     assert got[0] == (1230.0, 85800 + 615.0)  # beyond midnight it is not wrapped
     assert got[1] == (0.0, 36000.0)
     assert got[2] == (None, None) and got[3] == (None, None)
@@ -98,7 +99,7 @@ def test_date_from_parts(spark):
 
 def test_at_clock(spark):
     df = spark.createDataFrame([(date(2024, 5, 1), "08:09:10.5"), (None, "08:00:00")], "d date, c string")
-    got = [r[0] for r in df.select(times.at_clock(F.col("d"), F.col("c"))).collect()]
+    got = [r[0] for r in df.select(times.at_clock(F.col("d"), times.clock_micros(F.col("c")))).collect()]
     assert got == [datetime(2024, 5, 1, 8, 9, 10, 500000), None]
 
 

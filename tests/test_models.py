@@ -46,7 +46,7 @@ def test_presets_name_their_columns():
 
 def test_too_many_categories_is_an_error(spark):
     with pytest.raises(ValueError, match="no category"):
-        features.categories(spark.range(20), "id", most=10)
+        features.categories(spark.range(20), ["id"], most=10)
 
 
 def test_split_is_the_same_in_any_order(spark):

@@ -18,21 +18,27 @@ def segment_times(
     Duration and mid-segment seconds come straight from the clock texts, so a
     job that needs only those never builds the timestamps.
     """
-    day, begin, finish = F.col(date).cast("date"), F.col(start_clock), F.col(end_clock)
-    last_day = F.date_add(day, times.rollover(begin, finish))
+    day = F.col(date).cast("date")
+    df = df.withColumns({
+        "_start_us": times.clock_micros(F.col(start_clock)),
+        "_end_us": times.clock_micros(F.col(end_clock)),
+    })
+    begin, finish = F.col("_start_us"), F.col("_end_us")
     df = df.withColumns({
         "race_year": F.year(day),
         "race_month": F.month(day),
         "race_day": F.dayofmonth(day),
         "segment_date": day,
         "segment_start": times.at_clock(day, begin),
-        "segment_end": times.at_clock(last_day, finish),
-        "segment_time_s": times.clock_duration(begin, finish),
+        "segment_end": times.at_clock(day, finish + times.rollover(begin, finish)),
+        "_took_us": times.duration_us(begin, finish),
     })
+    took = F.col("_took_us")
     return df.withColumns({
-        "mid_seconds": times.mid_seconds(begin, F.col("segment_time_s")),
-        "segment_mid_clock": times.mid_clock(F.col("segment_start"), F.col("segment_time_s")),
-    })
+        "segment_time_s": took / 1e6,
+        "mid_seconds": times.mid_seconds(begin, took),
+        "segment_mid_clock": times.mid_clock(F.col("segment_start"), took),
+    }).drop("_start_us", "_end_us", "_took_us")
 
 
 def segment_speeds(df: DataFrame) -> DataFrame:
@@ -84,15 +90,25 @@ def wind_ratio(df: DataFrame) -> DataFrame:
 SEGMENT_KEY = ["race_id", "segment_no"]
 
 
-def segment_ranks(df: DataFrame, group: list[str] | None = None) -> DataFrame:
-    """Rank by time spent on the segment, and by the moment the segment is finished."""
+def finish_micros(df: DataFrame) -> DataFrame:
+    return df.withColumn("_finish_us", times.micros(F.col("segment_end")))
+
+
+def segment_ranks(
+    df: DataFrame, group: list[str] | None = None, base: DataFrame | None = None
+) -> DataFrame:
+    """Rank by time spent on the segment, and by the moment the segment is finished.
+
+    ``base`` is a cheaper table of the same rows with the group, ``segment_time_s``
+    and ``_finish_us``.
+    """
     group = group or SEGMENT_KEY
-    ended = df.withColumn("_end_us", times.micros(F.col("segment_end")))
     return with_ranks(
-        ended,
+        finish_micros(df),
         Rank("rank_segment", group, "segment_time_s", bucket=60.0),
-        Rank("rank_segment_end", group, "_end_us", bucket=60e6),
-    ).drop("_end_us")
+        Rank("rank_segment_end", group, "_finish_us", bucket=60e6),
+        base=base,
+    ).drop("_finish_us")
 
 
 def rank_segment(df: DataFrame, group: list[str] | None = None) -> DataFrame:

@@ -71,12 +71,16 @@ def circular_encode(df: DataFrame, column: str) -> DataFrame:
     return df.withColumns({f"{column}_sin": F.sin(angle), f"{column}_cos": F.cos(angle)}).drop(column)
 
 
-def categories(df: DataFrame, column: str, most: int = MAX_CATEGORIES) -> list:
-    """Observed values of a category column, sorted. More than ``most`` is an error."""
-    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
+def categories(df: DataFrame, columns: list[str], most: int = MAX_CATEGORIES) -> dict[str, list]:
+    """Observed values of category columns, sorted, found in one pass.
+
+    More than ``most`` in all is an error, so what reaches the driver is bounded.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]))
+    found = df.select(pairs.alias("p")).select("p.*").where("v is not null").distinct().limit(most + 1).collect()
     if len(found) > most:
-        raise ValueError(f"{column} has more than {most} values; it is no category")
-    return sorted(r[0] for r in found)
+        raise ValueError(f"{columns} have more than {most} values; that is no category")
+    return {c: sorted(r["v"] for r in found if r["c"] == c) for c in columns}
 
 
 def one_hot(df: DataFrame, values: dict[str, list]) -> DataFrame:
@@ -119,7 +123,7 @@ def model_matrix(
     else:
         data = data.na.drop(subset=[*p.numeric, *p.angles, p.target])
     if values is None:
-        values = {c: categories(data, c) for c in p.categorical}
+        values = categories(data, p.categorical)
     for angle in p.angles:
         data = circular_encode(data, angle)
     return one_hot(data, values).drop(*p.unused)

@@ -52,12 +52,13 @@ def rank_table(df: DataFrame, r: Rank) -> DataFrame:
     )
 
 
-def with_ranks(df: DataFrame, *ranks: Rank) -> DataFrame:
+def with_ranks(df: DataFrame, *ranks: Rank, base: DataFrame | None = None) -> DataFrame:
     """All ranks, each computed from ``df`` itself and not from the joins of the ones before.
 
-    Rows with a null group or value get no rank.
+    ``base`` is a cheaper table of the same rows to count. Rows with a null
+    group or value get no rank.
     """
     out = df
     for r in ranks:
-        out = lookup_join(out, rank_table(df, r), [*r.group, r.by])
+        out = lookup_join(out, rank_table(df if base is None else base, r), [*r.group, r.by])
     return out.select(*df.columns, *[r.name for r in ranks])

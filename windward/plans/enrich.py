@@ -10,6 +10,7 @@ from windward.operators import columns, derived, filters, names, profile, upsert
 from windward.operators.asof import nearest_join
 from windward.operators.lookup import lookup_join
 from windward.schemas import require_columns
+from windward.session import stage
 from windward.sources import race_xml
 from windward.sources.tables import typed_segments
 
@@ -110,13 +111,20 @@ def enrich_segments(
     """Cleaned segments and hourly weather to the processed layer.
 
     Segments without weather drop out first, so ranks count only the others.
-    Ranks and weather are both looked up from the covered segments, so each costs
-    a narrow scan of them and the wide rows are carried through once.
+    Keys, times and durations are written once as a narrow table; ranks and
+    weather are looked up from it, and the wide rows are computed and carried
+    through once.
     """
     covered = covered_segments(timed_segments(segments), weather_table, left_if_no_match)
+    narrow = stage(
+        derived.finish_micros(covered).select(
+            *derived.SEGMENT_KEY, *PLACE_KEYS, "mid_seconds", "segment_time_s", "_finish_us"
+        ),
+        "segment-times",
+    )
     return (
-        covered.transform(derived.segment_ranks)
-        .transform(attach_weather, weather_table, covered, left_if_no_match)
+        covered.transform(derived.segment_ranks, base=narrow)
+        .transform(attach_weather, weather_table, narrow, left_if_no_match)
         .drop("lat", "lon", "lat_key", "lon_key")
         .transform(derived.course_speeds)
         .transform(derived.distance_diffs)

@@ -380,7 +380,7 @@ CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS kind_signup,
 CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS kind_view FROM events""")
 def one_hot(spark, d):
     e = s.table(spark, d, "events").select("event_id", F.nullif("event_type", F.lit("error")).alias("kind"))
-    return features.one_hot(e, {"kind": features.categories(e, "kind")})
+    return features.one_hot(e, features.categories(e, ["kind"]))
 
 
 _HASH = "('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '{}'), 1, 8))::BIGINT"
