@@ -90,24 +90,14 @@ def wind_ratio(df: DataFrame) -> DataFrame:
 SEGMENT_KEY = ["race_id", "segment_no"]
 
 
-def finish_micros(df: DataFrame) -> DataFrame:
-    return df.withColumn("_finish_us", times.micros(F.col("segment_end")))
-
-
-def segment_ranks(
-    df: DataFrame, group: list[str] | None = None, base: DataFrame | None = None
-) -> DataFrame:
-    """Rank by time spent on the segment, and by the moment the segment is finished.
-
-    ``base`` is a cheaper table of the same rows with the group, ``segment_time_s``
-    and ``_finish_us``.
-    """
+def segment_ranks(df: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """Rank by time spent on the segment, and by the moment the segment is finished."""
     group = group or SEGMENT_KEY
+    finished = df.withColumn("_finish_us", times.micros(F.col("segment_end")))
     return with_ranks(
-        finish_micros(df),
+        finished,
         Rank("rank_segment", group, "segment_time_s", bucket=60.0),
         Rank("rank_segment_end", group, "_finish_us", bucket=60e6),
-        base=base,
     ).drop("_finish_us")
 
 

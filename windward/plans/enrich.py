@@ -79,19 +79,6 @@ def timed_segments(segments: DataFrame) -> DataFrame:
     )
 
 
-def covered_segments(
-    timed: DataFrame, weather_table: DataFrame, left_if_no_match: bool = False
-) -> DataFrame:
-    """Segments at a place and day with weather; all of them if none is and the option says so."""
-    places = weather_readings(weather_table).select(*PLACE_KEYS).na.drop().distinct()
-    covered = lookup_join(timed.where(F.col("mid_seconds").isNotNull()), places, PLACE_KEYS, "left_semi")
-    if not left_if_no_match:
-        return covered
-    asked = timed.where(F.col("mid_seconds").isNotNull()).select(*PLACE_KEYS).distinct()
-    met = lookup_join(asked, places, PLACE_KEYS, "left_semi").agg(F.count("*")).scalar()
-    return covered.unionByName(timed.where(met == 0))
-
-
 def attach_weather(
     timed: DataFrame, weather_table: DataFrame, points: DataFrame | None = None,
     left_if_no_match: bool = False,
@@ -105,26 +92,33 @@ def attach_weather(
     ).transform(columns.drop_suffixed, "_weather")
 
 
+def covered_segments(
+    timed: DataFrame, weather_table: DataFrame, left_if_no_match: bool = False
+) -> DataFrame:
+    """Segments at a place and day with weather; all of them if none is and the option says so."""
+    places = weather_readings(weather_table).select(*PLACE_KEYS).na.drop().distinct()
+    covered = lookup_join(timed, places, PLACE_KEYS, "left_semi")
+    if not left_if_no_match:
+        return covered
+    met = lookup_join(timed.select(*PLACE_KEYS).distinct(), places, PLACE_KEYS, "left_semi")
+    return covered.unionByName(timed.where(met.agg(F.count("*")).scalar() == 0))
+
+
 def enrich_segments(
     segments: DataFrame, weather_table: DataFrame, left_if_no_match: bool = False
 ) -> DataFrame:
     """Cleaned segments and hourly weather to the processed layer.
 
-    Segments without weather drop out first, so ranks count only the others.
-    Keys, times and durations are written once as a narrow table; ranks and
-    weather are looked up from it, and the wide rows are computed and carried
-    through once.
+    The timed segments are written once, so that texts are parsed once; ranks
+    and weather are then looked up from narrow scans of that table, and the wide rows
+    are read once. Segments without weather drop out first, so ranks count
+    only the others.
     """
-    covered = covered_segments(timed_segments(segments), weather_table, left_if_no_match)
-    narrow = stage(
-        derived.finish_micros(covered).select(
-            *derived.SEGMENT_KEY, *PLACE_KEYS, "mid_seconds", "segment_time_s", "_finish_us"
-        ),
-        "segment-times",
-    )
+    timed = stage(timed_segments(segments), "timed")
+    covered = covered_segments(timed, weather_table, left_if_no_match)
     return (
-        covered.transform(derived.segment_ranks, base=narrow)
-        .transform(attach_weather, weather_table, narrow, left_if_no_match)
+        covered.transform(derived.segment_ranks)
+        .transform(attach_weather, weather_table, timed, left_if_no_match)
         .drop("lat", "lon", "lat_key", "lon_key")
         .transform(derived.course_speeds)
         .transform(derived.distance_diffs)

@@ -12,6 +12,7 @@ from windward.plans import enrich
 from windward.plans import standins as s
 from windward.plans.queries_columns import COURSES, EXTRACTED
 from windward.plans.registry import query
+from windward.session import stage
 
 SEG = """(SELECT l_orderkey AS race_id, l_linenumber AS segment_no, l_suppkey AS serial_no, l_partkey AS athlete_no,
   l_extendedprice / 100 AS segment_length_m, l_extendedprice / 100 * (1 + l_discount) AS segment_dist_m,
@@ -104,8 +105,11 @@ FROM (SELECT *, CAST(floor(wind_speed_kn / 2) * 2 AS INTEGER) AS wind_bin FROM {
 WHERE wind_speed_kn >= 6 AND segment_vmc_kn IS NOT NULL GROUP BY 1, 2""")
 def vmc_by_wind(spark, d):
     """VMC per wind bin and point of sail, of segments with their nearest weather: the flagship query."""
+    timed = enrich.timed_segments(s.race_segments(spark, d)).select(
+        *enrich.PLACE_KEYS, "mid_seconds", "segment_speed_kn", "segment_vmc_kn", "wind_dir_site", "heading_deg"
+    )
     rows = (
-        enrich.timed_segments(s.race_segments(spark, d))
+        stage(timed, "timed")
         .transform(enrich.attach_weather, s.weather_table(spark, d))
         .transform(derived.sailing_angle)
         .transform(distributions.sailing_rows)
