@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from windward.llm import sharding
+from windward.llm import decontaminate, sharding
 from windward.llm.common import documents, table
 from windward.plans.registry import query
 
@@ -13,3 +13,9 @@ from windward.plans.registry import query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of eight shards that all match the mixture of sources."""
     return sharding.shard_documents(documents(spark, sf_dir))
+
+
+@query()
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its words inside benchmark passages."""
+    return decontaminate.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
