@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from windward.llm import decontaminate, sharding
+from windward.llm import decontaminate, pii, sharding
 from windward.llm.common import documents, table
 from windward.plans.registry import query
 
@@ -19,3 +19,9 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its words inside benchmark passages."""
     return decontaminate.contamination(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its spans of personal data."""
+    return pii.personal_data(documents(spark, sf_dir))

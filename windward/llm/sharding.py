@@ -8,13 +8,22 @@ from pyspark.sql import functions as F
 from windward.operators.lookup import lookup_join
 from windward.session import stage
 
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 2_000
+STRETCH = 4096
 
 
-def _offsets(counts: DataFrame, by: list[str], order: str) -> DataFrame:
-    """Rows before each bucket, within its stratum."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+def before_each(counts: DataFrame, by: list[str], order: str, n: str, out: str) -> DataFrame:
+    """Adds ``out``: the sum of ``n`` over smaller ``order`` (whole numbers), within ``by``.
+
+    Two levels: windows over stretches of ``STRETCH`` values, and over the
+    stretches' sums, so no window holds all values of a long series.
+    """
+    cut = counts.withColumn("_k", F.expr(f"{order} div {STRETCH}"))
+    inner = Window.partitionBy(*by, "_k").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    outer = Window.partitionBy(*by).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    sums = cut.groupBy(*by, "_k").agg(F.sum(n).alias("_sum")).withColumn("_base", F.coalesce(F.sum("_sum").over(outer), F.lit(0)))
+    inside = cut.withColumn("_in", F.coalesce(F.sum(n).over(inner), F.lit(0)))
+    return lookup_join(inside, sums.drop("_sum"), [*by, "_k"]).withColumn(out, F.col("_base") + F.col("_in")).drop("_k", "_base", "_in")
 
 
 def interleaved_position(rows: DataFrame, stratum: str, order: list[Column], seed: int = 42) -> DataFrame:
@@ -35,14 +44,14 @@ def interleaved_position(rows: DataFrame, stratum: str, order: list[Column], see
                               "_b": F.pmod(F.shiftrightunsigned("_u", 3), F.lit(buckets))})
     counts = keyed.groupBy("_s", "_b").agg(F.count("*").alias("_n"))
     sizes = counts.groupBy("_s").agg(F.sum("_n").alias("_size"))
-    offsets = lookup_join(_offsets(counts, ["_s"], "_b"), sizes, ["_s"]).drop("_n")
+    offsets = lookup_join(before_each(counts, ["_s"], "_b", "_n", "_before"), sizes, ["_s"]).drop("_n")
     inside = Window.partitionBy("_s", "_b").orderBy("_u", *order)
     ranked = lookup_join(keyed.withColumn("_r", F.row_number().over(inside)), offsets, ["_s", "_b"])
     ranked = ranked.withColumn("_f", (F.col("_before") + F.col("_r") - 0.5) / F.col("_size")).drop("_b", "_r", "_before", "_size")
     placed = stage(ranked.withColumn("_fb", F.least(F.floor(F.col("_f") * buckets), F.lit(buckets - 1))), "interleave")
-    before = _offsets(placed.groupBy("_fb").agg(F.count("*").alias("_n")).withColumn("_one", F.lit(1)), ["_one"], "_fb")
+    before = before_each(placed.groupBy("_fb").agg(F.count("*").alias("_n")), [], "_fb", "_n", "_before")
     at = Window.partitionBy("_fb").orderBy("_f", "_s", "_u", *order)
-    out = lookup_join(placed.withColumn("_r", F.row_number().over(at)), before.drop("_n", "_one"), ["_fb"])
+    out = lookup_join(placed.withColumn("_r", F.row_number().over(at)), before.drop("_n"), ["_fb"])
     return out.withColumns({"position": F.col("_before") + F.col("_r") - 1, "total": F.lit(total).cast("long")}).drop(
         "_u", "_s", "_f", "_fb", "_before", "_r")
 
