@@ -60,6 +60,12 @@ def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) - np.repeat(starts_of(lengths) - starts, lengths)
 
 
+def factor(words: list[str]) -> tuple[np.ndarray, list[str]]:
+    """Numbers for words by first occurrence, and the distinct words."""
+    coded = pa.array(words, pa.large_string()).dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+
+
 def pieces(batches: Iterable[pa.RecordBatch], text_col: str, most: int) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``most`` bytes of text; a longer text stands alone."""
     for batch in batches:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from windward.llm import decontaminate, pii, sharding
+from windward.llm import bpe, decontaminate, pii, sharding, tokencounts
 from windward.llm.common import documents, table
 from windward.plans.registry import query
 
@@ -25,3 +25,15 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its spans of personal data."""
     return pii.personal_data(documents(spark, sf_dir))
+
+
+@query()
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents by language and encoded length, with the sums that answer every context limit."""
+    return tokencounts.length_histogram(documents(spark, sf_dir))
+
+
+@query()
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document encoded and decoded again."""
+    return bpe.round_trip(documents(spark, sf_dir))
