@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,7 +70,7 @@ def factor(words: list[str]) -> tuple[np.ndarray, list[str]]:
 def pieces(batches: Iterable[pa.RecordBatch], text_col: str, most: int) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``most`` bytes of text; a longer text stands alone."""
     for batch in batches:
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(text_col)), 0))
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text_col)), 0))
         part = np.cumsum(sizes) // most
         cuts = np.flatnonzero(np.diff(part)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):

@@ -15,8 +15,13 @@ GRAM = 5
 _PLACE = 30  # low bits of a ranked gram that hold its position
 
 
+# Characters other than A-Z that lower() would change; without any, lower() is the A-Z folding and much faster.
+OTHER_UPPER = r"[\p{javaUpperCase}\p{javaTitleCase}&&[^A-Z]]"
+
+
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(f"({WORD})"), F.lit(0))
+    folded = F.when(text.rlike(OTHER_UPPER), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
+    return F.regexp_extract_all(folded, F.lit(f"({WORD})"), F.lit(0))
 
 
 def _gram(hashes: str, i: Column, n: int) -> Column:
@@ -54,31 +59,36 @@ def item_windows(items: DataFrame, item_id: str, text_col: str, span: int) -> Da
 
 
 def window_hits(docs: DataFrame, windows: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """Where item windows occur in documents: (id, tk, at, window).
+    """(id, tk, at, window, n_words): where item windows occur, and one row per document with ``at`` -1.
 
     ``docs`` has id, tk, words. Any run of ``span`` words holds a winnowed
     fingerprint of its document, and all grams of the item windows are kept, so
     the join on fingerprints misses no shared run. A fingerprint brings along the
     words around it, and each joined window is compared word by word. Windows
     shorter than ``span`` come from short items and are looked up at every word.
+    The row per document rides along, so that texts are split into words once.
     """
     wanted = windows.select("window").distinct()
     long_, short = wanted.filter(F.size("window") == span), wanted.filter(F.size("window") < span)
     grams = long_.withColumn("hashes", F.transform("window", lambda w: F.xxhash64(w))).select(
         "window", F.posexplode(F.array(*[_gram("hashes", F.lit(j), gram) for j in range(span - gram + 1)])).alias("off", "fp"))
-    lead = span - gram
-    chosen = fingerprints(docs, span, gram).select("id", "tk", F.explode(F.transform("fps", lambda p: F.struct(
+    lead, n = span - gram, F.size("words")
+    at_places = F.transform("fps", lambda p: F.struct(
         p.alias("p"), F.get("grams", p.cast("int")).alias("fp"),
-        F.slice("words", F.greatest(p - lead, F.lit(0)).cast("int") + 1, span + lead).alias("around")))).alias("f")).select("id", "tk", "f.*")
-    found = chosen.join(grams, "fp").withColumn("at", F.col("p") - F.col("off"))
+        F.slice("words", F.greatest(p - lead, F.lit(0)).cast("int") + 1, span + lead).alias("around"), F.lit(None).cast("long").alias("n_words")))
+    itself = F.struct(F.lit(-1).cast("long").alias("p"), F.xxhash64("id", "tk").alias("fp"), F.array().cast("array<string>").alias("around"),
+                      n.cast("long").alias("n_words"))
+    chosen = fingerprints(docs, span, gram).select("id", "tk", F.explode(F.array_append(at_places, itself)).alias("f")).select("id", "tk", "f.*")
+    found = chosen.join(grams, "fp", "left").withColumn("at", F.when(F.col("p") < 0, -1).otherwise(F.col("p") - F.col("off")))
     start = F.col("at") - F.greatest(F.col("p") - lead, F.lit(0))
-    hits = found.filter(F.col("at") >= 0).filter(F.slice("around", start.cast("int") + 1, span) == F.col("window")).select(
-        "id", "tk", F.col("at").cast("long").alias("at"), "window")
+    same = (F.col("at") >= 0) & (F.slice("around", F.greatest(start, F.lit(0)).cast("int") + 1, span) == F.col("window"))
+    cols = ["id", "tk", "at", "window", "n_words"]
+    hits = found.filter((F.col("p") < 0) | same).withColumn("window", F.when(F.col("p") >= 0, F.col("window"))).select(*cols)
     for row in short.select(F.size("window").alias("m")).distinct().collect():  # at most span - 1 lengths
         runs = F.transform(_indices(F.size("words") - row.m + 1), lambda i, m=row.m: F.slice("words", i + 1, m))
         hits = hits.union(docs.select("id", "tk", F.posexplode(runs).alias("at", "window")).join(
-            short.filter(F.size("window") == row.m), "window").select("id", "tk", F.col("at").cast("long"), "window"))
-    return hits.distinct()
+            short.filter(F.size("window") == row.m), "window").select("id", "tk", F.col("at").cast("long"), "window", F.lit(None).cast("long")))
+    return hits
 
 
 def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int = GRAM, id_col: str = "doc_id",
@@ -93,7 +103,8 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
     keyed = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text_col).alias("tk"), text_of(text_col).alias("text"))
     windows = stage(item_windows(items, item_id, item_text, span), "item-windows")
     tokens = keyed.select("id", "tk", words_of(F.col("text")).alias("words"))
-    hits = stage(window_hits(tokens, windows, span, gram), "window-hits")
+    found = stage(window_hits(tokens, windows, span, gram), "window-hits")
+    hits = found.filter("at >= 0")
     covered = hits.select("id", "tk", F.explode(F.sequence("at", F.col("at") + F.size("window") - 1)).alias("w")).distinct()
     n_hit = covered.groupBy("id", "tk").agg(F.count("*").alias("n_hit"))
     named = hits.select("id", "tk", "window").distinct().join(windows, "window").select("id", "tk", "item").distinct()
@@ -101,7 +112,7 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
     facts = n_hit.join(
         named.select(F.col("id").alias("i2"), F.col("tk").alias("t2"), "n_items", "items"),
         F.col("id").eqNullSafe(F.col("i2")) & (F.col("tk") == F.col("t2"))).select("id", "tk", "n_hit", "n_items", "items")
-    counts = keyed.select("id", "tk", F.regexp_count(F.translate("text", UPPER, LOWER), F.lit(WORD)).cast("long").alias("n_words"))
+    counts = found.filter("at < 0").select("id", "tk", "n_words")
     out = counts.join(facts.select(F.col("id").alias("i2"), F.col("tk").alias("t2"), "n_hit", "n_items", "items"),
                       F.col("id").eqNullSafe(F.col("i2")) & (F.col("tk") == F.col("t2")), "left")
     zero = F.lit(0).cast("long")
