@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from windward.llm import bpe, decontaminate, pii, sharding, tokencounts
+from windward.llm import bpe, decontaminate, linededup, pii, sharding, tokencounts
 from windward.llm.common import documents, table
 from windward.plans.registry import query
 
@@ -37,3 +38,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document encoded and decoded again."""
     return bpe.round_trip(documents(spark, sf_dir))
+
+
+@query()
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the blocks of lines that an earlier one has."""
+    rows = linededup.dedup_lines(documents(spark, sf_dir))
+    zero = F.lit(0).cast("long")
+    return rows.select("doc_id", F.coalesce("_removed.lines", zero).alias("n_lines_removed"), F.coalesce("_removed.words", zero).alias("n_words_removed"),
+                       "_removed.earlier", "text")
