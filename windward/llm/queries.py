@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windward.llm import bpe, decontaminate, linededup, pii, sharding, tokencounts
+from windward.llm import bpe, decontaminate, linededup, pii, quality, sharding, tokencounts
 from windward.llm.common import documents, table
 from windward.plans.registry import query
 
@@ -47,3 +47,9 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     zero = F.lit(0).cast("long")
     return rows.select("doc_id", F.coalesce("_removed.lines", zero).alias("n_lines_removed"), F.coalesce("_removed.words", zero).alias("n_words_removed"),
                        "_removed.earlier", "text")
+
+
+@query()
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its perplexity under the model of trusted text, and whether it is rejected."""
+    return quality.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels")).drop("text_key")
