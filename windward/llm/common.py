@@ -78,6 +78,32 @@ def pieces(batches: Iterable[pa.RecordBatch], text_col: str, most: int) -> Itera
                 yield batch.slice(a, b - a)
 
 
+class LocalComponents:
+    """Connected components of what one task sees, of nodes numbered by place."""
+
+    def __init__(self, names: np.ndarray) -> None:
+        self.names, at = np.unique(names, return_inverse=True)
+        self.at, self.root = at.ravel(), np.arange(len(self.names))
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Connect places a[i] and b[i]; roots are the smallest names."""
+        a, b = self.at[a], self.at[b]
+        while True:
+            u, v = self.root[a], self.root[b]
+            apart = u != v
+            if not apart.any():
+                return
+            a, b, u, v = a[apart], b[apart], u[apart], v[apart]
+            np.minimum.at(self.root, np.maximum(u, v), np.minimum(u, v))
+            while (up := self.root[self.root]).tobytes() != self.root.tobytes():
+                self.root = up
+
+    def edges(self) -> tuple[np.ndarray, np.ndarray]:
+        """(node, root) of the nodes that are connected with a smaller one."""
+        moved = np.flatnonzero(self.root != np.arange(len(self.root)))
+        return self.names[moved], self.names[self.root[moved]]
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """Connected components of ``edges`` (u, v: long): rows (node, component), the smallest node of each.
 

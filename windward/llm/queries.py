@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windward.llm import bpe, decontaminate, linededup, pii, quality, sharding, tokencounts
+from windward.llm import bpe, decontaminate, linededup, pii, quality, sharding, tokencounts, vectors
 from windward.llm.common import documents, table
 from windward.plans.registry import query
 
@@ -53,3 +53,9 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its perplexity under the model of trusted text, and whether it is rejected."""
     return quality.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels")).drop("text_key")
+
+
+@query()
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding with its links, its component and whether it is kept."""
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
