@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windward.llm import bpe, decontaminate, linededup, pii, quality, sharding, tokencounts, vectors
+from windward.llm import bpe, decontaminate, jaccard, linededup, pii, quality, sharding, tokencounts, vectors
 from windward.llm.common import documents, table
 from windward.plans.registry import query
 
@@ -59,3 +59,9 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding with its links, its component and whether it is kept."""
     return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near duplicates and its number of links."""
+    return jaccard.near_duplicates(documents(spark, sf_dir)).drop("text_key")
