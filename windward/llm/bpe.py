@@ -436,12 +436,12 @@ def decode_documents(encoded: DataFrame, tokenizer: str | None = None) -> DataFr
 
 
 def round_trip(docs: DataFrame, tokenizer: str | None = None, lexicon: str | None = None,
-               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: number of ids, digest of the ids, digest of the text decoded from them.
+               id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
+    """Per row: number of ids, digest of the ids, digest of the text decoded from them; with ``keep_ids`` the ids.
 
     Null text is empty: no ids, digests of the empty string. Rows are independent,
     so repeated rows, null ids and other columns need no care; an empty table gives an
-    empty result. Encoding and decoding share the task; ids never leave it.
+    empty result. Encoding and decoding share the task.
     """
     path = tokenizer or default_tokenizer()
     docs = narrow(docs, id_col, text_col)
@@ -458,7 +458,13 @@ def round_trip(docs: DataFrame, tokenizer: str | None = None, lexicon: str | Non
                 at += k
                 hashes.append(hashlib.sha256(",".join([texts_of[i] for i in ids]).encode()).hexdigest())
                 decoded.append(hashlib.sha256(coder.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())],
-                                             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+            cols = [batch.column("id"), pa.array(n), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if keep_ids:
+                offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                cols.append(pa.ListArray.from_arrays(offsets, flat.astype(np.int32)))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(cols, names)
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if keep_ids else "")
+    return docs.mapInArrow(run, schema)

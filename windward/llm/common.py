@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windward.operators.lookup import lookup_join
-from windward.session import stage
+from windward.session import run_dir, stage
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -78,6 +79,19 @@ def pieces(batches: Iterable[pa.RecordBatch], text_col: str, most: int) -> Itera
                 yield batch.slice(a, b - a)
 
 
+def block_ids(n: int) -> np.ndarray:
+    """Numbers for new blocks. They are written to a table before anything refers to them."""
+    return np.random.default_rng().integers(0, 2**63 - 1, n)
+
+
+def bucketed(rows: DataFrame, buckets: int, label: str) -> DataFrame:
+    """Write rows bucketed by ``block`` to the shared folder; joins by block then leave them where they are."""
+    path = run_dir(rows.sparkSession, label)
+    name = os.path.basename(path).replace("-", "_")
+    rows.write.bucketBy(buckets, "block").option("path", path).option("compression", "zstd").saveAsTable(name)
+    return rows.sparkSession.table(name)
+
+
 class LocalComponents:
     """Connected components of what one task sees, of nodes numbered by place."""
 

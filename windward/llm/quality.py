@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,9 +11,9 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windward.llm.common import expand, mix, pieces, starts_of, text_key, text_of
+from windward.llm.common import block_ids, bucketed, expand, mix, pieces, starts_of, text_key, text_of
 from windward.operators.lookup import lookup_join
-from windward.session import run_dir, stage
+from windward.session import stage
 
 ORDER = 4
 BLOCK_BYTES = 16_000_000
@@ -102,18 +101,12 @@ def text_blocks(docs: DataFrame, order: int) -> DataFrame:
                 found += grams.strings(first[new], flat)
                 known = known.append(pd.Index(fresh[new]))
             ids, tks = batch.column("id").to_pylist(), batch.column("tk").to_pylist()
-            block = int(mix(np.array([hash((tuple(ids), tuple(tks))) & (2**63 - 1)], np.uint64))[0] >> np.uint64(1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.array([pack(texts)], pa.binary()), pa.array([ids], pa.list_(pa.int64())),
+                [pa.array(block_ids(1)), pa.array([pack(texts)], pa.binary()), pa.array([ids], pa.list_(pa.int64())),
                  pa.array([tks], pa.list_(pa.int64())), pa.array([found], pa.list_(pa.string()))], ["block", "blob", "ids", "tks", "grams"])
 
-    spark = docs.sparkSession
-    buckets = max(1, docs.rdd.getNumPartitions())
     rows = docs.mapInArrow(run, "block long, blob binary, ids array<long>, tks array<long>, grams array<string>")
-    path = run_dir(spark, "lm-blocks")
-    name = os.path.basename(path).replace("-", "_")
-    rows.write.bucketBy(buckets, "block").option("path", path).option("compression", "zstd").saveAsTable(name)
-    return spark.table(name)
+    return bucketed(rows, max(1, docs.rdd.getNumPartitions()), "lm-blocks")
 
 
 def trusted_counts(blocks: DataFrame, trusted: DataFrame, order: int) -> DataFrame:

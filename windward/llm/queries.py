@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windward.llm import bpe, decontaminate, jaccard, linededup, pii, quality, sharding, tokencounts, vectors
+from windward.llm import bpe, decontaminate, jaccard, linededup, pii, quality, sharding, substrings, tokencounts, vectors
 from windward.llm.common import documents, table
 from windward.plans.registry import query
 
@@ -65,3 +65,9 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of near duplicates and its number of links."""
     return jaccard.near_duplicates(documents(spark, sf_dir)).drop("text_key")
+
+
+@query()
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of strings of 200 bytes that occur more than once."""
+    return substrings.remove_repeats(documents(spark, sf_dir))
