@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windward.llm.common import text_key, text_of
+from windward.llm.common import match_documents, text_key, text_of
 from windward.session import stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -125,6 +125,5 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
 def clean_documents(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
     """The documents without any word inside an item window, with all their columns."""
     bad = contamination(docs, items, id_col=id_col, text_col=text_col, **options).filter("contaminated").select(
-        F.col("doc_id").alias("_i"), F.col("text_key").alias("_t")).distinct()
-    keyed = docs.withColumn("_k", text_key(text_col))
-    return keyed.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("_i")) & (F.col("_k") == F.col("_t")), "left_anti").drop("_k")
+        F.col("doc_id").alias("id"), F.col("text_key").alias("tk")).distinct()
+    return match_documents(docs, bad, "left_anti", id_col, text_col).select("row.*")

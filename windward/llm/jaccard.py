@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windward.llm.common import LocalComponents, components, expand, factor, mix, pieces, starts_of, text_key, text_of
+from windward.llm.common import LocalComponents, components, expand, factor, match_documents, mix, pieces, starts_of, text_key, text_of
 from windward.operators.lookup import lookup_join
 from windward.session import stage
 
@@ -233,7 +233,5 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, n_words: in
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
     """One document of each class, with all its columns."""
     stays = near_duplicates(docs, id_col=id_col, text_col=text_col, **options).filter("kept").select(
-        F.col("doc_id").alias("_i"), F.col("text_key").alias("_t")).distinct()
-    keyed = docs.withColumns({"_k": text_key(text_col)})
-    out = keyed.join(stays, F.col(id_col).cast("long").eqNullSafe(F.col("_i")) & (F.col("_k") == F.col("_t")), "left_semi")
-    return out.dropDuplicates([id_col, "_k"]).drop("_k")
+        F.col("doc_id").alias("id"), F.col("text_key").alias("tk")).distinct()
+    return match_documents(docs, stays, "left_semi", id_col, text_col).dropDuplicates(["row_id", "row_tk"]).select("row.*")

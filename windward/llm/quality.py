@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windward.llm.common import block_ids, bucketed, expand, mix, pieces, starts_of, text_key, text_of
+from windward.llm.common import block_ids, bucketed, expand, match_documents, mix, pieces, starts_of, text_key, text_of
 from windward.operators.lookup import lookup_join
 from windward.session import stage
 
@@ -270,6 +270,5 @@ def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, fence: float =
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
     """The documents that are not rejected, with all their columns."""
     bad = judge(docs, labels, id_col=id_col, text_col=text_col, **options).filter("rejected").select(
-        F.col("doc_id").alias("_i"), F.col("text_key").alias("_t")).distinct()
-    return docs.withColumn("_k", text_key(text_col)).join(
-        bad, F.col(id_col).cast("long").eqNullSafe(F.col("_i")) & (F.col("_k") == F.col("_t")), "left_anti").drop("_k")
+        F.col("doc_id").alias("id"), F.col("text_key").alias("tk")).distinct()
+    return match_documents(docs, bad, "left_anti", id_col, text_col).select("row.*")
