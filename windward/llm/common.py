@@ -42,10 +42,11 @@ def narrow(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def match_documents(docs: DataFrame, facts: DataFrame, how: str, id_col: str, text_col: str) -> DataFrame:
     """Join documents with facts (id, tk, ...) about them. A document's columns travel as one
-    struct ``row``, so that no name can clash; select "row.*" to have them back."""
+    struct ``row``, so that no name can clash; select "row.*" to have them back. The facts grow
+    with the documents, so the join is by sort and merge at every size."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
                        F.col(id_col).cast("long").alias("row_id"), text_key(text_col).alias("row_tk"))
-    return rows.join(facts, F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_tk") == F.col("tk")), how)
+    return rows.join(facts.hint("merge"), F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_tk") == F.col("tk")), how)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

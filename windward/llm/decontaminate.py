@@ -33,6 +33,11 @@ def _indices(count: Column) -> Column:
     return F.when(count > 0, F.sequence(F.lit(0), (count - 1).cast("int"))).otherwise(F.array().cast("array<int>"))
 
 
+def _runs(n: Column, length: int) -> Column:
+    """Every run of ``length`` of n words."""
+    return F.transform(_indices(n - length + 1), lambda i: F.slice("words", i + 1, length))
+
+
 def fingerprints(docs: DataFrame, span: int, gram: int) -> DataFrame:
     """Winnowed fingerprints: (place, fp) of the minimal gram of every run of ``span`` words.
 
@@ -54,7 +59,7 @@ def item_windows(items: DataFrame, item_id: str, text_col: str, span: int) -> Da
     """(item, window): every run of ``span`` words of an item, or a shorter item as one window."""
     words = items.select(F.col(item_id).cast("string").alias("item"), words_of(text_of(text_col)).alias("words"))
     n = F.size("words")
-    runs = F.when(n >= span, F.transform(_indices(n - span + 1), lambda i: F.slice("words", i + 1, span))).otherwise(F.array("words"))
+    runs = F.when(n >= span, _runs(n, span)).otherwise(F.array("words"))
     return words.filter((n > 0) & F.col("item").isNotNull()).select("item", F.explode(runs).alias("window")).distinct()
 
 
@@ -85,7 +90,7 @@ def window_hits(docs: DataFrame, windows: DataFrame, span: int = SPAN, gram: int
     cols = ["id", "tk", "at", "window", "n_words"]
     hits = found.filter((F.col("p") < 0) | same).withColumn("window", F.when(F.col("p") >= 0, F.col("window"))).select(*cols)
     for row in short.select(F.size("window").alias("m")).distinct().collect():  # at most span - 1 lengths
-        runs = F.transform(_indices(F.size("words") - row.m + 1), lambda i, m=row.m: F.slice("words", i + 1, m))
+        runs = _runs(F.size("words"), row.m)
         hits = hits.union(docs.select("id", "tk", F.posexplode(runs).alias("at", "window")).join(
             short.filter(F.size("window") == row.m), "window").select("id", "tk", F.col("at").cast("long"), "window", F.lit(None).cast("long")))
     return hits

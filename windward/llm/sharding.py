@@ -30,7 +30,7 @@ def interleaved_position(rows: DataFrame, stratum: str, order: list[Column], see
     """Adds ``position`` (0 ...) and ``total``: rows of every stratum spread evenly over one sequence.
 
     Within a stratum rows are shuffled by a seeded hash and ranked; row r of n
-    stands at (r - 1/2) / n, and all rows are sorted by that fraction. Neither sort
+    stands at (r - 1 + phase) / n, and all rows are sorted by that fraction. Neither sort
     sees a whole stratum: the shuffle key is cut into buckets of some
     ``ROWS_PER_BUCKET`` rows, bucket counts give what lies before, and the window
     ranks inside a bucket only. The fractions are even by construction and are
@@ -47,7 +47,9 @@ def interleaved_position(rows: DataFrame, stratum: str, order: list[Column], see
     offsets = lookup_join(before_each(counts, ["_s"], "_b", "_n", "_before"), sizes, ["_s"]).drop("_n")
     inside = Window.partitionBy("_s", "_b").orderBy("_u", *order)
     ranked = lookup_join(keyed.withColumn("_r", F.row_number().over(inside)), offsets, ["_s", "_b"])
-    ranked = ranked.withColumn("_f", (F.col("_before") + F.col("_r") - 0.5) / F.col("_size")).drop("_b", "_r", "_before", "_size")
+    # A phase of its own keeps strata of equal size from stepping together, and spreads strata of one row.
+    phase = F.pmod(F.xxhash64(F.lit(seed), F.col("_s")), F.lit(1 << 20)) / (1 << 20)
+    ranked = ranked.withColumn("_f", (F.col("_before") + F.col("_r") - 1 + phase) / F.col("_size")).drop("_b", "_r", "_before", "_size")
     placed = stage(ranked.withColumn("_fb", F.least(F.floor(F.col("_f") * buckets), F.lit(buckets - 1))), "interleave")
     before = before_each(placed.groupBy("_fb").agg(F.count("*").alias("_n")), [], "_fb", "_n", "_before")
     at = Window.partitionBy("_fb").orderBy("_f", "_s", "_u", *order)
@@ -60,8 +62,9 @@ def shard_documents(docs: DataFrame, shards: int = 8, seed: int = 42,
                     id_col: str = "doc_id", text_col: str = "text", stratum: str = "source") -> DataFrame:
     """Deal documents into ``shards`` shards, each with the mixture of sources of the whole.
 
-    Law ``rows``: shard sizes differ by at most one row, and in any shard the rows
-    of a source differ from its share by at most two. Only id, source, size and
+    Law ``rows``: shard sizes differ by at most one row. In any shard the rows of a
+    source differ from its share by one, plus its share of what the other sources
+    round by (less than one row each). Only id, source, size and
     checksum are shuffled, never texts. Null text: size 1, checksum 0. Null ids and
     sources are values like others; repeated rows are dealt as rows of their own.
     An empty table gives an empty result. Columns other than the three are not read.
