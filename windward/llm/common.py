@@ -94,7 +94,11 @@ def block_ids(n: int) -> np.ndarray:
 
 
 def bucketed(rows: DataFrame, buckets: int, label: str) -> DataFrame:
-    """Write rows bucketed by ``block`` to the shared folder; joins by block then leave them where they are."""
+    """Write rows bucketed by ``block`` to the shared folder; joins by block then leave them where they are.
+
+    Spark moves the side with fewer partitions, so there are at least as many buckets as shuffle partitions.
+    """
+    buckets = max(buckets, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     path = run_dir(rows.sparkSession, label)
     name = os.path.basename(path).replace("-", "_")
     rows.write.bucketBy(buckets, "block").option("path", path).option("compression", "zstd").saveAsTable(name)

@@ -16,8 +16,8 @@ from windward.operators.lookup import lookup_join
 from windward.session import stage
 
 ORDER = 4
-BLOCK_BYTES = 16_000_000
-CHUNK_SYMBOLS = 2_000_000
+BLOCK_BYTES = 8_000_000
+CHUNK_SYMBOLS = 500_000
 START, END, AGAIN = "\x02", "\x03", "\ue000"
 FOLDS = 5
 FENCE = 6.0
