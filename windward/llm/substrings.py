@@ -16,9 +16,9 @@ from windward.session import stage
 
 LENGTH = 200
 GRAM = 100
-BLOCK_BYTES = 8_000_000
-STRETCH = 4_000_000  # bytes whose hashes are held at once
-KEYS_PER_SHARD = 2_000_000
+BLOCK_BYTES = 4_000_000
+STRETCH = 1_000_000  # bytes whose hashes are held at once
+KEYS_PER_SHARD = 1_000_000
 _PLACE = 23  # low bits of a ranked gram that hold its place in a stretch
 _FACTOR = 0xD6E8FEB86659FD93
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))  # a random number for each byte
@@ -203,7 +203,8 @@ def merge_classes(blocks: DataFrame) -> DataFrame:
         return pa.table({"shard": group.column("shard"), "block": group.column("block"), "n": n} | {k: pa.array(v, pa.binary()) for k, v in cols.items()})
 
     sent = blocks.select("block", "keys", "flags").mapInArrow(cut, "shard int, block long, keys binary, flags binary")
-    found = sent.groupBy("shard").applyInArrow(merge, "shard int, block long, n long, twice binary, flagged binary, first binary")
+    # As many tasks as shards: adaptive execution would put shards together, and they are large already.
+    found = sent.repartition(2 * shards, "shard").groupBy("shard").applyInArrow(merge, "shard int, block long, n long, twice binary, flagged binary, first binary")
     return found.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("shard", "n", "twice", "flagged", "first"))).alias("answer"))
 
 
