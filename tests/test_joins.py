@@ -170,7 +170,12 @@ def test_sex_from_first_names(spark, rows):
 
 def test_locations_attach_once_per_row(spark, rows):
     df = spark.createDataFrame([("e1",), ("e2",), ("e1",)], "event_name string")
-    places = spark.createDataFrame([("e1", 1.0, 2.0), ("e1", 1.0, 2.0)], "event_name string, lat double, lon double")
+    listed = [("e1", 1.0, 2.0), ("e1", 1.0, 2.0)]
+    places = spark.createDataFrame(listed, "event_name string, lat double, lon double")
+    for listed in ([("e1", 1.0, 2.0, 1), ("e1", 0.0, 9.0, 2)], [("e1", 0.0, 9.0, 2), ("e1", 1.0, 2.0, 1)]):
+        two = spark.createDataFrame(listed, "event_name string, lat double, lon double, seen int")
+        assert rows(profile.attach_location(df.limit(1), two, order=F.col("seen"))) == [("e1", 0.0, 9.0)]
+        assert rows(profile.attach_location(df.limit(1), two)) == [("e1", 1.0, 2.0)]
     assert rows(profile.attach_location(df, places)) == [("e1", 1.0, 2.0), ("e1", 1.0, 2.0), ("e2", None, None)]
 
 

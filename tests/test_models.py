@@ -44,9 +44,10 @@ def test_presets_name_their_columns():
     assert len(features.PRESETS["readme_vmc"].columns) == 9
 
 
-def test_too_many_categories_is_an_error(spark):
-    with pytest.raises(ValueError, match="no category"):
-        features.categories(spark.range(20), ["id"], most=10)
+def test_category_table_holds_all_values(spark):
+    df = spark.range(3000).selectExpr("id a", "nullif(id % 3, 0) b")
+    got = features.category_table(df, ["a", "b"]).groupBy("column").count().collect()
+    assert {r["column"]: r["count"] for r in got} == {"a": 3000, "b": 2}
 
 
 def test_split_is_the_same_in_any_order(spark):
@@ -71,26 +72,27 @@ def test_metrics(spark):
 
 
 def test_grid_points():
-    assert len(model.grid_points({"min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2]})) == 4
+    assert len(model.grid_points({"min_samples_split": [2, 5, 10], "min_samples_leaf": [1, 2]})) == 6
     assert model.forest_params({"min_samples_split": 10, "min_samples_leaf": 2})["minInstancesPerNode"] == 5
     full = 1
     for values in model.GRID_V2.values():
         full *= len(values)
-    assert full == 432 and len(model.grid_points(model.GRID_V1)) <= 81
+    assert full == 432 == len(model.grid_points(model.GRID_V2)) and len(model.grid_points(model.GRID_V1)) == 81
 
 
 def test_forest_learns_and_is_reloaded(spark, tmp_path):
     data = features.with_fold(features.with_split(
         features.model_matrix(processed(spark), "rank_v2", keep=["rid"]), F.col("rid")), F.col("rid"))
     names = [n for n in features.feature_names(data, "rank_segment", ["rid"]) if n not in ("is_train", "fold")]
-    grid = {"n_estimators": [10], "max_depth": [2, 6], "min_samples_leaf": [2]}
+    grid = {"n_estimators": [10], "max_depth": [2, 6], "min_samples_split": [2, 4], "min_samples_leaf": [2]}
     train, test = data.where("is_train"), data.where("not is_train")
     path = model.model_path(str(tmp_path), names, "rank_segment", grid)
     assert path != model.model_path(str(tmp_path), names[1:], "rank_segment", grid)
     fit = lambda: model.grid_search(train, names, "rank_segment", grid, parallelism=2)
-    fitted, found = model.load_or_fit(path, fit)
-    assert found.best["max_depth"] == 6 and len(found.scores) == 2 and found.seconds > 0
-    again, none = model.load_or_fit(path, fit)
+    fitted, found = model.load_or_fit(spark, path, fit)
+    assert found.best["max_depth"] == 6 and len(found.scores) == 4 and found.seconds > 0
+    assert found.scores[0][1] == found.scores[1][1]  # points that mean the same share a fit and both have a score
+    again, none = model.load_or_fit(spark, path, fit, resume=True)
     assert none is None and again.getNumTrees == fitted.getNumTrees
     m = model.regression_metrics(model.predict(again, test, names, "rank_segment")).first()
     assert m["r2"] > 0.6
@@ -100,10 +102,10 @@ def test_forest_learns_and_is_reloaded(spark, tmp_path):
     assert [r[1] for r in top] == sorted((r[1] for r in top), reverse=True)
 
 
-def test_training_writes_its_tables_once(spark, tmp_path):
+def test_training_writes_its_tables(spark, tmp_path):
     grid = {"n_estimators": [4], "max_depth": [3]}
-    run = lambda: train.train(
-        processed(spark), ["rid"], F.col("rid"), grid, str(tmp_path), run_ts="2024-01-01_00-00-00"
+    run = lambda ts="2024-01-01_00-00-00", rows=None, resume=False: train.train(
+        processed(spark) if rows is None else rows, ["rid"], F.col("rid"), grid, str(tmp_path), run_ts=ts, resume=resume
     )
     fitted, metrics = run()
     assert metrics.first()["n"] > 0
@@ -112,5 +114,9 @@ def test_training_writes_its_tables_once(spark, tmp_path):
     assert eval(best["best_params"]) == {"n_estimators": 4, "max_depth": 3} and float(best["seconds"]) > 0
     assert read("metrics").count() == 1 and read("importances").count() == len(fitted.featureImportances.toArray())
     assert read("data").count() > 100
-    again, _ = run()
-    assert again.getNumTrees == fitted.getNumTrees and read("best").count() == 3
+    run("resumed", resume=True)
+    assert read("best").count() == 3 and read("metrics").count() == 2  # a loaded model has metrics, and no search
+    run("other", processed(spark).where("rid % 5 > 0"), resume=True)
+    assert read("best").count() == 6  # other data, another model
+    run("again")
+    assert read("best").count() == 9

@@ -94,6 +94,11 @@ def test_rows_are_renamed_and_none_is_lost(spark, rows):
     ]
 
 
+def test_few_pairs_meet(spark):
+    folds = frame(spark, variants(21, 3000)).selectExpr("lower(name) f").distinct().withColumn("n", F.length("f"))
+    assert names.meetings(folds).count() <= 0.05 * folds.count() ** 2 / 2
+
+
 def test_pairing_is_an_equi_join(spark):
     plan = names.similar_pairs(frame(spark, variants(1, 30)))._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

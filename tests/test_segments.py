@@ -153,16 +153,42 @@ def test_race_stream_takes_each_race_once(spark, tmp_path, rows):
     schema = spark.createDataFrame([], "race_id string, v int").schema
     def run():
         ingest.ingest_new(
-            ingest.file_stream(spark, land, schema, "*.parquet"), table, check, "race_id", schema=schema
+            ingest.file_stream(spark, land, schema, "*.parquet"), table, check, "race_id", [F.col("v")]
         )
         return rows(read_batches(spark, table, schema), "race_id", "v")
 
     spark.createDataFrame([("a", 1), ("b", 1)], schema).write.parquet(land)
     assert run() == [("a", 1), ("b", 1)]
-    spark.createDataFrame([("b", 2), ("c", 2)], schema).write.mode("append").parquet(land)
-    assert run() == [("a", 1), ("b", 1), ("c", 2)]
-    assert run() == [("a", 1), ("b", 1), ("c", 2)]
+    for landed in ([("b", 2), ("c", 2)], [("c", 3)]):  # c lands twice before one run
+        spark.createDataFrame(landed, schema).write.mode("append").parquet(land)
+    assert run() == [("a", 1), ("b", 1), ("c", 3)]
+    assert run() == [("a", 1), ("b", 1), ("c", 3)]
+
+
+def test_document_stream_keeps_files_whole(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "r1.xml").write_text("<a>\n<b/>\n</a>")
+    docs = ingest.document_stream(spark, str(tmp_path / "in"))
+    table = str(tmp_path / "t")
+    ingest.upsert_stream(docs, table, str(tmp_path / "c"))
+    got = spark.read.parquet(table).collect()
+    assert [(r.path.rsplit("/", 1)[1], r.xml) for r in got] == [("r1.xml", "<a>\n<b/>\n</a>")]
 
 
 def test_reads_of_an_absent_log_are_empty(spark, tmp_path):
     assert read_batches(spark, str(tmp_path / "no"), WEATHER_HOURLY).count() == 0
+
+
+def test_processed_layer_has_its_columns_in_order(spark):
+    from windward.schemas import PROCESSED_COLUMNS, MissingColumns
+    wide = spark.createDataFrame([tuple(range(58))], ", ".join(f"{c} int" for c in [*reversed(PROCESSED_COLUMNS), "more"]))
+    assert enrich.processed_layer(wide).columns == PROCESSED_COLUMNS
+    with pytest.raises(MissingColumns):
+        enrich.processed_layer(wide.drop("rank_segment"))
+
+
+def test_the_reading_written_last_counts(spark):
+    again = readings(spark, ("08:00:00", 30.0, 0.0), ("08:00:00", 20.0, 0.0), ("09:00:00", 1.0, 0.0)).withColumn(
+        "written", F.when(F.col("temperature_c") == 20.0, 2).otherwise(1))
+    got = enrich.latest_weather(again, ["written"]).collect()
+    assert sorted((r.time, r.temperature_c) for r in got) == [("08:00:00", 20.0), ("09:00:00", 1.0)]

@@ -73,6 +73,15 @@ def test_race_documents(spark, rows):
     ], key=lambda t: tuple((v is None, str(v)) for v in t))
 
 
+def test_prefixes_comments_and_deep_names(spark, rows):
+    doc = ('<p:a xmlns:p="x"><!-- <p:StatisticheDato><p:Nome>Ghost</p:Nome></p:StatisticheDato> --><p:StatisticheDato>'
+           '<p:cInfoRaceSegment><p:SegNum>1</p:SegNum><p:Who><p:Nome>D&#233;a</p:Nome></p:Who></p:cInfoRaceSegment>'
+           '<p:cInfoRaceSegment><p:SegNum>2</p:SegNum></p:cInfoRaceSegment></p:StatisticheDato></p:a>')
+    races = spark.createDataFrame([("r1", doc), ("r2", "<a><b></a>"), ("r3", None), ("r4", "<a/>"), ("r5", "")], "race_id string, xml string")
+    assert rows(race_xml.parse_races(races), "race_id", "athlete_name", "segment_no") == [("r1", "Déa", "1"), ("r1", "Déa", "2")]
+    assert rows(race_xml.rejected_races(races)) == [("r2", "not well-formed"), ("r3", "null"), ("r4", "no racer"), ("r5", "not well-formed")]
+
+
 @pytest.mark.parametrize("raw, want", [
     ('<?xml version="1.0"?>\n<string xmlns="x"><a/></string>\n', "<a/>"),
     ("<a><string>inner</string>tail</a>", "<a>inner"),
@@ -138,6 +147,16 @@ def test_sheet_export_and_typing(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("day, want", [
+    ("2024-05-01", "2024-05-01"), ("2024-05-01 10:00:00", "2024-05-01"), ("2024-05-01T10:00", "2024-05-01"), ("01/05/2024", "2024-05-01"),
+    ("2024-05-011", None), ("01/05/2024x", None), ("2024-13-01", None), ("", None),
+])
+def test_a_day_is_the_whole_text(spark, day, want):
+    df = spark.createDataFrame([(day,)], "race_date string")
+    assert str(tables.typed_segments(df).first()[0]) == str(want)
+    assert [r.value for r in tables.unreadable_days(df).collect()] == ([] if want else [day])
+
+
 def test_column_helpers(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a int, b int, a_w int")
     assert columns.drop_suffixed(df, "_w").columns == ["a", "b"]

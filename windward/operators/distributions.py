@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from windward.functions.metrics import left_edge
@@ -35,33 +35,35 @@ def sailing_rows(df: DataFrame, min_wind: float = MIN_WIND_KN, strict_edges: boo
     return with_wind_bin(windy, strict_edges=strict_edges).where(F.col("wind_bin").isNotNull())
 
 
-def _drawn_groups(df: DataFrame) -> DataFrame:
-    """Maximum speed per group; groups without a positive one are not drawn."""
-    return df.groupBy(*GROUP).agg(F.max("segment_speed_kn").alias("_vmax")).where("_vmax > 0")
+def _binned(df: DataFrame, bin_: Column, name: str) -> DataFrame:
+    """Count and maximum speed per group and bin, in one pass, and with them the group's maximum speed.
+
+    Groups without a positive speed are not drawn. The second step works on bins only.
+    """
+    bins = df.groupBy(*GROUP, bin_.alias(name)).agg(F.count("*").alias("n"), F.max("segment_speed_kn").alias("_max"))
+    return bins.withColumn("_vmax", F.max("_max").over(Window.partitionBy(*GROUP))).where("_vmax > 0")
 
 
 def speed_histogram(df: DataFrame, width: int = 1) -> DataFrame:
     """Segments per group and speed bin, for the groups that are drawn."""
-    counts = df.groupBy(*GROUP, left_edge(F.col("segment_speed_kn"), width).alias("speed_lo")).agg(
-        F.count("*").alias("n")
-    )
-    return counts.join(_drawn_groups(df).select(*GROUP), GROUP)
+    return _binned(df, left_edge(F.col("segment_speed_kn"), width), "speed_lo").drop("_max", "_vmax")
 
 
 def vmc_curve(df: DataFrame) -> DataFrame:
     """Segments per group and 1-knot VMC bin, empty bins included.
 
-    Bins run from 0 to the group's maximum *speed*; VMC outside is left out.
-    All joins are between tables already reduced to bins.
+    Bins run from 0 to the group's maximum *speed*; VMC outside is left out. Each
+    bin in use also fills the gap up to the next one, so the empty bins of a very
+    fast segment are spread over the rows and never one array of all bins.
     """
-    counts = df.groupBy(*GROUP, F.floor("segment_vmc_kn").cast("int").alias("vmc_lo")).agg(
-        F.count("*").alias("_n")
-    )
-    spine = _drawn_groups(df).select(
-        *GROUP, F.explode(F.sequence(F.lit(0), (F.ceil("_vmax") - 1).cast("int"))).alias("vmc_lo")
-    )
-    return spine.join(counts, [*GROUP, "vmc_lo"], "left").select(
-        *GROUP, "vmc_lo",
-        (F.col("vmc_lo") + 0.5).alias("vmc_mid"),
-        F.coalesce("_n", F.lit(0)).alias("n"),
+    used = _binned(df, F.floor("segment_vmc_kn").cast("bigint"), "vmc_lo")
+    top = F.ceil("_vmax").cast("bigint")
+    edge = used.groupBy(*GROUP).agg(F.max(top).alias("top")).select(*GROUP, F.lit(0).cast("bigint").alias("vmc_lo"), F.lit(0).alias("n"), "top")
+    inside = used.select(*GROUP, "vmc_lo", "n", top.alias("top")).where("vmc_lo >= 0 and vmc_lo < top").unionByName(edge)
+    starts = inside.groupBy(*GROUP, "vmc_lo", "top").agg(F.sum("n").alias("n"))
+    after = F.lead("vmc_lo").over(Window.partitionBy(*GROUP).orderBy("vmc_lo"))
+    spans = starts.withColumn("_to", F.coalesce(after, F.col("top")))
+    return spans.select(*GROUP, "n", F.col("vmc_lo").alias("_lo"), F.explode(F.sequence("vmc_lo", F.col("_to") - 1)).alias("vmc_lo")).select(
+        *GROUP, F.col("vmc_lo").cast("int").alias("vmc_lo"), (F.col("vmc_lo") + 0.5).alias("vmc_mid"),
+        F.when(F.col("vmc_lo") == F.col("_lo"), F.col("n")).otherwise(0).cast("bigint").alias("n"),
     )

@@ -9,13 +9,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from windward.functions import text
+from windward.functions import metrics, text
 from windward.operators.filters import keep_members
 from windward.schemas import require_columns
 
 SEED = 13
 AGE_CLASSES = ["U17", "U19"]
-MAX_CATEGORIES = 1000
+# The categories a segment can have. Other tables of categories are an argument.
+CATEGORIES = {
+    "sex": ["Men", "Women"],
+    "age_class": AGE_CLASSES,
+    "point_of_sail": sorted(label for _, label in metrics.POINTS_OF_SAIL),
+}
 
 
 @dataclass(frozen=True)
@@ -71,16 +76,13 @@ def circular_encode(df: DataFrame, column: str) -> DataFrame:
     return df.withColumns({f"{column}_sin": F.sin(angle), f"{column}_cos": F.cos(angle)}).drop(column)
 
 
-def categories(df: DataFrame, columns: list[str], most: int = MAX_CATEGORIES) -> dict[str, list]:
-    """Observed values of category columns, sorted, found in one pass.
+def category_table(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value): the observed values of category columns, in one pass and left on the cluster.
 
-    More than ``most`` in all is an error, so what reaches the driver is bounded.
+    Write it as a table, and read from there what ``one_hot`` is to know.
     """
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]))
-    found = df.select(pairs.alias("p")).select("p.*").where("v is not null").distinct().limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"{columns} have more than {most} values; that is no category")
-    return {c: sorted(r["v"] for r in found if r["c"] == c) for c in columns}
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]))
+    return df.select(pairs.alias("p")).select("p.*").where("value is not null").distinct()
 
 
 def one_hot(df: DataFrame, values: dict[str, list]) -> DataFrame:
@@ -110,7 +112,8 @@ def model_matrix(
 ) -> DataFrame:
     """Filtered and encoded features with the target; ``keep`` carries row keys along.
 
-    Without ``values`` the categories are those observed in the data.
+    ``values`` lists the categories, by default the fixed ones; a value outside
+    the list gives zeros throughout. The plan reads its input once and runs no job.
     """
     p = PRESETS[preset] if isinstance(preset, str) else preset
     keep = keep or []
@@ -122,11 +125,10 @@ def model_matrix(
         data = data.na.drop(subset=p.columns)
     else:
         data = data.na.drop(subset=[*p.numeric, *p.angles, p.target])
-    if values is None:
-        values = categories(data, p.categorical)
+    values = values or CATEGORIES
     for angle in p.angles:
         data = circular_encode(data, angle)
-    return one_hot(data, values).drop(*p.unused)
+    return one_hot(data, {c: values[c] for c in p.categorical}).drop(*p.unused)
 
 
 def feature_names(matrix: DataFrame, target: str, keep: list[str] | None = None) -> list[str]:

@@ -55,12 +55,8 @@ def forest_params(point: dict) -> dict:
 
 
 def grid_points(grid: dict[str, list]) -> list[dict]:
-    """All combinations, without those that mean the same to Spark."""
-    out: dict[tuple, dict] = {}
-    for values in itertools.product(*grid.values()):
-        point = dict(zip(grid, values))
-        out.setdefault(tuple(sorted(forest_params(point).items())), point)
-    return list(out.values())
+    """All combinations."""
+    return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
 
 
 def forest(point: dict, seed: int = SEED) -> RandomForestRegressor:
@@ -89,17 +85,17 @@ def grid_search(
 ) -> GridResult:
     """Every grid point on every fold, scored by R2; the best is fitted on all of ``train``.
 
-    Folds come from a hash column, so no random state is carried. Fits run as
+    Points that mean the same to Spark share their fits; each has its score. Folds come from a hash column, so no random state is carried. Fits run as
     concurrent Spark jobs over one cached matrix.
     """
     points = grid_points(grid)
+    fits: dict[tuple, int] = {}
+    fit_of = [fits.setdefault(tuple(sorted(forest_params(p).items())), len(fits)) for p in points]
     base = RandomForestRegressor(
         featuresCol="features", labelCol="label", seed=SEED, maxBins=MAX_BINS,
         cacheNodeIds=True, checkpointInterval=10,
     )
-    maps = [
-        {base.getParam(name): value for name, value in forest_params(p).items()} for p in points
-    ]
+    maps = [{base.getParam(name): value for name, value in params} for params in fits]
     search = CrossValidator(
         estimator=base, estimatorParamMaps=maps, numFolds=folds, foldCol=fold,
         evaluator=RegressionEvaluator(metricName="r2"), parallelism=parallelism, seed=SEED,
@@ -110,7 +106,7 @@ def grid_search(
         fitted = search.fit(data)
     finally:
         data.unpersist()
-    scored = [(p, float(m)) for p, m in zip(points, fitted.avgMetrics)]
+    scored = [(p, float(fitted.avgMetrics[i])) for p, i in zip(points, fit_of)]
     best, score = max(scored, key=lambda s: s[1])
     return GridResult(fitted.bestModel, best, score, scored, time.time() - started)
 
@@ -143,34 +139,40 @@ def importances(spark: SparkSession, model: RandomForestRegressionModel, feature
 
 
 def run_tables(
-    spark: SparkSession, found: GridResult, metrics: DataFrame, ranked: DataFrame, data: DataFrame
+    spark: SparkSession, found: GridResult | None, metrics: DataFrame, ranked: DataFrame, data: DataFrame
 ) -> dict[str, DataFrame]:
-    """The tables of one run: matrix, best point with score and training time, all scores,
-    importances, test metrics."""
-    best = [("best_params", repr(found.best)), ("best_r2", repr(found.best_score)), ("seconds", repr(found.seconds))]
-    scores = [(repr(point), score) for point, score in found.scores]
-    return {
-        "data": data,
-        "best": spark.createDataFrame(best, "name string, value string"),
-        "scores": spark.createDataFrame(scores, "params string, cv_r2 double"),
-        "importances": ranked,
-        "metrics": metrics,
-    }
+    """The tables of one run: matrix, importances and test metrics, and of a search the best point
+    with its score and training time, and all scores."""
+    tables = {"data": data, "importances": ranked, "metrics": metrics}
+    if found is not None:
+        best = [("best_params", repr(found.best)), ("best_r2", repr(found.best_score)), ("seconds", repr(found.seconds))]
+        scores = [(repr(point), score) for point, score in found.scores]
+        tables["best"] = spark.createDataFrame(best, "name string, value string")
+        tables["scores"] = spark.createDataFrame(scores, "params string, cv_r2 double")
+    return tables
+
+
+def data_version(data: DataFrame) -> str:
+    """A short text that changes with the rows, whatever their order."""
+    total = data.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*data.columns).cast("decimal(38,0)")).alias("h")).first()
+    return f"{total.n}-{total.h}"
+
+
+def model_path(root: str, features: list[str], target: str, grid: dict, version: str = "") -> str:
+    """A folder name that changes with the feature list, the target, the grid and the data."""
+    said = repr((features, target, sorted(grid.items()), version))
+    return os.path.join(root, "forest-" + hashlib.sha256(said.encode()).hexdigest()[:16])
 
 
-def model_path(root: str, features: list[str], target: str, grid: dict) -> str:
-    """A folder name that changes with the feature list, the target and the grid."""
-    said = repr((features, target, sorted(grid.items())))
-    return os.path.join(root, "forest-" + hashlib.sha256(said.encode()).hexdigest()[:16])
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def load_or_fit(path: str, fit) -> tuple[RandomForestRegressionModel, GridResult | None]:
-    """The saved model at ``path``, or a newly searched and saved one."""
-    try:
+def load_or_fit(spark: SparkSession, path: str, fit, resume: bool = False) -> tuple[RandomForestRegressionModel, GridResult | None]:
+    """A newly searched and saved model, or, to resume, the one at ``path`` if there is one."""
+    if resume and exists(spark, path):
         return RandomForestRegressionModel.load(path), None
-    except Exception as missing:  # any load failure means there is no usable model
-        if "does not exist" not in str(missing).lower() and "not found" not in str(missing).lower():
-            raise
     found = fit()
     found.model.write().overwrite().save(path)
     return found.model, found

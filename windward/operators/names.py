@@ -14,7 +14,7 @@ more than the edits allow.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,10 +23,9 @@ from windward.session import stage
 
 THRESHOLD = 85
 
-# Pieces beyond the k + 1 that are needed. Each lets a name leave one very
-# common piece (a frequent given name, say) out of the join: the pieces that
-# survive the edits outnumber those left out.
-SPARE_PIECES = 1
+# Pieces beyond the k + 1 that are needed. A name joins on its rarest k + 1 pieces only:
+# those that survive the edits outnumber the ones left out.
+SPARE_PIECES = 3
 
 
 def distinct_names(df: DataFrame, name: str, order: Column) -> DataFrame:
@@ -63,38 +62,16 @@ def _max_edits(total_length: str, threshold: int) -> str:
     return f"(({total_length}) * {995 - 10 * threshold} div 1000)"
 
 
-def _common_tokens(parts: DataFrame) -> Column:
-    """Tokens that at least one in a hundred names has: an array of bounded length.
-
-    A frequency sketch merged from one sketch per task. A miss or a false hit
-    changes which piece a name leaves out, never which pairs are found.
-    """
-    return (
-        parts.select(F.explode("tokens").alias("token"), F.col("k"))
-        .agg(F.expr("approx_top_k(token, 500, 8192)").alias("top"), F.sum(1 / F.col("k")).alias("names"))
-        .select(F.expr("transform(filter(top, x -> x.count > names / 100), x -> x.item)"))
-        .scalar()
-    )
-
-
 def _pieces(folds: DataFrame, threshold: int) -> DataFrame:
-    """The join tokens of each name as the longer one of a pair."""
+    """The join tokens of each name as the longer one of a pair: (b, n_b, need, token)."""
     need = f"{_max_edits('2 * n', threshold)} + 1"
     parts = folds.withColumn("k", F.expr(f"least({need} + {SPARE_PIECES}, n)"))
-    parts = parts.withColumn("spare", F.expr(f"k - ({need})")).withColumn(
-        "tokens",
-        F.expr(
+    return parts.select(
+        F.col("f").alias("b"), F.col("n").alias("n_b"), F.expr(need).alias("need"),
+        F.explode(F.array_distinct(F.expr(
             "transform(sequence(0, k - 1), i -> xxhash64(n, int(i), "
             "substring(f, int(i * n div k) + 1, int((i + 1) * n div k) - int(i * n div k))))"
-        ),
-    )
-    left_out = F.slice(
-        F.filter("tokens", lambda t: F.array_contains(F.col("common"), t)),
-        F.lit(1), F.col("spare").cast("int"),
-    )
-    return parts.withColumn("common", _common_tokens(parts)).select(
-        F.col("f").alias("b"), F.col("n").alias("n_b"),
-        F.explode(F.array_except("tokens", left_out)).alias("token"),
+        ))).alias("token"),
     )
 
 
@@ -126,6 +103,24 @@ def _probes(folds: DataFrame, threshold: int) -> DataFrame:
     )
 
 
+def meetings(folds: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Pairs (a, n_a, b, n_b) that share one of the rarest pieces of the longer name.
+
+    How often a piece is asked for is counted exactly, over all names; each name
+    keeps the k + 1 pieces that are asked for least. A piece that many names
+    share, such as a given name, is left out wherever rarer ones are enough.
+    """
+    asked = _probes(folds, threshold)
+    often = asked.groupBy("token").agg(F.count("*").alias("often"))
+    rarest = Window.partitionBy("b").orderBy(F.coalesce("often", F.lit(0)), "token")
+    kept = (
+        lookup_join(_pieces(folds, threshold), often, ["token"])
+        .withColumn("_r", F.row_number().over(rarest)).where("_r <= need and often is not null")
+        .select("b", "n_b", "token")
+    )
+    return kept.join(asked, "token").where("n_a < n_b or a < b").select("a", "n_a", "b", "n_b")
+
+
 def similar_pairs(names: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """All pairs (earlier, later) of similar names with their score.
 
@@ -137,8 +132,7 @@ def similar_pairs(names: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     folds = names.select("f").distinct().withColumn("n", F.length("f")).where("n > 0")
     edits = _max_edits("n_a + n_b", threshold)
     candidates = (
-        _pieces(folds, threshold).join(_probes(folds, threshold), "token")
-        .where("n_a < n_b or a < b")
+        meetings(folds, threshold)
         # Edit distance with substitutions is never larger: a cheap first test in the JVM.
         .where(F.expr(f"levenshtein(a, b, int({edits})) >= 0"))
         .select("a", "b")

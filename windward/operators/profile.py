@@ -45,13 +45,14 @@ def fill_sex(
 ) -> DataFrame:
     """Fill a missing sex from a (first_name, p_male, p_female) table.
 
-    The larger probability wins; a tie or an unknown name stays null.
+    The larger probability wins; a tie or an unknown name stays null. Of several
+    rows of one name the most certain one is taken, whole.
     """
     male, female = F.coalesce("p_male", F.lit(0.0)), F.coalesce("p_female", F.lit(0.0))
     likely = (
         first_names.groupBy(F.lower("first_name").alias("_first"))
-        .agg(F.max("p_male").alias("p_male"), F.max("p_female").alias("p_female"))
-        .select("_first", F.when(male > female, "Men").when(female > male, "Women").alias("_likely"))
+        .agg(F.max(F.struct(F.greatest(male, female).alias("p"), F.abs(male - female).alias("by"), male.alias("m"), female.alias("f"))).alias("b"))
+        .select("_first", F.when(F.col("b.m") > F.col("b.f"), "Men").when(F.col("b.f") > F.col("b.m"), "Women").alias("_likely"))
     )
     rows = df.withColumn("_first", F.lower(text.first_token(F.col(name))))
     return (
@@ -61,7 +62,13 @@ def fill_sex(
     )
 
 
-def attach_location(df: DataFrame, places: DataFrame, key: str = "event_name") -> DataFrame:
-    """Coordinates of each event from a (key, lat, lon) table; unknown events get nulls."""
-    place = places.select(key, "lat", "lon").dropDuplicates([key])
+def attach_location(df: DataFrame, places: DataFrame, key: str = "event_name", order: Column | None = None) -> DataFrame:
+    """Coordinates of each event from a (key, lat, lon) table; unknown events get nulls.
+
+    Of several places of an event the last by ``order`` counts, at equal order or
+    without one the largest (lat, lon): never the one that happens to be read first.
+    """
+    at = F.struct("lat", "lon")
+    by = at if order is None else F.struct(order.alias("_order"), "lat", "lon")
+    place = places.groupBy(key).agg(F.max_by(at, by).alias("_at")).select(key, "_at.lat", "_at.lon")
     return lookup_join(df, place, [key], "left").select(*df.columns, "lat", "lon")

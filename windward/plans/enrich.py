@@ -1,4 +1,8 @@
-"""The three end-to-end jobs, each one lazy plan built by ``transform`` calls."""
+"""The end-to-end jobs, built by ``transform`` calls.
+
+``clean_segments`` and ``enrich_segments`` run jobs while they are called: what is read
+several times is written to the shared folder first.
+"""
 
 from __future__ import annotations
 
@@ -9,11 +13,12 @@ from windward.functions import text, times
 from windward.operators import columns, derived, filters, names, profile, upsert, weather
 from windward.operators.asof import nearest_join
 from windward.operators.lookup import lookup_join
-from windward.schemas import require_columns
+from windward.schemas import PROCESSED_COLUMNS, WEATHER_KEY, require_columns
 from windward.session import stage
 from windward.sources import race_xml
 from windward.sources.tables import typed_segments
 
+# Columns the processed layer does without.
 UNUSED = ["start_position", "rank_exit_scraped", "max_speed_kn", "max_vmg", "max_vmc", "avg_vmg"]
 SUPERSEDED = ["avg_speed_kn", "avg_vmc"]
 WEATHER_FIELDS = ["temperature_c", "pressure_hpa", "humidity_pct", "wind_speed_kn", "wind_dir_weather", "rain_mm"]
@@ -56,6 +61,11 @@ def clean_segments(
     )
 
 
+def latest_weather(table: DataFrame, order: list[str]) -> DataFrame:
+    """One reading per day, hour and city: the one written last by ``order``."""
+    return upsert.keep_last(table, WEATHER_KEY, [F.col(c) for c in order])
+
+
 def weather_readings(table: DataFrame) -> DataFrame:
     """Weather rows with the key and time the nearest join uses."""
     return table.select(
@@ -81,13 +91,14 @@ def timed_segments(segments: DataFrame) -> DataFrame:
 
 def attach_weather(
     timed: DataFrame, weather_table: DataFrame, points: DataFrame | None = None,
-    left_if_no_match: bool = False,
+    left_if_no_match: bool = False, order: list[str] | None = None,
 ) -> DataFrame:
-    """The weather reading nearest to mid-segment, at the same place and day."""
+    """The weather reading nearest to mid-segment, at the same place and day; of several at one
+    instant the last by ``order``."""
     readings = weather_readings(weather_table)
-    payload = [c for c in readings.columns if c not in PLACE_KEYS]
+    payload = [c for c in readings.columns if c not in [*PLACE_KEYS, *(order or [])]]
     return nearest_join(
-        timed, readings, PLACE_KEYS, "mid_seconds", "time_seconds", payload,
+        timed, readings, PLACE_KEYS, "mid_seconds", "time_seconds", payload, order,
         points=points, left_if_no_match=left_if_no_match, suffix="_weather",
     ).transform(columns.drop_suffixed, "_weather")
 
@@ -105,23 +116,34 @@ def covered_segments(
 
 
 def enrich_segments(
-    segments: DataFrame, weather_table: DataFrame, left_if_no_match: bool = False
+    segments: DataFrame, weather_table: DataFrame, left_if_no_match: bool = False,
+    weather_order: list[str] | None = None,
 ) -> DataFrame:
     """Cleaned segments and hourly weather to the processed layer.
 
+    ``weather_order`` names the columns that say which reading was written last; then
+    the last one per day, hour and city counts. Without it the table must hold one each.
+
     The timed segments are written once, so that texts are parsed once; ranks
     and weather are then looked up from narrow scans of that table, and the wide rows
     are read once. Segments without weather drop out first, so ranks count
     only the others.
     """
+    if weather_order:
+        weather_table = stage(latest_weather(weather_table, weather_order), "weather")
     timed = stage(timed_segments(segments), "timed")
     covered = covered_segments(timed, weather_table, left_if_no_match)
     return (
         covered.transform(derived.segment_ranks)
-        .transform(attach_weather, weather_table, timed, left_if_no_match)
+        .transform(attach_weather, weather_table, timed, left_if_no_match, weather_order)
         .drop("lat", "lon", "lat_key", "lon_key")
         .transform(derived.course_speeds)
         .transform(derived.distance_diffs)
         .transform(derived.sailing_angle)
         .transform(derived.wind_ratio)
     )
+
+
+def processed_layer(enriched: DataFrame) -> DataFrame:
+    """The 57 columns of the processed layer in their fixed order; a missing one is an error."""
+    return require_columns(enriched, PROCESSED_COLUMNS).select(*PROCESSED_COLUMNS)

@@ -13,9 +13,15 @@ from windward.plans.registry import query
 # ---------------------------------------------------------------- columns
 
 
-@query("SELECT p_partkey, p_brand, p_retailprice FROM part WHERE p_size >= 25")
+@query("SELECT p_partkey, p_brand, p_retailprice FROM part")
 def scan_projected(spark, d):
-    return s.table(spark, d, "part").where("p_size >= 25").select("p_partkey", "p_brand", "p_retailprice")
+    return s.table(spark, d, "part").select("p_partkey", "p_brand", "p_retailprice")
+
+
+@query("SELECT p_partkey, p_brand FROM part WHERE p_size >= 25")
+def scan_filtered(spark, d):
+    """The filter that reaches the scan is the feature here."""
+    return s.table(spark, d, "part").where("p_size >= 25").select("p_partkey", "p_brand")
 
 
 @query("SELECT n_nationkey AS place_id, n_name AS place, n_regionkey FROM nation")
@@ -167,12 +173,11 @@ def name_clean(spark, d):
     return s.table(spark, d, "customer").select("c_custkey", text.clean_name(raw).alias("name"))
 
 
-@query("SELECT event_id, CAST(value AS VARCHAR) AS direction FROM events WHERE value >= 0.01")
+@query("SELECT event_id, value AS direction FROM events")
 def wind_text(spark, d):
     shown = F.concat(F.lit(" Wind "), F.format_string("%.2f", "value"), F.lit("° "))
-    e = s.table(spark, d, "events").where("value >= 0.01")
-    # Trailing zeros differ between ways of printing a double: print the parsed number.
-    return e.select("event_id", text.wind_text(shown).cast("double").cast("string").alias("direction"))
+    # Trailing zeros differ between ways of printing a double: compare the parsed number.
+    return s.table(spark, d, "events").select("event_id", text.wind_text(shown).cast("double").alias("direction"))
 
 
 @query("""SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS lenient, value AS strict FROM events""")

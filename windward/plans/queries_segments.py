@@ -384,7 +384,7 @@ CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END AS kind_signup,
 CASE WHEN event_type = 'view' THEN 1 ELSE 0 END AS kind_view FROM events""")
 def one_hot(spark, d):
     e = s.table(spark, d, "events").select("event_id", F.nullif("event_type", F.lit("error")).alias("kind"))
-    return features.one_hot(e, features.categories(e, ["kind"]))
+    return features.one_hot(e, {"kind": ["click", "purchase", "signup", "view"]})
 
 
 _HASH = "('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '{}'), 1, 8))::BIGINT"
@@ -449,18 +449,11 @@ def model_matrix(spark, d):
     return m.withColumns({c: F.round(c, 9) for c in ("wind_dir_site_sin", "wind_dir_site_cos")})
 
 
-VALUES = {
-    "sex": ["Men", "Women"],
-    "age_class": features.AGE_CLASSES,
-    "point_of_sail": sorted(label for _, label in metrics.POINTS_OF_SAIL),
-}
-
-
 def _split(spark, d):
-    m = features.model_matrix(_processed(spark, d), "rank_v2", VALUES, keep=ID)
+    m = features.model_matrix(_processed(spark, d), "rank_v2", keep=ID)
     names_ = features.feature_names(m, "rank_segment", ID)
     key = F.col("race_id")
-    return features.with_fold(features.with_split(m, key), key), names_
+    return stage(features.with_fold(features.with_split(m, key), key), "matrix"), names_
 
 
 SMALL = {"n_estimators": 8, "max_depth": 5, "min_samples_leaf": 2, "max_features": "sqrt"}

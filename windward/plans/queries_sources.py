@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from windward.functions import text
-from windward.operators import upsert
+from windward.operators import filters, upsert
+from windward.plans import collect, enrich
 from windward.plans import standins as s
 from windward.plans.registry import query
 from windward.session import run_dir
@@ -28,6 +29,66 @@ def xml_explode(spark, d):
     )
 
 
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS race_id, CASE o_orderkey % 5 WHEN 0 THEN 'null'
+WHEN 1 THEN 'not well-formed' ELSE 'no racer' END AS reason FROM orders WHERE o_orderkey % 5 < 3""")
+def xml_rejects(spark, d):
+    """Documents that give no rows, each with its reason."""
+    kind = F.col("race_id").cast("bigint") % 5
+    broken = (
+        F.when(kind == 0, F.lit(None)).when(kind == 1, F.replace("xml", F.lit("</ArrayOfDato>"), F.lit("")))
+        .when(kind == 2, F.lit("<ArrayOfDato><Other/></ArrayOfDato>")).otherwise(F.col("xml"))
+    )
+    races = s.race_xml(spark, d).select("race_id", broken.alias("xml"))
+    return race_xml.rejected_races(races).select("race_id", "reason")
+
+
+_STATUS = """CASE WHEN page_id % 7 = 0 THEN 'known' WHEN page_id % 5 = 0 THEN 'no token' WHEN page_id % 9 = 0 THEN 'no document'
+WHEN page_id % 4 >= 2 THEN 'no event' WHEN page_id % 3 = 0 THEN 'not well-formed' ELSE 'new' END"""
+
+
+def _races(spark, d):
+    """Saved pages as races: some known, some without token, event or sound document."""
+    pages = s.page_scripts(spark, d).select(
+        "page_id", F.col("page_id").cast("string").alias("race_id"), "html", F.concat(F.lit("Wind "), F.col("page_id") % 360, F.lit("°")).alias("wind"))
+    i = F.col("page_id")
+    xml = F.concat(F.lit("<a><StatisticheDato><Nome>N"), i, F.lit("</Nome><cInfoRaceSegment><SegNum>1</SegNum></cInfoRaceSegment></StatisticheDato>"))
+    documents = pages.where(i % 9 != 0).select("race_id", F.when(i % 3 == 0, xml).otherwise(F.concat(xml, F.lit("</a>"))).alias("xml"))
+    return collect.assemble_races(
+        pages.select("race_id", (i % 5 != 0).alias("ok")), pages, documents, pages.where(i % 7 == 0).select("race_id"))
+
+
+@query(f"""SELECT CAST(page_id AS VARCHAR) AS race_id, 'E' || n AS event_name, 'R' || n AS course,
+CAST(page_id % 360 AS DOUBLE) AS wind_dir_site, 'N' || page_id AS athlete_name, 1 AS segment_no
+FROM (SELECT page_id, regexp_extract(html, 'track\\(([0-9]+)\\);', 1) AS n, {_STATUS} AS status FROM pages) WHERE status = 'new'""")
+def race_assembly(spark, d):
+    """Page, document and request of each new race brought together, and its segments typed."""
+    return collect.bronze_segments(_races(spark, d)).select("race_id", "event_name", "course", "wind_dir_site", "athlete_name", "segment_no")
+
+
+@query(f"""SELECT CAST(page_id AS VARCHAR) AS race_id, {_STATUS} AS status, {_STATUS} IN ('known', 'new') AS ok FROM pages""")
+def ingest_log(spark, d):
+    return collect.ingest_log(_races(spark, d))
+
+
+@query(f"""SELECT count(*) AS total, count(*) FILTER (status IN ('known', 'new')) AS succeeded,
+count(*) FILTER (status NOT IN ('known', 'new')) AS failed FROM (SELECT {_STATUS} AS status FROM pages)""")
+def ingest_report(spark, d):
+    """The run report, from the log of a run."""
+    return filters.run_report(collect.ingest_log(_races(spark, d)), F.col("ok"))
+
+
+@query("""SELECT day, month, year, city, n AS hours, last FROM (SELECT day(ts)::INTEGER AS day, month(ts)::INTEGER AS month, year(ts)::INTEGER AS year,
+'Site ' || CAST(user_id % 25 AS VARCHAR) AS city, count(DISTINCT strftime(ts, '%H')) AS n, arg_max(value, event_id) AS last
+FROM events GROUP BY ALL)""")
+def weather_latest(spark, d):
+    """Readings written again and again: the last one of each hour counts, and with it the last of the day."""
+    w = s.site_events(spark, d).select(
+        F.dayofmonth("ts").alias("day"), F.month("ts").alias("month"), F.year("ts").alias("year"), F.date_format("ts", "HH:00:00").alias("time"),
+        F.concat(F.lit("Site "), F.col("site").cast("string")).alias("city"), "event_id", "value")
+    latest = enrich.latest_weather(w, ["event_id"])
+    return latest.groupBy("day", "month", "year", "city").agg(F.count("*").alias("hours"), F.max_by("value", "event_id").alias("last"))
+
+
 @query("SELECT o_orderkey, '<a>' || o_orderpriority || '</a>' AS body FROM orders")
 def xml_envelope(spark, d):
     whole = F.concat(
@@ -141,5 +202,5 @@ def stream_ingest(spark, d):
     for landed in (orders.where("o_orderstatus = 'F'"), orders):
         landed.write.mode("append").parquet(landing)
         stream = ingest.file_stream(spark, landing, orders.schema, "*.parquet")
-        ingest.ingest_new(stream, f"{root}/table", f"{root}/checkpoint", "o_orderkey", schema=orders.schema)
+        ingest.ingest_new(stream, f"{root}/table", f"{root}/checkpoint", "o_orderkey")
     return read_batches(spark, f"{root}/table", orders.schema)

@@ -64,7 +64,10 @@ def courses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def race_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as race documents: one racer with 0 to 3 segments, every third also a nameless one."""
+    """Orders as race documents: one racer with 0 to 3 segments, every third also a nameless one.
+
+    Some have prefixed elements, some a racer in a comment, some the name one level down.
+    """
     o = table(spark, sf_dir, "orders")
     segment = (
         "transform(if(o_orderkey % 4 = 0, array(), sequence(1, int(o_orderkey % 4))), i -> concat("
@@ -76,14 +79,18 @@ def race_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     nameless = "if(o_orderkey % 3 = 0, '<StatisticheDato><Seriale>0</Seriale></StatisticheDato>', '')"
     xml = F.expr(
         "concat('<?xml version=\"1.0\"?>\n<string xmlns=\"http://a/\"><ArrayOfDato xmlns=\"http://b/\">',"
-        "'<StatisticheDato><Nome>C', o_custkey, '</Nome><Seriale>', o_orderkey, '</Seriale>',"
+        "if(o_orderkey % 6 = 0, '<!-- <StatisticheDato><Nome>Ghost</Nome></StatisticheDato> -->', ''),"
+        "'<StatisticheDato>', if(o_orderkey % 5 = 0, '<Who>', ''), '<Nome>C', o_custkey, '</Nome>', if(o_orderkey % 5 = 0, '</Who>', ''),"
+        "'<Seriale>', o_orderkey, '</Seriale>',"
         "'<LungLato>100</LungLato><Segments>', "
         f"array_join({segment}, ''), '</Segments></StatisticheDato>', {nameless}, '</ArrayOfDato></string>')"
     )
+    prefixed = F.regexp_replace(F.regexp_replace(xml, "<(/?)(StatisticheDato|Nome|cInfoRaceSegment|SegNum)(?=[ >])", "<$1p:$2"),
+                                "<ArrayOfDato", '<ArrayOfDato xmlns:p="http://p/"')
     return o.select(
         F.col("o_orderkey").cast("string").alias("race_id"),
         F.col("o_orderpriority").alias("course"),
-        xml.alias("xml"),
+        F.when(F.col("o_orderkey") % 7 == 0, prefixed).otherwise(xml).alias("xml"),
     )
 
 

@@ -11,6 +11,8 @@ from windward.operators import features, model
 from windward.session import stage
 from windward.sources.tables import write_run
 
+RUN_STAMP = "%Y-%m-%d_%H-%M-%S"  # fixed value: how a run is named
+
 
 def train(
     processed: DataFrame,
@@ -21,26 +23,27 @@ def train(
     preset: str = features.DEFAULT_PRESET,
     parallelism: int = 4,
     run_ts: str | None = None,
+    values: dict[str, list] | None = None,
+    resume: bool = False,
 ) -> tuple[RandomForestRegressionModel, DataFrame]:
     """Search, save and evaluate a forest; returns it with its held-out metrics.
 
     ``by`` is the row key that decides split and fold; rows that must not be
     torn apart, such as one race's, share it. The matrix is written once and
-    every fit reads that table. A model already saved for the same features,
-    target and grid is loaded instead; then no run tables are written.
+    every fit reads that table. With ``resume`` a model saved for the same data,
+    features, target and grid is loaded instead. Run tables are written either way.
     """
     spark = processed.sparkSession
     target = features.PRESETS[preset].target
-    matrix = features.model_matrix(processed, preset, keep=key)
+    matrix = features.model_matrix(processed, preset, values, keep=key)
     names = features.feature_names(matrix, target, key)
     data = stage(features.with_fold(features.with_split(matrix, by), by), "matrix")
     train_rows, test_rows = data.where("is_train"), data.where("not is_train")
     fitted, found = model.load_or_fit(
-        model.model_path(root, names, target, grid),
-        lambda: model.grid_search(train_rows, names, target, grid, parallelism=parallelism),
+        spark, model.model_path(root, names, target, grid, model.data_version(train_rows)),
+        lambda: model.grid_search(train_rows, names, target, grid, parallelism=parallelism), resume,
     )
     metrics = model.regression_metrics(model.predict(fitted, test_rows, names, target))
-    if found is not None:
-        tables = model.run_tables(spark, found, metrics, model.importances(spark, fitted, names), data)
-        write_run(tables, f"{root}/runs", run_ts or datetime.now().strftime("%Y-%m-%d_%H-%M-%S"))
+    tables = model.run_tables(spark, found, metrics, model.importances(spark, fitted, names), data)
+    write_run(tables, f"{root}/runs", run_ts or datetime.now().strftime(RUN_STAMP))
     return fitted, metrics

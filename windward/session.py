@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -21,7 +23,12 @@ SQL_SETTINGS = {
 }
 
 
+_OWN: list[str] = []  # the folder of local sessions without the setting
+_STAGED: list[str] = []
+
+
 def apply_settings(spark: SparkSession) -> SparkSession:
+    """Set ``SQL_SETTINGS`` on the given session; they stay for its later queries."""
     for key, value in SQL_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
@@ -59,15 +66,20 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local session without the setting gets a folder of its own; on a
-    cluster a machine-local folder would lose data with its machine.
+    Only a local session without the setting gets a folder of its own, which goes
+    with the process; on a cluster a machine-local folder would lose data with
+    its machine, so there the setting must name a folder of a shared store.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.sparkContext.master.startswith("local")
+    if not local and (not path or ":" not in path.split("/")[0] or path.startswith("file:")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder all executors share, not {path}")
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="windward-")
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="windward-"))
+        atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)
+    return _OWN[0]
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
@@ -83,4 +95,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = run_dir(spark, label)
     df.write.parquet(path)
+    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete the intermediate tables this process has staged; for the end of a job, when its results are written."""
+    n = len(_STAGED)
+    while _STAGED:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return n

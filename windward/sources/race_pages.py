@@ -16,12 +16,10 @@ MISSING = "N/A"
 
 
 def read_saved_pages(spark: SparkSession, folder: str, pattern: str = "*.html") -> DataFrame:
-    """Each saved page as one row (path, html). Unreadable files are skipped."""
+    """Each saved page as one row (path, html). A file that cannot be read is an error, not a gap."""
     return (
         spark.read.option("wholetext", True)
         .option("pathGlobFilter", pattern)
-        .option("ignoreCorruptFiles", True)
-        .option("ignoreMissingFiles", True)
         .text(folder)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
     )

@@ -10,6 +10,13 @@ from pyspark.sql import types as T
 from windward.functions import text, times
 from windward.operators.columns import rename_columns
 from windward.schemas import DOUBLE_COLUMNS, INT_COLUMNS, SHEET_HEADERS
+from windward.session import stage
+
+
+WIND_HEADER = "Orientation vent site"
+# Whole texts that are a day, alone or with a clock time.
+_CLOCK = r"(?:[ T][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:[.][0-9]+)?)?Z?)?$"
+DAY_FORMS = [(r"^([0-9]{4}-[0-9]{2}-[0-9]{2})" + _CLOCK, "yyyy-MM-dd"), (r"^([0-9]{2}/[0-9]{2}/[0-9]{4})" + _CLOCK, "dd/MM/yyyy")]
 
 
 class EmptyResult(ValueError):
@@ -32,16 +39,18 @@ def read_table(
         raise
 
 
-def read_sheet_export(spark: SparkSession, path: str) -> DataFrame:
-    """A spreadsheet saved as CSV: its headers become our column names, all text."""
+def read_sheet_export(spark: SparkSession, path: str, wind_header: str = WIND_HEADER) -> DataFrame:
+    """A spreadsheet saved as CSV: its headers become our column names, all text.
+
+    The header of the wind direction varies between sheets, so it is an argument.
+    """
     df = read_table(spark, path, fmt="csv", header="true", multiLine="true", escape='"')
-    named = rename_columns(df, SHEET_HEADERS)
-    wind = [c for c in named.columns if c.startswith("Orientation vent")]
-    return rename_columns(named, {c: "wind_dir_site" for c in wind[:1]})
+    return rename_columns(df, SHEET_HEADERS | {wind_header: "wind_dir_site"})
 
 
 def typed_segments(bronze: DataFrame, zone: str | None = None) -> DataFrame:
-    """Cast the landed texts; text that is no number becomes null.
+    """Cast the landed texts; text that is no number, or not wholly a day, becomes null.
+    ``unreadable_days`` counts the latter.
 
     With ``zone`` the segment clocks are epoch seconds still to be turned into
     clock times of that zone.
@@ -53,8 +62,7 @@ def typed_segments(bronze: DataFrame, zone: str | None = None) -> DataFrame:
     if "race_date" in bronze.columns:
         day = F.col("race_date").cast("string")
         casts["race_date"] = F.coalesce(
-            F.try_to_date(F.substring(day, 1, 10), "yyyy-MM-dd"),
-            F.try_to_date(F.substring(day, 1, 10), "dd/MM/yyyy"),
+            *[F.when(day.rlike(shape), F.try_to_date(F.regexp_extract(day, shape, 1), form)) for shape, form in DAY_FORMS],
         )
     if zone:
         for c in ("segment_start_clock", "segment_end_clock"):
@@ -62,11 +70,22 @@ def typed_segments(bronze: DataFrame, zone: str | None = None) -> DataFrame:
     return bronze.withColumns(casts)
 
 
+def unreadable_days(bronze: DataFrame, column: str = "race_date") -> DataFrame:
+    """One row (value, n) per landed text that is no day."""
+    day = F.col(column).cast("string")
+    read = typed_segments(bronze.select(F.col(column).alias("race_date"), day.alias("value")))
+    return read.where("race_date is null and value is not null").groupBy("value").agg(F.count("*").alias("n"))
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
-    """Write Parquet, or raise EmptyResult and leave the target alone when there is no row."""
-    if df.isEmpty():
+    """Write Parquet, or raise EmptyResult and leave the target alone when there is no row.
+
+    The plan runs once: into the shared folder, and from there to the target.
+    """
+    staged = stage(df, "table")
+    if staged.isEmpty():
         raise EmptyResult(f"nothing to write to {path}")
-    writer = df.write.mode(mode)
+    writer = staged.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

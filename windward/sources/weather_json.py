@@ -22,8 +22,10 @@ def parse_payload(df: DataFrame, payload: str = "payload", absent_is_zero: bool
     readings. Pressure, humidity and wind direction stay null either way.
     """
     zero = (lambda c: F.coalesce(c, F.lit(0.0))) if absent_is_zero else (lambda c: c)
-    parsed = df.withColumn("_h", F.try_element_at(F.from_json(F.col(payload), PAYLOAD)["data"], F.lit(1)))
-    return parsed.where(F.col("_h").isNotNull()).withColumns({
+    # Exploding the first entry drops payloads without one; a filter after the parse would parse twice.
+    first = F.slice(F.from_json(F.col(payload), PAYLOAD)["data"], 1, 1)
+    parsed = df.withColumn("_h", F.explode(F.filter(first, lambda h: h.isNotNull())))
+    return parsed.withColumns({
         "temperature_c": F.round(zero(F.col("_h.temp")), 2),
         "wind_speed_kn": ms_to_knots(zero(F.col("_h.wind_speed"))),
         "pressure_hpa": F.col("_h.pressure"),

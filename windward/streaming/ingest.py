@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from windward.operators.upsert import not_yet_known
+from windward.operators.upsert import keep_last, not_yet_known
 from windward.streaming.log_table import read_batches, write_batch
 
 
@@ -23,27 +24,44 @@ def _run(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], No
 
 def file_stream(
     spark: SparkSession, folder: str, schema: T.StructType, pattern: str, fmt: str = "parquet",
-    max_files: int | None = None,
+    max_files: int | None = None, **options: str,
 ) -> DataFrame:
-    reader = spark.readStream.format(fmt).schema(schema).option("pathGlobFilter", pattern)
+    reader = spark.readStream.format(fmt).schema(schema).options(**options).option("pathGlobFilter", pattern)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(folder)
 
 
+def document_stream(spark: SparkSession, folder: str, pattern: str = "*.xml", max_files: int | None = None) -> DataFrame:
+    """Landed files as a stream of whole documents: (path, landed, xml)."""
+    schema = T.StructType([T.StructField("value", T.StringType())])
+    files = file_stream(spark, folder, schema, pattern, "text", max_files, wholetext="true")
+    return files.select(F.col("_metadata.file_path").alias("path"),
+                        F.col("_metadata.file_modification_time").alias("landed"), F.col("value").alias("xml"))
+
+
 def ingest_new(
     stream: DataFrame, table: str, checkpoint: str, key: str,
-    transform: Callable[[DataFrame], DataFrame] = lambda df: df, schema: T.StructType | None = None,
+    transform: Callable[[DataFrame], DataFrame] = lambda df: df,
+    order: list[Column] | None = None,
 ) -> None:
     """Process what has landed since the last run, skipping races the table already holds.
 
-    A race is compared with earlier batches only, so a retried batch does not
-    skip its own rows. Known races are removed before ``transform`` does its work.
+    Of a race that landed several times since then the last document by ``order``
+    counts (by default by all its columns); rows without a key all stay. A ledger beside the table,
+    one folder per batch, holds the keys taken; a batch is compared with earlier
+    ones only, so a retried batch does not skip its own rows. Known races
+    are removed before ``transform`` does its work.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        known = read_batches(spark, table, schema or transform(batch).schema, before=batch_id)
-        write_batch(transform(not_yet_known(batch, known, key)), table, batch_id)
+        ledger = T.StructType([batch.schema[key]])
+        known = read_batches(spark, f"{table}_keys", ledger, before=batch_id)
+        fresh = not_yet_known(batch, known, key)
+        last = order or [F.struct(*[c for c in batch.columns if c != key])] if len(batch.columns) > 1 else [F.lit(0)]
+        kept = keep_last(fresh.where(F.col(key).isNotNull()), [key], last).unionByName(fresh.where(F.col(key).isNull()))
+        write_batch(transform(kept), table, batch_id)
+        write_batch(kept.select(key).where(F.col(key).isNotNull()), f"{table}_keys", batch_id)
 
     _run(stream, checkpoint, each)
 
