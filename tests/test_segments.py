@@ -153,7 +153,7 @@ def test_race_stream_takes_each_race_once(spark, tmp_path, rows):
     schema = spark.createDataFrame([], "race_id string, v int").schema
     def run():
         ingest.ingest_new(
-            ingest.file_stream(spark, land, schema, "*.parquet"), table, check, "race_id", [F.col("v")]
+            ingest.file_stream(spark, land, schema, "*.parquet"), table, check, "race_id", order=[F.col("v")]
         )
         return rows(read_batches(spark, table, schema), "race_id", "v")
 
