@@ -45,7 +45,7 @@ def test_edges(edges, rows):
     assert {r.doc_id: r.class_id for r in got}[3] == 1
     kept = jaccard.keep_one(edges)
     assert kept.columns == edges.columns
-    assert kept.count() == len({(r.class_id) for r in got})
+    assert kept.count() == len({(r.doc_id, r.text_key) for r in got if r.kept})
 
 
 def test_clusters_chains_and_split_buckets(frame, make_words, monkeypatch):
