@@ -124,19 +124,24 @@ def enrich_segments(
     ``weather_order`` names the columns that say which reading was written last; then
     the last one per day, hour and city counts. Without it the table must hold one each.
 
-    The timed segments are written once, so that texts are parsed once; ranks
-    and weather are then looked up from narrow scans of that table, and the wide rows
-    are read once. Segments without weather drop out first, so ranks count
-    only the others.
+    The timed segments are written once, with a row number. Ranks and weather are
+    looked up on a narrow table of what they need, so the wide rows are shuffled
+    once, to meet their results. Segments without weather drop out first, so
+    ranks count only the others.
     """
     if weather_order:
         weather_table = stage(latest_weather(weather_table, weather_order), "weather")
-    timed = stage(timed_segments(segments), "timed")
-    covered = covered_segments(timed, weather_table, left_if_no_match)
-    return (
+    timed = stage(timed_segments(segments).withColumn("_row", F.monotonically_increasing_id()), "timed")
+    narrow = timed.select("_row", *derived.SEGMENT_KEY, *PLACE_KEYS, "mid_seconds", "segment_time_s", "segment_end")
+    covered = stage(covered_segments(narrow, weather_table, left_if_no_match), "covered")
+    found = (
         covered.transform(derived.segment_ranks)
-        .transform(attach_weather, weather_table, timed, left_if_no_match, weather_order)
-        .drop("lat", "lon", "lat_key", "lon_key")
+        .transform(attach_weather, weather_table, covered, left_if_no_match, weather_order)
+    )
+    new = [c for c in found.columns if c not in timed.columns]
+    return (
+        lookup_join(timed, found.select("_row", *new), ["_row"], "inner")
+        .drop("_row", "lat", "lon", "lat_key", "lon_key")
         .transform(derived.course_speeds)
         .transform(derived.distance_diffs)
         .transform(derived.sailing_angle)

@@ -485,3 +485,19 @@ def rf_grid(spark, d):
     )
     rows = [(str(sorted(point.items())), score, point == found.best) for point, score in found.scores]
     return spark.createDataFrame(rows, "point string, cv_r2 double, is_best boolean")
+
+
+@query(f"""SELECT count(*) FILTER (NOT train) AS held_out, CAST(15 AS BIGINT) AS features,
+1.0::DOUBLE AS importance, CAST(4 AS BIGINT) AS points, true AS best_is_a_point
+FROM (SELECT {_HASH.format(':13').replace('l_orderkey', 'race_id')} % 100 < 80 AS train FROM {_PROCESSED}
+WHERE age_class IN ('U17', 'U19') AND sex IS NOT NULL)""")
+def rf_facts(spark, d):
+    """What must hold for any forest of these rows: held-out rows, whole importances, a score per point."""
+    data, names_ = _split(spark, d)
+    train_rows, test_rows = data.where("is_train"), data.where("not is_train")
+    found = model.grid_search(train_rows, names_, "rank_segment", {**{k: [v] for k, v in SMALL.items()}, "min_samples_split": [2, 4], "max_depth": [3, 5]})
+    m = model.regression_metrics(model.predict(found.model, test_rows, names_, "rank_segment"))
+    total = round(float(sum(found.model.featureImportances.toArray())), 9)
+    return m.select(
+        F.col("n").alias("held_out"), F.lit(len(names_)).cast("bigint").alias("features"), F.lit(total).alias("importance"),
+        F.lit(len(found.scores)).cast("bigint").alias("points"), F.lit(found.best in [p for p, _ in found.scores]).alias("best_is_a_point"))
