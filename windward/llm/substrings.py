@@ -119,7 +119,7 @@ class Text:
             first, count = first[inside[first]], count[inside[first]]
         starts.append(first + start)
         counts.append(count)
-        grams.append(hashed[least[first] & np.uint64(2**_PLACE - 1)])
+        grams.append(mix(hashed[least[first] & np.uint64(2**_PLACE - 1)]))  # minima are small numbers; spread them again
 
 
 def _bits(x: np.ndarray) -> bytes:
