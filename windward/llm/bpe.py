@@ -29,7 +29,7 @@ SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Words without inner white space, with one space before where there is one. The pre-tokenizer
 #: never looks across such a word's ends, so each has its ids whatever stands around it.
 CHUNK = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
-PIECE_BYTES = 6_000_000
+PIECE_BYTES = 2_500_000
 LONG_WORD = 96
 NO_RANK = np.int64(1 << 40)
 

@@ -22,7 +22,7 @@ RECALL = 0.9999
 DEPTH = 3
 LEAF = 500
 CHUNK = 1_500
-PIECE_BYTES = 8_000_000
+PIECE_BYTES = 2_500_000
 WORD = re.compile(r"\w+")
 
 
