@@ -18,6 +18,8 @@ SQL_SETTINGS = {
     # HotSpot does not compile a method beyond 8,000 bytes of byte code. Wide projections
     # exceed that as one generated method and then run many times slower than operator by operator.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # What a Python worker is handed at a time; texts are long, so rows are no measure.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     # Splitting a skewed join partition is worth a shuffle that follows from it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
