@@ -98,7 +98,8 @@ def bucketed(rows: DataFrame, buckets: int, label: str) -> DataFrame:
 
     Spark moves the side with fewer partitions, so there are at least as many buckets as shuffle partitions.
     """
-    buckets = max(buckets, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    conf = rows.sparkSession.conf
+    buckets = min(max(buckets, int(conf.get("spark.sql.shuffle.partitions"))), int(conf.get("spark.sql.sources.bucketing.maxBuckets")))
     path = run_dir(rows.sparkSession, label)
     name = os.path.basename(path).replace("-", "_")
     rows.write.bucketBy(buckets, "block").option("path", path).option("compression", "zstd").saveAsTable(name)
