@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windward.llm.common import MIX, expand, factor, narrow, pieces, starts_of
@@ -366,37 +366,51 @@ def word_counts(docs: DataFrame, tokenizer: str, flush: int = 300_000) -> DataFr
     return docs.select("text").mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def frequent_words(docs: DataFrame, tokenizer: str, most: int) -> list[str]:
-    """The words that occur at least c times, for the least c >= 2 that leaves at most ``most`` of them."""
+def frequent_words(docs: DataFrame, tokenizer: str, most: int) -> DataFrame:
+    """(word): the words that occur at least c times, for the least c >= 2 that leaves at most ``most`` of them."""
     counts = stage(word_counts(docs, tokenizer).filter("n > 1 and length(word) <= 64"), "word-counts")
     by_count = counts.groupBy("n").agg(F.count("*").alias("words"))
     total = counts.count()
     least = before_each(by_count, [], "n", "words", "below").filter(F.lit(total) - F.col("below") <= most).agg(F.min("n")).first()[0]
-    if least is None:
-        return []
-    return [r.word for r in counts.filter(F.col("n") >= least).select("word").collect()]  # at most ``most`` rows
+    return counts.filter(F.col("n") >= F.lit(least).cast("long")).select("word")
 
 
-def publish_lexicon(spark: SparkSession, words: list[str], tokenizer: str) -> str:
-    """Compile words into a lexicon file in the shared folder and hand it to every executor."""
-    merges = Merges(tokenizer)
+def pack_lexicon(words: list[str], merges: Merges) -> bytes:
+    """The lexicon file of distinct words."""
     words = [w for w in words if w not in merges.added]
     parts, order = build_automaton([w.encode() for w in words])
     ids, counts = merges.chunk_ids(words)
     parts["ids"] = ids[expand(starts_of(counts)[order], counts[order])].astype(np.int32)
     parts["first"] = np.concatenate([[0], np.cumsum(counts[order])]).astype(np.int64)
+    return Lexicon.pack(parts)
+
+
+def publish_lexicon(words: DataFrame, tokenizer: str) -> str | None:
+    """Compile words into a lexicon file in the shared folder and hand it to every executor.
+
+    One task compiles the words, whose number is bounded; the driver sees the file's bytes only.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = [w for batch in batches for w in batch.column("word").to_pylist()]
+        if listed:
+            yield pa.RecordBatch.from_arrays([pa.array([pack_lexicon(listed, encoder(tokenizer, None).merges)], pa.binary())], ["lexicon"])
+
+    spark = words.sparkSession
+    blob = words.coalesce(1).mapInArrow(run, "lexicon binary").first()
+    if blob is None:
+        return None
     path = run_dir(spark, "lexicon")
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
-    out.write(bytearray(Lexicon.pack(parts)))
+    out.write(blob.lexicon)
     out.close()
     spark.sparkContext.addFile(path)
     return os.path.basename(path)
 
 
-def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 100_000) -> str:
+def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 100_000) -> str | None:
     """Count the words of all documents and publish the frequent ones. ``most`` bounds the file, not the text."""
-    return publish_lexicon(docs.sparkSession, frequent_words(docs, tokenizer, most), tokenizer)
+    return publish_lexicon(frequent_words(docs, tokenizer, most), tokenizer)
 
 
 def default_tokenizer() -> str:
