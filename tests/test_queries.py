@@ -24,7 +24,7 @@ def duck():
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF)
     columns = sorted(df.columns)
-    got = Counter(tuple(r[c] for c in columns) for r in df.collect())
+    got = Counter(tuple(tuple(r[c]) if isinstance(r[c], list) else r[c] for c in columns) for r in df.collect())
     assert got
     if name in SQL:
         cur = duck.execute(SQL[name])
