@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from windward.functions import metrics
 from windward.operators import derived, distributions, features, model, names, profile, weather
 from windward.operators.asof import nearest_join, unmatched_groups
 from windward.operators.lookup import lookup_join
