@@ -61,6 +61,17 @@ def test_mixed_contexts_are_not_trusted(frame):
     assert all(r.spans == "" for r in personal_data(frame(docs)).filter("doc_id >= 10").collect())
 
 
+def test_identifiers_with_digit_runs_are_discovered(frame):
+    seeds = [(i, f"please write to user{i}@host{i}.org today or later") for i in range(30)]
+    ids = ["AB-123456", "555-0143", "078-05-1120", "GB82WEST12345698765432", "9f86d081884c7d65", "10.20.30.400", "4111 1111 1111 1112"]
+    docs = seeds + [(100 + i, f"please write to {x} today or later") for i, x in enumerate(ids)]
+    docs += [(200, "please write to 4111 1111 1111 1111 today or later")]
+    got = {r.doc_id: r for r in personal_data(frame(docs)).collect()}
+    for i, x in enumerate(ids):
+        assert got[100 + i].spans == f"email:16:{16 + len(x)}" and got[100 + i].n_card == got[100 + i].n_ip == 0
+    assert got[200].spans == "card:16:35"  # a match that passes still blocks the words in it
+
+
 def test_empty(no_docs):
     assert personal_data(no_docs).count() == 0
 

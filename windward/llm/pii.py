@@ -48,12 +48,13 @@ def _near(text: Column, side: str) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(id, tk, kind, start, end, match, ok, left, right) of every match, in code points.
+    """(id, tk, kind, start, end, match, ok, open, left, right) of every match, in code points.
 
     A text with n matches of a pattern splits into n + 1 pieces; running sums of
     the lengths are the offsets. One shuffle brings the matches of a document
-    together, never its text. ``ok``: the match passes its kind's test; a token is
-    ok if no other match, passing or not, touches it.
+    together, never its text. ``ok``: the match passes its kind's test. ``open``: a
+    token, or a match that fails its test, that may be an unseen identifier: no match
+    that passes touches it. A failed match inside an open token is only a part of that word.
     """
     kinds = F.array(*[F.struct(
         F.lit(k).alias("kind"), F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias("m"),
@@ -71,13 +72,17 @@ def candidates(docs: DataFrame) -> DataFrame:
     spans = spans.withColumn("match", F.when(F.col("kind") == "token", trimmed).otherwise(F.col("match")))
     spans = spans.withColumn("end", F.col("start") + F.length("match"))
     base = F.col("kind") != "token"
-    doc = Window.partitionBy("id", "tk").orderBy("start", F.when(base, 0).otherwise(1), "kind")
-    before = F.max(F.when(base, F.col("end"))).over(doc.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.min(F.when(base, F.col("start"))).over(doc.rowsBetween(1, Window.unboundedFollowing))
-    free = (F.coalesce(before, F.lit(0)) <= F.col("start")) & (F.coalesce(after, F.col("end")) >= F.col("end")) & (F.length("match") >= 6)
-    return spans.withColumn("free", free).select(
-        "id", "tk", "kind", F.col("start").cast("long"), F.col("end").cast("long"), "match",
-        F.when(base, _valid(F.col("kind"), F.col("match"))).otherwise(F.col("free")).alias("ok"), "left", "right")
+    spans = spans.withColumn("ok", base & _valid(F.col("kind"), F.col("match")))
+    order = [F.col("start"), F.when(F.col("ok"), 0).when(base, 2).otherwise(1), F.col("kind")]
+    doc = Window.partitionBy("id", "tk").rowsBetween(Window.unboundedPreceding, -1)
+    earlier, later = doc.orderBy(*order), doc.orderBy(*[c.desc() for c in order])  # a frame to the end of the text would be quadratic
+    before = F.max(F.when(F.col("ok"), F.col("end"))).over(earlier)
+    after = F.min(F.when(F.col("ok"), F.col("start"))).over(later)
+    free = (F.coalesce(before, F.lit(0)) <= F.col("start")) & (F.coalesce(after, F.col("end")) >= F.col("end"))
+    spans = spans.withColumn("free", ~F.col("ok") & free & (F.length("match") >= 6))
+    word = F.max(F.when(F.col("free") & ~base, F.col("end"))).over(earlier)
+    return spans.withColumn("open", F.col("free") & (~base | (F.coalesce(word, F.lit(0)) < F.col("end")))).select(
+        "id", "tk", "kind", F.col("start").cast("long"), F.col("end").cast("long"), "match", "ok", "open", "left", "right")
 
 
 def shape(match: Column) -> Column:
@@ -89,21 +94,21 @@ def bootstrap(spans: DataFrame, rounds: int = 3, min_seeds: int = 3, min_confide
     """Spans of unseen identifiers: (id, tk, kind, start, end).
 
     A pattern is a kind with the words left and right of an entity. Seeds score 1,
-    other tokens 0. In each round a pattern scores the mean over its distinct
-    entities, and a token the best of its patterns with ``min_seeds`` distinct seeds
-    of one kind. After the last round a token in a pattern of at least
-    ``min_confidence`` is new, if its shape is not that of a plain number and its
-    own score reaches the same bound. Patterns and entities are only ever
+    open instances 0. In each round a pattern scores the mean over its distinct
+    entities, and an open one the best of its patterns with ``min_seeds`` distinct seeds
+    of one kind. After the last round an open instance in a pattern of at least
+    ``min_confidence`` is new, if its shape is not that of a plain number; of new
+    spans inside each other the outermost stays. Patterns and entities are only ever
     aggregated and joined by key; a pattern as common as a third of all matches is
     combined map-side, and its join partition can be split.
     """
-    ok = spans.filter("ok and left <> '' and right <> ''")
+    ok = spans.filter("(ok or open) and left <> '' and right <> ''").withColumn("kind", F.when(F.col("open"), "open").otherwise(F.col("kind")))
     pairs = ok.select("left", "right", F.lower("match").alias("entity"), "kind").distinct()
-    seeded = pairs.filter("kind <> 'token'").groupBy("left", "right", "kind").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= min_seeds)
+    seeded = pairs.filter("kind <> 'open'").groupBy("left", "right", "kind").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= min_seeds)
     seeded = stage(seeded.select("left", "right", F.col("kind").alias("of"), "seeds"), "pii-patterns")
-    # Tokens, and entities of other kinds as counter-evidence, in the seeded patterns.
+    # Open instances, and entities of other kinds as counter-evidence, in the seeded patterns.
     edges = lookup_all(pairs, seeded).select("left", "right", "of", "entity", (F.col("kind") == F.col("of")).alias("seed"),
-                                             (F.col("kind") == "token").alias("open"))
+                                             (F.col("kind") == "open").alias("open"))
     edges = stage(edges, "pii-edges")
     scores = edges.withColumn("score", F.when(F.col("seed"), 1.0).otherwise(0.0))
     patterns = scores.groupBy("left", "right", "of").agg(F.avg("score").alias("conf"))
@@ -114,8 +119,10 @@ def bootstrap(spans: DataFrame, rounds: int = 3, min_seeds: int = 3, min_confide
             "score", F.when(F.col("seed"), 1.0).when(F.col("open"), F.coalesce("best", F.lit(0.0))).otherwise(0.0))
         patterns = stage(again.groupBy("left", "right", "of").agg(F.avg("score").alias("conf")), "pii-confidence")
     good = patterns.filter(F.col("conf") >= min_confidence)
-    new = lookup_all(ok.filter("kind = 'token'"), good).filter(shape(F.col("match")) != "0")
-    return new.groupBy("id", "tk", "start", "end").agg(F.max_by("of", F.struct("conf", "of")).alias("kind")).select("id", "tk", "kind", "start", "end")
+    new = lookup_all(ok.filter("open"), good).filter(shape(F.col("match")) != "0")
+    new = new.groupBy("id", "tk", "start", "end").agg(F.max_by("of", F.struct("conf", "of")).alias("kind"))
+    wider = F.max("end").over(Window.partitionBy("id", "tk").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1))
+    return new.withColumn("wider", wider).filter("wider is null or wider < end").select("id", "tk", "kind", "start", "end")
 
 
 def lookup_all(rows: DataFrame, patterns: DataFrame) -> DataFrame:
@@ -136,7 +143,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spans = stage(candidates(keyed), "pii-spans")
     new = bootstrap(spans, **options)
     cols = ["id", "tk", "kind", "start", "end"]
-    every = spans.filter("ok and kind <> 'token'").select(*cols, F.lit(True).alias("base")).union(new.select(*cols, F.lit(False).alias("base")))
+    every = spans.filter("ok").select(*cols, F.lit(True).alias("base")).union(new.select(*cols, F.lit(False).alias("base")))
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     every = every.withColumn("s", F.struct("start", rank.alias("rank"), "end", "kind", "base"))
     per = every.groupBy("id", "tk").agg(
