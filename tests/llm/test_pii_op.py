@@ -72,6 +72,18 @@ def test_identifiers_with_digit_runs_are_discovered(frame):
     assert got[200].spans == "card:16:35"  # a match that passes still blocks the words in it
 
 
+def test_one_sided_contexts_and_borders(frame):
+    def at(i):
+        return f"user{i}@host{i}.org"
+    seeds = [(i, f"call me at {at(i)} word{'abcdefgh'[i]}") for i in range(8)]  # fixed on the left only
+    seeds += [(10 + i, f"{at(i)} wrote {'abcdefgh'[i]}") for i in range(8)]  # at the start
+    seeds += [(20 + i, f"{'abcdefgh'[i]} by {at(i)}") for i in range(8)]  # at the end
+    seeds += [(30 + i, f"{'abcdefgh'[i]} -- {at(i)} {'abcdefgh'[i]}") for i in range(8)]  # beside punctuation
+    texts = ["call me at AB-123456 never", "AB-223456 wrote nothing", "sent by AB-323456", "then -- AB-423456 came", "then came AB-523456 too"]
+    got = {r.doc_id: r.spans for r in personal_data(frame(seeds + [(100 + i, t) for i, t in enumerate(texts)])).collect()}
+    assert [got[100 + i] for i in range(5)] == ["email:11:20", "email:0:9", "email:8:17", "email:8:17", ""]
+
+
 def test_empty(no_docs):
     assert personal_data(no_docs).count() == 0
 

@@ -20,6 +20,8 @@ TOKEN = r"(?<![A-Za-z0-9._%+@/:-])[A-Za-z._%+/:-]*+[0-9@][A-Za-z0-9._%+@/:-]*+"
 PATTERNS = {"email": EMAIL, "ip": IP, "card": CARD, "phone": PHONE, "token": TOKEN}
 KINDS = ["email", "ip", "card", "phone"]
 CONTEXT = 80  # characters on either side in which the neighbouring words are read
+BESIDE = 4  # matches of the same kind on either side that are read with them
+FIRST, LAST = "\x02", "\x03"  # stand as words before and after a text
 
 
 def luhn(digits: Column) -> Column:
@@ -38,17 +40,26 @@ def _valid(kind: Column, match: Column) -> Column:
             .when(kind == "phone", (n >= 10) & (n <= 15)).otherwise(True))
 
 
-def _near(text: Column, side: str) -> Column:
-    """The neighbouring word, lower case, letters and digits only; empty where there is none."""
-    if side == "left":
-        word = F.regexp_extract(F.substring(text, -CONTEXT, CONTEXT), r"(?:^|\s)(\S++)\s*+$", 1)
-    else:
-        word = F.regexp_extract(F.substring(text, 1, CONTEXT), r"^\S*+\s++(\S++)", 1)
-    return F.regexp_replace(F.lower(word), r"[^\p{L}\p{N}]", "")
+def _word(text: Column, pattern: str) -> Column:
+    """A word in lower case, letters and digits only; one of other signs as it is; empty where there is none."""
+    word = F.lower(F.regexp_extract(text, pattern, 1))
+    bare = F.regexp_replace(word, r"[^\p{L}\p{N}]", "")
+    return F.when(bare == "", word).otherwise(bare)
+
+
+def _left(text: Column) -> Column:
+    """The text before a match, as far as its words are read."""
+    return F.when(F.length(text) < CONTEXT, F.concat(F.lit(f"{FIRST} "), text)).otherwise(F.substring(text, -CONTEXT, CONTEXT))
+
+
+def _right(text: Column) -> Column:
+    """The text after a match, as far as its words are read."""
+    return F.when(F.length(text) < CONTEXT, F.concat(F.lit("x"), text, F.lit(f" {LAST}"))).otherwise(
+        F.concat(F.lit("x"), F.substring(text, 1, CONTEXT)))
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(id, tk, kind, start, end, match, ok, open, left, right) of every match, in code points.
+    """(id, tk, kind, start, end, match, ok, open, left, left2, right) of every match, in code points.
 
     A text with n matches of a pattern splits into n + 1 pieces; running sums of
     the lengths are the offsets. One shuffle brings the matches of a document
@@ -61,9 +72,20 @@ def candidates(docs: DataFrame) -> DataFrame:
         F.split("text", p, -1).alias("s")) for k, p in PATTERNS.items()])
     has = F.col("text").rlike("[0-9@]")  # every pattern needs one of these
     found = docs.filter(has).select("id", "tk", F.explode(kinds).alias("k")).filter(F.size("k.m") > 0)
-    each = F.transform("k.m", lambda m, i: F.struct(
-        m.alias("match"), F.length(F.get("k.s", i)).alias("gap"),
-        _near(F.get("k.s", i), "left").alias("left"), _near(F.concat(F.lit("x"), F.get("k.s", i + 1)), "right").alias("right")))
+    # Gaps and matches in turn; of a long gap only its borders are near a match.
+    short = F.transform("k.s", lambda t: F.when(F.length(t) > 2 * CONTEXT, F.concat(
+        F.substring(t, 1, CONTEXT), F.lit(" "), F.substring(t, -CONTEXT, CONTEXT))).otherwise(t))
+    turn = F.flatten(F.transform(short, lambda t, i: F.array(t, F.coalesce(F.get("k.m", i), F.lit("")))))
+    found = found.select("id", "tk", "k", turn.alias("turn"))
+
+    def around(i: Column) -> list[Column]:
+        first = F.greatest(2 * (i - BESIDE), F.lit(0))
+        left = _left(F.array_join(F.slice("turn", first + 1, 2 * i - first + 1), ""))
+        right = _right(F.array_join(F.slice("turn", 2 * i + 3, 2 * BESIDE + 1), ""))
+        return [_word(left, r"(?:^|\s)(\S++)\s*+$").alias("left"), _word(left, r"(?:^|\s)(\S++)\s++\S++\s*+$").alias("left2"),
+                _word(right, r"^\S*+\s++(\S++)").alias("right")]
+
+    each = F.transform("k.m", lambda m, i: F.struct(m.alias("match"), F.length(F.get("k.s", i)).alias("gap"), *around(i)))
     pieces = found.select("id", "tk", "k.kind", F.posexplode(each).alias("i", "x")).select("id", "tk", "kind", "i", "x.*")
     pieces = pieces.repartition("id", "tk").dropDuplicates(["id", "tk", "kind", "i"])
     upto = F.sum(F.col("gap") + F.length("match")).over(Window.partitionBy("id", "tk", "kind").orderBy("i"))
@@ -82,7 +104,7 @@ def candidates(docs: DataFrame) -> DataFrame:
     spans = spans.withColumn("free", ~F.col("ok") & free & (F.length("match") >= 6))
     word = F.max(F.when(F.col("free") & ~base, F.col("end"))).over(earlier)
     return spans.withColumn("open", F.col("free") & (~base | (F.coalesce(word, F.lit(0)) < F.col("end")))).select(
-        "id", "tk", "kind", F.col("start").cast("long"), F.col("end").cast("long"), "match", "ok", "open", "left", "right")
+        "id", "tk", "kind", F.col("start").cast("long"), F.col("end").cast("long"), "match", "ok", "open", "left", "left2", "right")
 
 
 def shape(match: Column) -> Column:
@@ -93,7 +115,8 @@ def shape(match: Column) -> Column:
 def bootstrap(spans: DataFrame, rounds: int = 3, min_seeds: int = 3, min_confidence: float = 0.9) -> DataFrame:
     """Spans of unseen identifiers: (id, tk, kind, start, end).
 
-    A pattern is a kind with the words left and right of an entity. Seeds score 1,
+    A pattern is a kind with a context: the words left and right of an entity, the word
+    or the two words left of it, or the word right of it. Seeds score 1,
     open instances 0. In each round a pattern scores the mean over its distinct
     entities, and an open one the best of its patterns with ``min_seeds`` distinct seeds
     of one kind. After the last round an open instance in a pattern of at least
@@ -102,22 +125,22 @@ def bootstrap(spans: DataFrame, rounds: int = 3, min_seeds: int = 3, min_confide
     aggregated and joined by key; a pattern as common as a third of all matches is
     combined map-side, and its join partition can be split.
     """
-    ok = spans.filter("(ok or open) and left <> '' and right <> ''").withColumn("kind", F.when(F.col("open"), "open").otherwise(F.col("kind")))
-    pairs = ok.select("left", "right", F.lower("match").alias("entity"), "kind").distinct()
-    seeded = pairs.filter("kind <> 'open'").groupBy("left", "right", "kind").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= min_seeds)
-    seeded = stage(seeded.select("left", "right", F.col("kind").alias("of"), "seeds"), "pii-patterns")
+    ok = contexts(spans.filter("ok or open").withColumn("kind", F.when(F.col("open"), "open").otherwise(F.col("kind"))))
+    pairs = ok.select("context", F.lower("match").alias("entity"), "kind").distinct()
+    seeded = pairs.filter("kind <> 'open'").groupBy("context", "kind").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= min_seeds)
+    seeded = stage(seeded.select("context", F.col("kind").alias("of"), "seeds"), "pii-patterns")
     # Open instances, and entities of other kinds as counter-evidence, in the seeded patterns.
-    edges = lookup_all(pairs, seeded).select("left", "right", "of", "entity", (F.col("kind") == F.col("of")).alias("seed"),
+    edges = lookup_all(pairs, seeded).select("context", "of", "entity", (F.col("kind") == F.col("of")).alias("seed"),
                                              (F.col("kind") == "open").alias("open"))
     edges = stage(edges, "pii-edges")
     scores = edges.withColumn("score", F.when(F.col("seed"), 1.0).otherwise(0.0))
-    patterns = scores.groupBy("left", "right", "of").agg(F.avg("score").alias("conf"))
+    patterns = scores.groupBy("context", "of").agg(F.avg("score").alias("conf"))
     for _ in range(rounds - 1):
-        tokens = lookup_join(edges.filter("open"), patterns, ["left", "right", "of"], "inner").groupBy("entity", "of").agg(F.max("conf").alias("best"))
+        tokens = lookup_join(edges.filter("open"), patterns, ["context", "of"], "inner").groupBy("entity", "of").agg(F.max("conf").alias("best"))
         tokens = stage(tokens, "pii-scores")
         again = lookup_join(edges, tokens, ["entity", "of"]).withColumn(
             "score", F.when(F.col("seed"), 1.0).when(F.col("open"), F.coalesce("best", F.lit(0.0))).otherwise(0.0))
-        patterns = stage(again.groupBy("left", "right", "of").agg(F.avg("score").alias("conf")), "pii-confidence")
+        patterns = stage(again.groupBy("context", "of").agg(F.avg("score").alias("conf")), "pii-confidence")
     good = patterns.filter(F.col("conf") >= min_confidence)
     new = lookup_all(ok.filter("open"), good).filter(shape(F.col("match")) != "0")
     new = new.groupBy("id", "tk", "start", "end").agg(F.max_by("of", F.struct("conf", "of")).alias("kind"))
@@ -125,10 +148,22 @@ def bootstrap(spans: DataFrame, rounds: int = 3, min_seeds: int = 3, min_confide
     return new.withColumn("wider", wider).filter("wider is null or wider < end").select("id", "tk", "kind", "start", "end")
 
 
+def contexts(spans: DataFrame) -> DataFrame:
+    """One row per span and context it stands in; borders of the text count as words, an absent word gives no context."""
+    def of(mark: str, *words: str) -> Column:
+        whole = F.concat_ws(" ", F.lit(mark), *words)
+        for w in words:
+            whole = F.when(F.col(w) != "", whole)
+        return whole
+
+    every = F.array(of("both", "left", "right"), of("left", "left"), of("left2", "left2", "left"), of("right", "right"))
+    return spans.withColumn("context", F.explode(F.array_compact(every))).drop("left", "left2", "right")
+
+
 def lookup_all(rows: DataFrame, patterns: DataFrame) -> DataFrame:
     """Join by context; a context has at most one pattern per kind."""
-    key = F.xxhash64("left", "right")
-    return rows.withColumn("_c", key).join(patterns.withColumn("_c", key), ["left", "right", "_c"]).drop("_c")
+    key = F.xxhash64("context")
+    return rows.withColumn("_c", key).join(patterns.withColumn("_c", key), ["context", "_c"]).drop("_c")
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
