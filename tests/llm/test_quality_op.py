@@ -93,6 +93,18 @@ def test_edges(edges, spark):
     assert kept.columns == edges.columns and kept.filter("text is null").count() == 3
 
 
+def test_copies_do_not_move_the_thresholds(frame, spark, make_words):
+    # In one language a third of the rows are copies of one text, in the other three quarters.
+    distinct = [(i, make_words(1000 + i, 60)) for i in range(400)]
+    copies = [(1000 + i, make_words(999, 60)) for i in range(100)] + [(2000 + i, make_words(998, 60)) for i in range(600)]
+    junk = [(9001, "zqxj wvyk " * 30), (9002, "0192 8374 " * 30)]
+    docs = frame(distinct + copies + junk).withColumn("lang", F.when(F.expr("doc_id < 200 or doc_id between 1000 and 1999 or doc_id = 9001"), "en").otherwise("de"))
+    labels = docs.filter("doc_id < 9000").select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    got = {r.doc_id: r for r in quality.judge(docs, labels).collect()}
+    assert got[9001].rejected and got[9002].rejected
+    assert not any(r.rejected for i, r in got.items() if i < 9000)
+
+
 def test_nothing_is_rejected_without_trusted_text(edges, spark, no_docs):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.judge(edges, labels).filter("rejected").count() == 0

@@ -22,6 +22,7 @@ START, END, AGAIN = "\x02", "\x03", "\ue000"
 FOLDS = 5
 FENCE = 6.0
 SHORT = 500
+LEAST_RANGE = 0.02  # of mean log perplexity; a class of like texts has hardly any scatter of its own
 
 
 def symbols(text: str) -> str:
@@ -110,7 +111,7 @@ def text_blocks(docs: DataFrame, order: int) -> DataFrame:
 
 
 def trusted_counts(blocks: DataFrame, trusted: DataFrame, order: int) -> DataFrame:
-    """(gram, n): n-gram counts of the trusted documents, summed per block before the shuffle."""
+    """(gram, n): n-gram counts of the trusted documents (id, or id and tk: each of these once), summed per block before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -124,8 +125,12 @@ def trusted_counts(blocks: DataFrame, trusted: DataFrame, order: int) -> DataFra
                     yield pa.RecordBatch.from_arrays([pa.array(grams.strings(first, flat), pa.string()), pa.array(n)], ["gram", "n"])
 
     # Places in the blocks of the trusted documents; the join brings them to the blocks' buckets.
-    where = blocks.select("block", F.posexplode(F.arrays_zip("ids", "tks")).alias("row", "d")).select("block", "row", F.col("d.ids").alias("id"))
-    rows = where.join(trusted, "id").groupBy("block").agg(F.collect_list("row").alias("rows"))
+    where = blocks.select("block", F.posexplode(F.arrays_zip("ids", "tks")).alias("row", "d")).select(
+        "block", "row", F.col("d.ids").alias("id"), F.col("d.tks").alias("tk"))
+    found = where.join(trusted, [c for c in ("id", "tk") if c in trusted.columns])
+    if "tk" in trusted.columns:
+        found = found.groupBy("id", "tk").agg(F.min(F.struct("block", "row")).alias("d")).select("d.*")
+    rows = found.groupBy("block").agg(F.collect_list("row").alias("rows"))
     picked = blocks.select("block", "blob").join(rows, "block").select("blob", "rows")
     return picked.mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
@@ -186,7 +191,7 @@ def log_probabilities(wanted: DataFrame, tables: list[DataFrame], weights: list[
 def document_scores(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame:
     """(id, tk, n_symbols, nll): the mean negative log probability of each document's symbols.
 
-    ``docs``: id, tk, text; ``trusted``: ids of the documents to learn from. Counts and
+    ``docs``: id, tk, text; ``trusted``: ids, or ids and tks, of the documents to learn from. Counts and
     probabilities are sharded by n-gram. A block asks for each of its distinct
     n-grams once, which is what is shuffled, not the n-grams of every document.
     """
@@ -229,32 +234,39 @@ def trusted_ids(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return good.filter("id is not null and q = 1 and t = 0").select("id")
 
 
+def distinct_trusted(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(id, tk): of each distinct text of trusted documents the one with the smallest id."""
+    return docs.select("id", "tk").join(trusted, "id", "left_semi").groupBy("tk").agg(F.min("id").alias("id")).select("id", "tk")
+
+
 def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, fence: float = FENCE,
           id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(doc_id, text_key, lang, n_symbols, perplexity, threshold, rejected), one row per document.
 
-    The model learns from four fifths of the trusted documents; the last fifth, by a
-    hash of the id, sets the thresholds. In each language and length class (powers
+    The model learns from four fifths of the trusted texts; the last fifth, by a
+    hash of the text, sets the thresholds. Each distinct text counts once in both, and
+    its copies are never in the other part. In each language and length class (powers
     of two) a document is rejected if its mean log perplexity lies more than ``fence``
-    quartile ranges above the upper quartile of that fifth. Classes of fewer than 20 held-out
-    documents take the quartiles of their language, then those of all. Without trusted
+    quartile ranges (``LEAST_RANGE`` at least) above the upper quartile of that fifth. Classes of fewer than 20
+    held-out texts take the quartiles of their language, then those of all. Without trusted
     documents nothing is rejected. Null and empty texts have no perplexity and stay.
     Rows that repeat id and text get one row each; a null language is a language of its own.
     """
     keyed = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text_col).alias("tk"), text_of(text_col).alias("text"))
     trusted = stage(trusted_ids(labels, id_col), "trusted")
-    held = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(FOLDS)) == 0
-    scores = stage(document_scores(keyed, trusted.filter(~held), order), "lm-scores").dropDuplicates(["id", "tk"])
+    held = F.pmod(F.xxhash64("tk", F.lit(7)), F.lit(FOLDS)) == 0
+    sources = stage(distinct_trusted(keyed, trusted), "trusted-texts")
+    scores = stage(document_scores(keyed, sources.filter(~held), order), "lm-scores").dropDuplicates(["id", "tk"])
     facts = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text_col).alias("tk"), F.col(lang_col).cast("string").alias("lang"))
     rows = facts.alias("f").join(scores.alias("s"), F.col("f.id").eqNullSafe(F.col("s.id")) & (F.col("f.tk") == F.col("s.tk"))).select(
         "f.id", "f.tk", "f.lang", "s.n_symbols", "s.nll")
     rows = stage(rows.withColumns({"l": F.coalesce(F.concat(F.lit("="), "lang"), F.lit("")),
                                    "size": F.floor(F.log2(F.col("n_symbols") + 1)).cast("int")}), "lm-rows")
-    sample = rows.join(trusted.filter(held), "id", "left_semi").filter("n_symbols > 0")
+    sample = rows.join(sources.filter(held), ["id", "tk"], "left_semi").filter("n_symbols > 0").dropDuplicates(["id", "tk"])
 
     def quartiles(by: list[str], name: str) -> DataFrame:
         q = sample.groupBy(*by).agg(F.percentile_approx("nll", [0.25, 0.75], 10000).alias("q"), F.count("*").alias("n")).filter("n >= 20")
-        return q.select(*by, F.get("q", F.lit(1)).alias(f"{name}_top"), (F.get("q", F.lit(1)) - F.get("q", F.lit(0))).alias(f"{name}_range"))
+        return q.select(*by, F.get("q", F.lit(1)).alias(f"{name}_top"), F.greatest(F.get("q", F.lit(1)) - F.get("q", F.lit(0)), F.lit(LEAST_RANGE)).alias(f"{name}_range"))
 
     overall = quartiles([], "all").first() or [None, None]  # one row
     out = lookup_join(lookup_join(rows, quartiles(["l", "size"], "size"), ["l", "size"]), quartiles(["l"], "lang"), ["l"])
