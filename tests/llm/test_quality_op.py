@@ -83,6 +83,14 @@ def test_rejects_bad_and_keeps_good_documents(judged):
     assert good[good.toxic == 0].rejected.mean() < 0.01
 
 
+def test_few_trusted_documents_reject_junk_too(spark):
+    base = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet")
+    got = quality.judge(docs, labels).join(labels, "doc_id").toPandas()
+    assert got[got.quality == 0].rejected.mean() > 0.8
+    assert got[(got.quality == 1) & (got.toxic == 0)].rejected.mean() < 0.03
+
+
 def test_edges(edges, spark):
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (4, 1, 0), (4, 0, 0), (12, 1, 1), (None, 1, 0), (10, None, None)], "doc_id long, quality int, toxic int")
     assert {r.id for r in quality.trusted_ids(labels).collect()} == {1, 2}

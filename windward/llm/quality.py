@@ -248,8 +248,8 @@ def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, fence: float =
     its copies are never in the other part. In each language and length class (powers
     of two) a document is rejected if its mean log perplexity lies more than ``fence``
     quartile ranges (``LEAST_RANGE`` at least) above the upper quartile of that fifth. Classes of fewer than 20
-    held-out texts take the quartiles of their language, then those of all. Without trusted
-    documents nothing is rejected. Null and empty texts have no perplexity and stay.
+    held-out texts take the quartiles of their language, then those of all, however few. Without
+    trusted documents nothing is rejected. Null and empty texts have no perplexity and stay.
     Rows that repeat id and text get one row each; a null language is a language of its own.
     """
     keyed = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text_col).alias("tk"), text_of(text_col).alias("text"))
@@ -264,11 +264,11 @@ def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, fence: float =
                                    "size": F.floor(F.log2(F.col("n_symbols") + 1)).cast("int")}), "lm-rows")
     sample = rows.join(sources.filter(held), ["id", "tk"], "left_semi").filter("n_symbols > 0").dropDuplicates(["id", "tk"])
 
-    def quartiles(by: list[str], name: str) -> DataFrame:
-        q = sample.groupBy(*by).agg(F.percentile_approx("nll", [0.25, 0.75], 10000).alias("q"), F.count("*").alias("n")).filter("n >= 20")
+    def quartiles(by: list[str], name: str, least: int = 20) -> DataFrame:
+        q = sample.groupBy(*by).agg(F.percentile_approx("nll", [0.25, 0.75], 10000).alias("q"), F.count("*").alias("n")).filter(F.col("n") >= least)
         return q.select(*by, F.get("q", F.lit(1)).alias(f"{name}_top"), F.greatest(F.get("q", F.lit(1)) - F.get("q", F.lit(0)), F.lit(LEAST_RANGE)).alias(f"{name}_range"))
 
-    overall = quartiles([], "all").first() or [None, None]  # one row
+    overall = quartiles([], "all", 1).first() or [None, None]  # one row
     out = lookup_join(lookup_join(rows, quartiles(["l", "size"], "size"), ["l", "size"]), quartiles(["l"], "lang"), ["l"])
     # Beside a class of its own length, a short text is allowed the wider scatter of few symbols.
     wide = fence * F.sqrt(F.greatest(F.lit(1.0), F.lit(SHORT) / F.col("n_symbols")))
