@@ -57,6 +57,13 @@ def test_every_shared_span_is_found(frame, spark, make_words):
     assert not any(got[100 + s].contaminated for s in range(31))
 
 
+def test_items_without_id_count_for_the_words(frame, spark, passage):
+    items = spark.createDataFrame([(None, passage)], "item_id long, text string")
+    got = contamination(frame([(1, f"so {passage}"), (2, "so it is")]), items).orderBy("doc_id").collect()
+    assert [(r.n_hit, r.n_items, r.contaminated) for r in got] == [(60, 0, True), (0, 0, False)]
+    assert got[0].items_sha256 == got[1].items_sha256
+
+
 def test_clean_documents_keep_their_columns(edges, items):
     left = clean_documents(edges, items)
     assert left.columns == edges.columns

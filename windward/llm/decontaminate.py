@@ -56,11 +56,11 @@ def fingerprints(docs: DataFrame, span: int, gram: int) -> DataFrame:
 
 
 def item_windows(items: DataFrame, item_id: str, text_col: str, span: int) -> DataFrame:
-    """(item, window): every run of ``span`` words of an item, or a shorter item as one window."""
+    """(item, window): every run of ``span`` words of an item, or a shorter item as one window; a null id stays null."""
     words = items.select(F.col(item_id).cast("string").alias("item"), words_of(text_of(text_col)).alias("words"))
     n = F.size("words")
     runs = F.when(n >= span, _runs(n, span)).otherwise(F.array("words"))
-    return words.filter((n > 0) & F.col("item").isNotNull()).select("item", F.explode(runs).alias("window")).distinct()
+    return words.filter(n > 0).select("item", F.explode(runs).alias("window")).distinct()
 
 
 def window_hits(docs: DataFrame, windows: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
@@ -100,8 +100,8 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
                   text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Per document: words, words inside an item window, and the items with occurring windows.
 
-    Null or wordless texts have no words and no hits; items without words or id are
-    left out; an id that several items share counts once. Rows that repeat id and
+    Null or wordless texts have no words and no hits; items without words are
+    left out; those without id count for the words, not among the items; an id that several items share counts once. Rows that repeat id and
     text get one row each with the same values. Other columns are not read. An
     empty table on either side gives no hits.
     """
@@ -113,7 +113,7 @@ def contamination(docs: DataFrame, items: DataFrame, span: int = SPAN, gram: int
     covered = hits.select("id", "tk", F.explode(F.sequence("at", F.col("at") + F.size("window") - 1)).alias("w")).distinct()
     n_hit = covered.groupBy("id", "tk").agg(F.count("*").alias("n_hit"))
     named = hits.select("id", "tk", "window").distinct().join(windows, "window").select("id", "tk", "item").distinct()
-    named = named.groupBy("id", "tk").agg(F.count("*").alias("n_items"), F.array_sort(F.collect_list("item")).alias("items"))
+    named = named.groupBy("id", "tk").agg(F.count("item").alias("n_items"), F.array_sort(F.collect_list("item")).alias("items"))
     facts = n_hit.join(
         named.select(F.col("id").alias("i2"), F.col("tk").alias("t2"), "n_items", "items"),
         F.col("id").eqNullSafe(F.col("i2")) & (F.col("tk") == F.col("t2"))).select("id", "tk", "n_hit", "n_items", "items")
