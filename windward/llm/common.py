@@ -77,6 +77,12 @@ def factor(words: list[str]) -> tuple[np.ndarray, list[str]]:
     return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
 
 
+def factor_bytes(words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+    """Numbers for byte strings by first occurrence, and the distinct ones."""
+    coded = pa.array(words, pa.large_binary()).dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+
+
 def pieces(batches: Iterable[pa.RecordBatch], text_col: str, most: int) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds about ``most`` bytes of text; a longer text stands alone."""
     for batch in batches:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windward.llm import bpe, decontaminate, jaccard, linededup, pii, quality, sharding, substrings, tokencounts, vectors
+from windward.llm import bpe, decontaminate, jaccard, linededup, pii, quality, sharding, substrings, tokencounts, vectors, wordwindows
 from windward.llm.common import documents, table
 from windward.plans.registry import query
 
@@ -71,3 +71,9 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of strings of 200 bytes that occur more than once."""
     return substrings.remove_repeats(documents(spark, sf_dir))
+
+
+@query()
+def op13_word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of windows of 35 words that occur more than once."""
+    return wordwindows.remove_windows(documents(spark, sf_dir))
