@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from windward.llm import bpe, decontaminate, jaccard, linededup, pii, quality, sharding, substrings, tokencounts, vectors, wordwindows
+from windward.llm import alignment, bpe, decontaminate, jaccard, linededup, pii, quality, search, sharding, substrings, tokencounts, vectors, wordwindows
 from windward.llm.common import documents, table
 from windward.plans.registry import query
 
@@ -77,3 +77,15 @@ def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_word_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of windows of 35 words that occur more than once."""
     return wordwindows.remove_windows(documents(spark, sf_dir))
+
+
+@query()
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents of every benchmark item."""
+    return search.ranked_search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the groups and links between its tokens of two kinds."""
+    return alignment.align(documents(spark, sf_dir))
