@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
@@ -26,7 +27,7 @@ SQL_SETTINGS = {
 
 
 _OWN: list[str] = []  # the folder of local sessions without the setting
-_STAGED: list[str] = []
+_STAGED: list[tuple[str, str | None]] = []  # path, and the catalog's name if it has one
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
@@ -73,7 +74,7 @@ def shared_dir(spark: SparkSession) -> str:
     its machine, so there the setting must name a folder of a shared store.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
-    local = spark.sparkContext.master.startswith("local")
+    local = spark.sparkContext.master.split("[")[0] == "local"
     if not local and (not path or ":" not in path.split("/")[0] or path.startswith("file:")):
         raise ValueError(f"set spark.checkpoint.dir to a folder all executors share, not {path}")
     if path:
@@ -97,14 +98,51 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = run_dir(spark, label)
     df.write.parquet(path)
-    _STAGED.append(path)
+    note_staged(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_staged(spark: SparkSession) -> int:
-    """Delete the intermediate tables this process has staged; for the end of a job, when its results are written."""
-    n = len(_STAGED)
-    while _STAGED:
-        target = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+def note_staged(path: str, table: str | None = None) -> None:
+    """Count a path of the shared folder, and a table of the catalog on it, among the intermediate ones."""
+    _STAGED.append((path, table))
+
+
+def staged_so_far() -> int:
+    """How much is staged now; what comes later is what ``settle`` and ``drop_staged`` delete ``since`` then."""
+    return len(_STAGED)
+
+
+def settle(df: DataFrame, label: str, since: int) -> DataFrame:
+    """``stage``, and delete the intermediate tables that led to it: those staged since the given moment."""
+    out = stage(df, label)
+    last = _STAGED.pop()
+    drop_staged(df.sparkSession, since)
+    _STAGED.append(last)
+    return out
+
+
+def drop_staged(spark: SparkSession, since: int = 0) -> int:
+    """Delete the intermediate tables this process has staged (since the given moment), when nothing reads them any more."""
+    gone = _STAGED[since:]
+    del _STAGED[since:]
+    delete_staged(spark, gone)
+    return len(gone)
+
+
+def take_staged(since: int) -> list[tuple[str, str | None]]:
+    """Hand over what was staged since the given moment; ``delete_staged`` is then the taker's to call."""
+    taken = _STAGED[since:]
+    del _STAGED[since:]
+    return taken
+
+
+def delete_staged(spark: SparkSession, gone: list[tuple[str, str | None]]) -> None:
+    for path, table in gone:
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-    return n
+    if gone:
+        # Spark deletes the shuffle files of plans that the driver no longer holds, once it has collected its garbage.
+        gc.collect()
+        spark._jvm.System.gc()
