@@ -1,6 +1,7 @@
 """Landed files: pages, race documents, weather payloads, tables."""
 
 import json
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,6 +83,64 @@ def test_prefixes_comments_and_deep_names(spark, rows):
     assert rows(race_xml.rejected_races(races)) == [("r2", "not well-formed"), ("r3", "null"), ("r4", "no racer"), ("r5", "not well-formed")]
 
 
+R = "<StatisticheDato>%s</StatisticheDato>"
+SEG = "<cInfoRaceSegment><SegNum>%s</SegNum></cInfoRaceSegment>"
+
+
+@pytest.mark.parametrize("doc, want", [
+    # CDATA and comments that look like markup.
+    ("<a>" + R % "<Nome><![CDATA[x</StatisticheDato>&amp;]]></Nome><Seriale>7</Seriale>" + "</a>", [("x</StatisticheDato>&amp;", "7", None)]),
+    ("<a><i><![CDATA[<!--]]></i><!-- real -->" + R % "<Nome>Z</Nome>" + "</a>", [("Z", None, None)]),
+    ("<a>" + R % "<Nome>A<!-- c -->n<![CDATA[ & ]]>&#66;o</Nome>" + "</a>", [("An & Bo", None, None)]),
+    # Namespaces: one counts, children in none count as fields.
+    ("<p:a xmlns:p='u' xmlns:q='v'><q:StatisticheDato/><p:StatisticheDato><q:Nome>no</q:Nome><p:Nome>yes</p:Nome><q:Seriale>9</q:Seriale></p:StatisticheDato></p:a>",
+     [("yes", None, None)]),
+    ("<a xmlns='u'><StatisticheDato><Nome>in</Nome><Seriale xmlns=''>5</Seriale></StatisticheDato><StatisticheDato xmlns='v'/></a>", [("in", "5", None)]),
+    ("<a xmlns='u'><b xmlns:p='u'><p:StatisticheDato ><p:Nome >N</p:Nome ><p:Seriale>3</p:Seriale></p:StatisticheDato ></b></a>", [("N", "3", None)]),
+    # Racers in racers, segments in segments, names above and below.
+    ("<a>" + R % ("<Nome>out</Nome>" + SEG % 1 + "<x>" + R % ("<Nome>inn</Nome>" + SEG % 2) + "</x>") + "</a>", [("inn", None, "2"), ("out", None, "1"), ("out", None, "2")]),
+    ("<a>" + R % "<cInfoRaceSegment><SegNum>1</SegNum><x/><cInfoRaceSegment><SegNum>2</SegNum></cInfoRaceSegment></cInfoRaceSegment>" + "</a>",
+     [("N/A", None, "1"), ("N/A", None, "2")]),
+    (R % ("<Nome>root</Nome>" + R % "<w><v><Nome>deep</Nome></v></w><Seriale>1</Seriale>"), [("deep", "1", None)]),
+    # Of several fields the last that says something; escapes, quotes, line ends.
+    ("<a>" + R % '<Nome>  q&quot;\\ &lt;b&gt;\r\n</Nome><Seriale>1</Seriale><Seriale> 2 </Seriale><Seriale/><Seriale> </Seriale>' + "</a>", [('q"\\ <b>', "2", None)]),
+    ("<a b='>' c = \"x > 'y'\"><?pi <x> ?>" + R % "<Nome d='1'>T</Nome><Seriale>&#38;lt;</Seriale>" + "</a>", [("T", "&lt;", None)]),
+    ("<a>" + R % ("".join(f"<f{i}>{i}</f{i}>" for i in range(100)) + "<Nome>late</Nome><Seriale>4</Seriale>") + "</a>", [("late", "4", None)]),
+    ("<a>" + R % "" + "<StatisticheDato/></a>", [("N/A", None, None), ("N/A", None, None)]),
+])
+def test_documents_are_read_by_structure(spark, rows, doc, want):
+    races = spark.createDataFrame([("r", doc)], "race_id string, xml string")
+    assert rows(race_xml.parse_races(races), "athlete_name", "serial_no", "segment_no") == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
+def test_rejects_are_what_an_xml_parser_rejects(spark):
+    good, bad = R % "<Nome>n</Nome>", [
+        "<a>&none;</a>", "<a>x & y</a>", "<a b='1' b='2'/>", "<a/><b/>", "<a>x</a><b>y</b>", "<a>", "x<a/>", "<a/>y", "<a>&#1;</a>", "<a>&#xD800;</a>", "<a><b></a></b>",
+        "<a><!-- x -- y --></a>", "<a><!-- x ---></a>", "<a>]]></a>", "<a b=1/>", "<a b='<'/>", "<a b='&'/>", "<a><q:b>1</q:b></a>", "<a q:b='1'/>", "<a><q:b><c/></q:b></a>", "<a>\x01</a>",
+        "<a><b xmlns:q='u'/><q:c/></a>", "<1/>", "<a><b>1</c></a>", "<a", "<a><![CDATA[x]]", "</a>", "", "  "]
+    fine = ["<a/>", "<a >\n</a >", "<q:a xmlns:q='u' q:b='1'/>", "<a>&#233;&#x41;&lt;</a>", "<a xml:lang='x'/>", "<!DOCTYPE a><a/>", "<a><b xmlns:q='u'><q:c/></b></a>", "<!-- c --><a/><?p ?>", "<é/>"]
+    for text in fine:
+        assert ElementTree.fromstring(text) is not None
+    for text in bad:
+        with pytest.raises(ElementTree.ParseError):
+            ElementTree.fromstring(text)
+    docs = [*bad, *fine, f"<a>{good}</a>"]
+    got = {r.race_id: r.reason for r in race_xml.scan_documents(spark.createDataFrame(list(enumerate(docs)), "race_id int, xml string")).collect()}
+    assert [got[i] for i in range(len(docs))] == ["not well-formed"] * len(bad) + ["no racer"] * len(fine) + [None]
+
+
+def test_a_namespace_can_be_named(spark, rows):
+    doc = "<a xmlns='u'><StatisticheDato/><v:StatisticheDato xmlns:v='v'><v:Seriale>1</v:Seriale></v:StatisticheDato></a>"
+    races = spark.createDataFrame([("r", doc)], "race_id string, xml string")
+    assert [race_xml.parse_races(races, namespace=n).select("serial_no").collect() for n in (None, "u", "v", "")] == [[(None,)], [(None,)], [("1",)], []]
+
+
+def test_each_document_is_read_once(spark):
+    races = spark.createDataFrame([("r", DOC)], "race_id string, xml string")
+    plan = race_xml.parse_races(races)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("<!--.*?-->") == 1 and "from_xml" not in plan and "Python" not in plan
+
+
 @pytest.mark.parametrize("raw, want", [
     ('<?xml version="1.0"?>\n<string xmlns="x"><a/></string>\n', "<a/>"),
     ("<a><string>inner</string>tail</a>", "<a>inner"),

@@ -15,28 +15,42 @@ from windward.streaming import ingest
 from windward.streaming.log_table import read_batches, read_latest
 
 
-@query("""SELECT CAST(o_orderkey AS VARCHAR) AS race_id, o_orderpriority AS course,
-  'C' || CAST(o_custkey AS VARCHAR) AS athlete_name, CAST(o_orderkey AS VARCHAR) AS serial_no,
-  CAST(i AS VARCHAR) AS segment_no,
-  CASE WHEN i = 1 THEN CAST(o_custkey AS VARCHAR) ELSE '100' END AS segment_length_m,
-  CASE WHEN i < 3 THEN strftime(make_timestamp((o_custkey * 60 + i) * 1000000), '%H:%M:%S') END AS segment_start_clock
-FROM orders LEFT JOIN (SELECT unnest([1, 2, 3]) AS i) k ON k.i <= o_orderkey % 4
-UNION ALL
-SELECT CAST(o_orderkey AS VARCHAR), o_orderpriority, 'N/A', '0', NULL, NULL, NULL FROM orders WHERE o_orderkey % 3 = 0""")
+_XML_RACE = """CAST(o_orderkey AS VARCHAR) AS race_id, 'E' || (o_custkey % 50) AS event_name, o_orderstatus AS event_location,
+  o_orderpriority AS course, '2024-05-01' AS race_date, CAST(o_orderkey % 360 AS VARCHAR) AS wind_dir_site"""
+_XML_RACER = {
+    "athlete_name": "'C' || o_custkey || CASE WHEN o_orderkey % 11 = 0 AND o_orderkey % 7 > 0 THEN '</StatisticheDato>' ELSE '' END",
+    "serial_no": "o_orderkey", "total_time_s": "o_custkey", "total_length_m": "o_orderkey % 1000", "total_dist_m": "o_orderkey % 1000 + 7",
+    "start_position": "o_orderkey % 30", "total_efficiency_pct": "'101,25'", "max_speed_kn": "o_custkey % 31", "max_vmg": "o_custkey % 29",
+    "max_vmc": "o_custkey % 23", "avg_vmg": "o_custkey % 19", "avg_vmc": "o_custkey % 17", "avg_speed_kn": "o_custkey % 10",
+}
+_XML_SEGMENT = {
+    "segment_no": "i", "port_pct": "i * 10", "starboard_pct": "100 - i * 10", "segment_time_s": "o_custkey % 90 + i", "segment_dist_m": "o_custkey + i",
+    "segment_length_m": "CASE WHEN i = 1 THEN o_custkey ELSE 100 END", "heading_deg": "o_custkey * i % 360",
+    "segment_efficiency_pct": "CASE WHEN i > 0 THEN '97,5' END",
+    "segment_start_clock": "CASE WHEN i < 3 THEN strftime(make_timestamp((o_custkey * 60 + i) * 1000000), '%H:%M:%S') END",
+    "segment_end_clock": "CASE WHEN i > 0 THEN strftime(make_timestamp((o_custkey * 60 + i + 30) * 1000000), '%H:%M:%S') END",
+    "rank_entry": "i + 1", "rank_exit_scraped": "i + 2",
+}
+_XML_ALL = ", ".join(f"CAST({v} AS VARCHAR) AS {k}" for k, v in (_XML_RACER | _XML_SEGMENT).items())
+_XML_BARE = ", ".join("'N/A'" if k == "athlete_name" else "'0'" if k == "serial_no" else "NULL" for k in _XML_RACER | _XML_SEGMENT)
+
+
+@query(f"""SELECT {_XML_RACE}, {_XML_ALL} FROM orders LEFT JOIN (SELECT unnest([1, 2, 3]) AS i) k ON k.i <= o_orderkey % 4
+UNION ALL SELECT {_XML_RACE}, {_XML_BARE} FROM orders WHERE o_orderkey % 3 = 0""")
 def xml_explode(spark, d):
-    return race_xml.parse_races(s.race_xml(spark, d)).select(
-        "race_id", "course", "athlete_name", "serial_no", "segment_no", "segment_length_m", "segment_start_clock"
-    )
+    return race_xml.parse_races(s.race_xml(spark, d))
 
 
-@query("""SELECT CAST(o_orderkey AS VARCHAR) AS race_id, CASE o_orderkey % 5 WHEN 0 THEN 'null'
-WHEN 1 THEN 'not well-formed' ELSE 'no racer' END AS reason FROM orders WHERE o_orderkey % 5 < 3""")
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS race_id, CASE o_orderkey % 7 WHEN 0 THEN 'null'
+WHEN 2 THEN 'no racer' WHEN 4 THEN 'no racer' ELSE 'not well-formed' END AS reason FROM orders WHERE o_orderkey % 7 < 6""")
 def xml_rejects(spark, d):
     """Documents that give no rows, each with its reason."""
-    kind = F.col("race_id").cast("bigint") % 5
+    kind = F.col("race_id").cast("bigint") % 7
     broken = (
         F.when(kind == 0, F.lit(None)).when(kind == 1, F.replace("xml", F.lit("</ArrayOfDato>"), F.lit("")))
-        .when(kind == 2, F.lit("<ArrayOfDato><Other/></ArrayOfDato>")).otherwise(F.col("xml"))
+        .when(kind == 2, F.lit("<ArrayOfDato><Other/></ArrayOfDato>")).when(kind == 3, F.replace("xml", F.lit("Seriale>"), F.lit("q:Seriale>")))
+        .when(kind == 4, F.concat(F.lit("<a xmlns='http://a/'>"), race_xml.strip_envelope(F.col("xml")), F.lit("</a>")))
+        .when(kind == 5, F.replace("xml", F.lit("<Segments>"), F.lit("<Segments> & "))).otherwise(F.col("xml"))
     )
     races = s.race_xml(spark, d).select("race_id", broken.alias("xml"))
     return race_xml.rejected_races(races).select("race_id", "reason")

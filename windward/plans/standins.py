@@ -66,30 +66,43 @@ def courses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def race_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as race documents: one racer with 0 to 3 segments, every third also a nameless one.
 
-    Some have prefixed elements, some a racer in a comment, some the name one level down.
+    Some have prefixed elements, some a racer in a comment or in another namespace, some the
+    name one level down or in a CDATA section that looks like an end tag.
     """
-    o = table(spark, sf_dir, "orders")
-    segment = (
-        "transform(if(o_orderkey % 4 = 0, array(), sequence(1, int(o_orderkey % 4))), i -> concat("
-        "'<cInfoRaceSegment><SegNum>', i, '</SegNum><StartSeg>', "
-        "if(i = 3, 'bad', string(o_custkey * 60 + i)), '</StartSeg>', "
-        "if(i = 1, concat('<LungLato>', o_custkey, '</LungLato>'), '<LungLato></LungLato>'), "
-        "'</cInfoRaceSegment>'))"
-    )
-    nameless = "if(o_orderkey % 3 = 0, '<StatisticheDato><Seriale>0</Seriale></StatisticheDato>', '')"
+    # A document is far wider than its order, so the orders are dealt to all cores first.
+    o = table(spark, sf_dir, "orders").repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
+
+    def element(tag: str, value: str) -> str:
+        return f"'<{tag}>', {value}, '</{tag}>'"
+
+    segment = ", ".join(element(*x) for x in (
+        ("SegNum", "i"), ("CrtRaceSegSX", "i * 10"), ("CrtRaceSegDX", "100 - i * 10"), ("TimeSecPercorsi", "o_custkey % 90 + i"),
+        ("SegDistRealePercorsa", "o_custkey + i"), ("LungLato", "if(i = 1, string(o_custkey), '')"), ("DirLato", "o_custkey * i % 360"), ("PercEffettivo", "'97,5'"),
+        ("StartSeg", "if(i = 3, 'bad', string(o_custkey * 60 + i))"), ("EndSeg", "o_custkey * 60 + i + 30"), ("SegEnteredRank", "i + 1"), ("SegExitRank", "i + 2")))
+    segments = ("transform(if(o_orderkey % 4 = 0, array(), sequence(1, int(o_orderkey % 4))), "
+                f"i -> concat('\n <cInfoRaceSegment>', {segment}, '</cInfoRaceSegment>'))")
+    name = "if(o_orderkey % 11 = 0 and o_orderkey % 7 > 0, concat('<![CDATA[C', o_custkey, '</StatisticheDato>]]>'), concat('C', o_custkey))"
+    racer = ", ".join(element(*x) for x in (
+        ("Seriale", "o_orderkey"), ("TotTempPerc", "o_custkey"), ("TotLungLato", "o_orderkey % 1000"), ("TotDistPerc", "o_orderkey % 1000 + 7"),
+        ("PosPartenza", "o_orderkey % 30"), ("TotDistRealeSuIdeale", "'101,25'"), ("TopSpeed", "o_custkey % 31"), ("TopVMG", "o_custkey % 29"),
+        ("TopVMC", "o_custkey % 23"), ("AvgVMG", "o_custkey % 19"), ("AvgVMC", "o_custkey % 17"), ("AvgSpeed", "concat('&#', 48 + o_custkey % 10, ';')"), ("LungLato", "100")))
     xml = F.expr(
         "concat('<?xml version=\"1.0\"?>\n<string xmlns=\"http://a/\"><ArrayOfDato xmlns=\"http://b/\">',"
         "if(o_orderkey % 6 = 0, '<!-- <StatisticheDato><Nome>Ghost</Nome></StatisticheDato> -->', ''),"
-        "'<StatisticheDato>', if(o_orderkey % 5 = 0, '<Who>', ''), '<Nome>C', o_custkey, '</Nome>', if(o_orderkey % 5 = 0, '</Who>', ''),"
-        "'<Seriale>', o_orderkey, '</Seriale>',"
-        "'<LungLato>100</LungLato><Segments>', "
-        f"array_join({segment}, ''), '</Segments></StatisticheDato>', {nameless}, '</ArrayOfDato></string>')"
+        "if(o_orderkey % 13 = 0, '<z:StatisticheDato xmlns:z=\"http://z/\"><z:Nome>Other</z:Nome></z:StatisticheDato>', ''),"
+        f"'<StatisticheDato>', if(o_orderkey % 5 = 0, '<Who>', ''), '<Nome>', {name}, '</Nome>', if(o_orderkey % 5 = 0, '</Who>', ''),"
+        f"{racer}, '<Segments>', array_join({segments}, ''), '</Segments></StatisticheDato>',"
+        "if(o_orderkey % 3 = 0, '<StatisticheDato><Seriale>0</Seriale></StatisticheDato>', ''), '</ArrayOfDato></string>')"
     )
     prefixed = F.regexp_replace(F.regexp_replace(xml, "<(/?)(StatisticheDato|Nome|cInfoRaceSegment|SegNum)(?=[ >])", "<$1p:$2"),
-                                "<ArrayOfDato", '<ArrayOfDato xmlns:p="http://p/"')
+                                "<ArrayOfDato", '<ArrayOfDato xmlns:p="http://b/"')
     return o.select(
         F.col("o_orderkey").cast("string").alias("race_id"),
+        F.concat(F.lit("E"), F.col("o_custkey") % 50).alias("event_name"),
+        F.col("o_orderstatus").alias("event_location"),
         F.col("o_orderpriority").alias("course"),
+        F.lit("2024-05-01").alias("race_date"),
+        (F.col("o_orderkey") % 360).cast("string").alias("wind_dir_site"),
         F.when(F.col("o_orderkey") % 7 == 0, prefixed).otherwise(xml).alias("xml"),
     )
 
