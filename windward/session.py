@@ -73,9 +73,9 @@ def shared_dir(spark: SparkSession) -> str:
     with the process; on a cluster a machine-local folder would lose data with
     its machine, so there the setting must name a folder of a shared store.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    local = spark.sparkContext.master.split("[")[0] == "local"
-    if not local and (not path or ":" not in path.split("/")[0] or path.startswith("file:")):
+    path, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+    one_machine, one_process = master.startswith("local"), master.split("[")[0] == "local"
+    if not one_machine and (not path or ":" not in path.split("/")[0] or path.startswith("file:")) or not path and not one_process:
         raise ValueError(f"set spark.checkpoint.dir to a folder all executors share, not {path}")
     if path:
         return path
