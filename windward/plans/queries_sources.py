@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from windward.functions import text
 from windward.operators import filters, upsert
 from windward.plans import collect, enrich
 from windward.plans import standins as s
 from windward.plans.registry import query
+from windward.schemas import WEATHER_KEY
 from windward.session import run_dir
 from windward.sources import race_pages, race_xml, weather_json
 from windward.streaming import ingest
@@ -58,36 +60,52 @@ def xml_rejects(spark, d):
 
 _STATUS = """CASE WHEN page_id % 7 = 0 THEN 'known' WHEN page_id % 5 = 0 THEN 'no token' WHEN page_id % 9 = 0 THEN 'no document'
 WHEN page_id % 4 >= 2 THEN 'no event' WHEN page_id % 3 = 0 THEN 'not well-formed' ELSE 'new' END"""
+_LINKS = f"""SELECT CAST(page_id AS VARCHAR) AS race_id, {_STATUS} AS status FROM pages
+UNION ALL SELECT CAST(page_id AS VARCHAR), CASE WHEN page_id % 7 > 0 AND page_id % 5 > 0 AND page_id % 9 > 0 AND page_id % 4 < 2 THEN 'repeated' ELSE {_STATUS} END
+FROM pages WHERE page_id % 8 = 0
+UNION ALL SELECT NULL, 'no token' FROM pages WHERE page_id % 10 = 3"""
 
 
 def _races(spark, d):
-    """Saved pages as races: some known, some without token, event or sound document."""
+    """Saved pages as races: some known, some without token, event or sound document, some landed twice, some asked for by two links.
+
+    Further links have no race id.
+    """
     pages = s.page_scripts(spark, d).select(
         "page_id", F.col("page_id").cast("string").alias("race_id"), "html", F.concat(F.lit("Wind "), F.col("page_id") % 360, F.lit("°")).alias("wind"))
     i = F.col("page_id")
-    xml = F.concat(F.lit("<a><StatisticheDato><Nome>N"), i, F.lit("</Nome><cInfoRaceSegment><SegNum>1</SegNum></cInfoRaceSegment></StatisticheDato>"))
-    documents = pages.where(i % 9 != 0).select("race_id", F.when(i % 3 == 0, xml).otherwise(F.concat(xml, F.lit("</a>"))).alias("xml"))
-    return collect.assemble_races(
-        pages.select("race_id", (i % 5 != 0).alias("ok")), pages, documents, pages.where(i % 7 == 0).select("race_id"))
+
+    def landing(initial: str, day: str, part):
+        xml = F.concat(F.lit(f"<a><StatisticheDato><Nome>{initial}"), i, F.lit("</Nome><cInfoRaceSegment><SegNum>1</SegNum></cInfoRaceSegment></StatisticheDato>"))
+        return pages.where(part).select(
+            "race_id", F.when(i % 3 == 0, xml).otherwise(F.concat(xml, F.lit("</a>"))).alias("xml"), F.lit(day).cast("timestamp").alias("landed"))
+
+    # The earlier landing has the greater text.
+    documents = landing("N", "2024-05-02", i % 9 != 0).union(landing("Z", "2024-05-01", (i % 9 != 0) & (i % 2 == 0)))
+    link = lambda end: F.concat(F.lit("https://races.example/?"), i, F.lit(end))
+    requests = pages.select("race_id", (i % 5 != 0).alias("ok"), link("").alias("url")).union(
+        pages.where(i % 8 == 0).select("race_id", i % 5 != 0, link("&again"))).union(
+        pages.where(i % 10 == 3).select(F.lit(None), F.lit(False), F.concat(F.lit("https://races.example/p"), i)))
+    return collect.assemble_races(requests, pages, documents, pages.where(i % 7 == 0).select("race_id"))
 
 
 @query(f"""SELECT CAST(page_id AS VARCHAR) AS race_id, 'E' || n AS event_name, 'R' || n AS course,
 CAST(page_id % 360 AS DOUBLE) AS wind_dir_site, 'N' || page_id AS athlete_name, 1 AS segment_no
 FROM (SELECT page_id, regexp_extract(html, 'track\\(([0-9]+)\\);', 1) AS n, {_STATUS} AS status FROM pages) WHERE status = 'new'""")
 def race_assembly(spark, d):
-    """Page, document and request of each new race brought together, and its segments typed."""
+    """Page, document and request of each new race brought together, and its segments typed; the document landed last counts."""
     return collect.bronze_segments(_races(spark, d)).select("race_id", "event_name", "course", "wind_dir_site", "athlete_name", "segment_no")
 
 
-@query(f"""SELECT CAST(page_id AS VARCHAR) AS race_id, {_STATUS} AS status, {_STATUS} IN ('known', 'new') AS ok FROM pages""")
+@query(f"SELECT race_id, status, status IN ('known', 'new', 'repeated') AS ok FROM ({_LINKS})")
 def ingest_log(spark, d):
-    return collect.ingest_log(_races(spark, d))
+    return collect.ingest_log(_races(spark, d)).drop("link")
 
 
-@query(f"""SELECT count(*) AS total, count(*) FILTER (status IN ('known', 'new')) AS succeeded,
-count(*) FILTER (status NOT IN ('known', 'new')) AS failed FROM (SELECT {_STATUS} AS status FROM pages)""")
+@query(f"""SELECT count(*) AS total, count(*) FILTER (status IN ('known', 'new', 'repeated')) AS succeeded,
+count(*) FILTER (status NOT IN ('known', 'new', 'repeated')) AS failed FROM ({_LINKS})""")
 def ingest_report(spark, d):
-    """The run report, from the log of a run."""
+    """The run report, from the log of a run: every link counts."""
     return filters.run_report(collect.ingest_log(_races(spark, d)), F.col("ok"))
 
 
@@ -113,7 +131,7 @@ def xml_envelope(spark, d):
 
 
 @query("""SELECT page_id, CASE WHEN page_id % 4 < 2 THEN 'E' || n ELSE 'N/A' END AS event_name,
-CASE WHEN page_id % 4 < 2 THEN 'R' || n ELSE 'N/A' END AS course, 'N/A' AS race_date
+CASE WHEN page_id % 4 < 2 THEN 'R' || n ELSE 'N/A' END AS course, CASE WHEN page_id % 4 = 0 THEN 'D' || n ELSE 'N/A' END AS race_date
 FROM (SELECT page_id, regexp_extract(html, 'track\\(([0-9]+)\\);', 1) AS n FROM pages)""")
 def script_json(spark, d):
     return race_pages.page_info(s.page_scripts(spark, d)).drop("html")
@@ -195,18 +213,57 @@ def anti_incremental(spark, d):
     )
 
 
+def _in_three_batches(spark, table, part, folder):
+    """The rows landed in three parts by ``part``, one after the other."""
+    for k in range(3):
+        table.where(part == k).write.mode("append").parquet(folder)
+        yield ingest.file_stream(spark, folder, table.schema, "*.parquet")
+
+
 @query("""SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (
-PARTITION BY user_id, event_type ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1""")
+PARTITION BY user_id, event_type ORDER BY event_id % 3 DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""")
 def stream_upsert(spark, d):
-    """Events as a stream landed in a table of batches; its current state is read back."""
-    schema = s.table(spark, d, "events").schema
-    root = run_dir(spark, "upsert")
-    stream = ingest.file_stream(spark, d, schema, "events.parquet")
-    ingest.upsert_stream(stream, f"{root}/table", f"{root}/checkpoint")
-    latest = read_latest(spark, f"{root}/table", schema, ["user_id", "event_type"], ["event_id"])
+    """Events as a stream landed in a table of three batches; its current state is read back."""
+    events, root = s.table(spark, d, "events"), run_dir(spark, "upsert")
+    for stream in _in_three_batches(spark, events, F.col("event_id") % 3, f"{root}/landing"):
+        ingest.upsert_stream(stream, f"{root}/table", f"{root}/checkpoint")
+    latest = read_latest(spark, f"{root}/table", events.schema, ["user_id", "event_type"], ["event_id"])
     return latest.select("user_id", "event_type", "event_id", "value")
 
 
+@query("""SELECT day, month, year, time, city, temperature_c, pressure_hpa, wind_speed_kn FROM (SELECT *, row_number() OVER (
+PARTITION BY day, month, year, time, city ORDER BY part DESC, event_id DESC) AS rn FROM (
+SELECT day(ts)::INTEGER AS day, month(ts)::INTEGER AS month, year(ts)::INTEGER AS year, strftime(ts, '%H:00:00') AS time, event_id, event_id % 3 AS part,
+'Site ' || CAST(user_id % 25 AS VARCHAR) AS city, value AS temperature_c, (event_id % 100 + 950)::INTEGER AS pressure_hpa, round(value % 20, 2) AS wind_speed_kn
+FROM events)) WHERE rn = 1""")
+def upsert_partitions(spark, d):
+    """Weather readings in three batches brought in place into a table partitioned by day: the last write of each hour stays."""
+    readings = s.weather_table(spark, d, "event_id", time=F.date_format("ts", "HH:00:00"))
+    root, day = run_dir(spark, "in-place"), ["year", "month", "day"]
+    for stream in _in_three_batches(spark, readings, F.col("event_id") % 3, f"{root}/landing"):
+        ingest.upsert_in_place(stream, f"{root}/table", f"{root}/checkpoint", WEATHER_KEY, ["event_id"], day)
+    table = s.read_table(spark, f"{root}/table", readings.schema)
+    return table.select(*WEATHER_KEY, "temperature_c", "pressure_hpa", "wind_speed_kn")
+
+
+@query("""SELECT 'o' || o_orderkey AS race_id, CAST(i AS INTEGER) AS segment_no, 'C' || o_custkey AS athlete_name, o_orderkey % 2 AS batch_id
+FROM orders CROSS JOIN (SELECT unnest([1, 2]) AS i) WHERE o_orderkey % 7 > 0""")
+def stream_races(spark, d):
+    """Race documents in three landings, the last one with all of them again: each race gives its segments once, broken ones none."""
+    orders, root = s.table(spark, d, "orders"), run_dir(spark, "races")
+    i = F.col("o_orderkey")
+    segment = lambda n: F.lit(f"<cInfoRaceSegment><SegNum>{n}</SegNum></cInfoRaceSegment>")
+    xml = F.concat(F.lit("<a><StatisticheDato><Nome>C"), "o_custkey", F.lit("</Nome>"), segment(1), segment(2), F.lit("</StatisticheDato>"),
+                   F.when(i % 7 > 0, "</a>").otherwise(""))
+    documents = orders.select(i, F.concat(F.lit("in/o"), i, F.lit(".xml")).alias("path"), F.timestamp_seconds(i).alias("landed"), xml.alias("xml"))
+    for part in (i % 2 == 0, i % 2 == 1, F.lit(True)):
+        documents.where(part).drop("o_orderkey").write.mode("append").parquet(f"{root}/landing")
+        stream = ingest.file_stream(spark, f"{root}/landing", documents.drop("o_orderkey").schema, "*.parquet")
+        ingest.ingest_races(stream, f"{root}/table", f"{root}/checkpoint")
+    schema = "race_id string, segment_no int, athlete_name string"
+    return read_batches(spark, f"{root}/table", StructType.fromDDL(schema))
+
+
 @query("SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 0::BIGINT ELSE 1 END AS batch_id FROM orders")
 def stream_ingest(spark, d):
     """Two landings, the second with all races: each race is processed once."""

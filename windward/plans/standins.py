@@ -6,7 +6,7 @@ the operators run on every row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windward.schemas import WEATHER_HOURLY
@@ -108,14 +108,16 @@ def race_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages whose script passes race data: sound, broken, or none."""
+    """Pages whose script passes race data: sound with a day or without, broken, or none."""
+    dated = "dataLayer.push({'eventName': 'E$1', 'race': 'R$1', 'raceDate': 'D$1'});"
     sound = "dataLayer.push({'eventName': 'E$1', 'race': 'R$1'});"
     broken = "dataLayer.push({'eventName': E$1});"
     call = F.lit(r"track\(([0-9]+)\);")
     kind = F.col("page_id") % 4
     return table(spark, sf_dir, "pages").select(
         "page_id",
-        F.when(kind < 2, F.regexp_replace("html", call, F.lit(sound)))
+        F.when(kind == 0, F.regexp_replace("html", call, F.lit(dated)))
+        .when(kind == 1, F.regexp_replace("html", call, F.lit(sound)))
         .when(kind == 2, F.regexp_replace("html", call, F.lit(broken)))
         .otherwise(F.col("html")).alias("html"),
     )
@@ -184,12 +186,12 @@ def race_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("took")
 
 
-def weather_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as weather readings at the sites."""
+def weather_table(spark: SparkSession, sf_dir: str, *more: str, time: Column | None = None) -> DataFrame:
+    """Events as weather readings at the sites; ``more`` columns of the events after the usual ones."""
     e = site_events(spark, sf_dir)
     rows = e.select(
         F.dayofmonth("ts").alias("day"), F.month("ts").alias("month"), F.year("ts").alias("year"),
-        F.date_format("ts", "HH:mm:ss").alias("time"),
+        (F.date_format("ts", "HH:mm:ss") if time is None else time).alias("time"),
         F.concat(F.lit("Site "), F.col("site").cast("string")).alias("city"),
         (F.col("site") * 0.5 + 40.125).alias("latitude"),
         (F.col("site") * 0.25 + 3.5).alias("longitude"),
@@ -198,6 +200,6 @@ def weather_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("user_id") % 100).alias("humidity_pct"),
         F.round(F.col("value") % 20, 2).alias("wind_speed_kn"),
         (F.col("event_id") % 360).alias("wind_dir_weather"),
-        F.lit(0.0).alias("rain_mm"),
+        F.lit(0.0).alias("rain_mm"), *more,
     )
-    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in WEATHER_HOURLY])
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in WEATHER_HOURLY], *more)

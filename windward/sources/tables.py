@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from windward.functions import text, times
 from windward.operators.columns import rename_columns
+from windward.operators.upsert import keep_last, upsert
 from windward.schemas import DOUBLE_COLUMNS, INT_COLUMNS, SHEET_HEADERS
 from windward.session import stage
 
@@ -77,18 +78,51 @@ def unreadable_days(bronze: DataFrame, column: str = "race_date") -> DataFrame:
     return read.where("race_date is null and value is not null").groupBy("value").agg(F.count("*").alias("n"))
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
-    """Write Parquet, or raise EmptyResult and leave the target alone when there is no row.
+def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> int:
+    """Write Parquet and return the number of rows, or raise EmptyResult and leave the target alone when there is none.
 
-    The plan runs once: into the shared folder, and from there to the target.
+    The plan runs once: into the shared folder, where its rows are counted on the way, and from there to the target.
     """
-    staged = stage(df, "table")
-    if staged.isEmpty():
+    seen = Observation("write")
+    staged = stage(df.observe(seen, F.count(F.lit(1)).alias("rows")), "table")
+    rows = int(seen.get["rows"])
+    if not rows:
         raise EmptyResult(f"nothing to write to {path}")
     writer = staged.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    return rows
+
+
+def upsert_partitions(new: DataFrame, path: str, keys: list[str], order: list[Column], partition_by: list[str]) -> None:
+    """Bring rows into a partitioned Parquet table; the last row per key stays, a new one replaces an old one.
+
+    Only the partitions that ``new`` touches are read and replaced: their merged rows are written to the
+    shared folder, then beside the table, and change places with the old ones when all are written. A repeated
+    call changes nothing. ``partition_by`` is part of ``keys``, so no key changes its partition; their
+    values may be null. An absent table is created; without new rows nothing happens.
+    """
+    if not set(partition_by) <= set(keys):
+        raise ValueError(f"{partition_by} must be among the keys {keys}")
+    spark = new.sparkSession
+    fresh = stage(keep_last(new, keys, order), "upsert-new")
+    if fresh.isEmpty():
+        return
+    try:
+        old = read_table(spark, path, fresh.schema)
+    except FileNotFoundError:
+        merged = fresh
+    else:
+        # A written table's size is known: Spark broadcasts the few partition values and prunes the scan by them.
+        touched = stage(fresh.select(*partition_by).distinct(), "upsert-partitions")
+        none = " or ".join(f"`{c}` is null" for c in partition_by)
+        whole = old.join(touched, partition_by, "left_semi")
+        null_safe = [old[c].eqNullSafe(touched[c]) for c in partition_by]
+        nameless = old.where(none).join(touched.where(none), null_safe, "left_semi")
+        merged = stage(upsert(whole.unionByName(nameless), fresh, keys, order), "upsert-merged")
+    spread = merged.hint("rebalance", *partition_by)
+    spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
 def write_run(tables: dict[str, DataFrame], root: str, run_ts: str) -> None:
