@@ -20,6 +20,16 @@ def score(a, b):
     return round((1 - (len(a) + len(b) - 2 * row[-1]) / (len(a) + len(b))) * 100)
 
 
+def score_exact(a, b):
+    """As ``score``, of the texts as they are."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        last = row[:]
+        for j, y in enumerate(b, 1):
+            row[j] = last[j - 1] + 1 if x == y else max(row[j - 1], last[j])
+    return round((1 - (len(a) + len(b) - 2 * row[-1]) / (len(a) + len(b))) * 100)
+
+
 def pairs_by_hand(listed, threshold):
     return sorted(
         (a, b, score(a, b))
@@ -94,11 +104,42 @@ def test_rows_are_renamed_and_none_is_lost(spark, rows):
     ]
 
 
-def test_few_pairs_meet(spark):
-    folds = frame(spark, variants(21, 3000)).selectExpr("lower(name) f").distinct().withColumn("n", F.length("f"))
-    assert names.meetings(folds).count() <= 0.05 * folds.count() ** 2 / 2
+def invented(seed, n, letters, least, most):
+    """Names of random letters, half of them with a letter more than another."""
+    rnd = random.Random(seed)
+    base = ["".join(rnd.choice(letters) for _ in range(rnd.randint(least, most))) for _ in range(n // 2)]
+    return list(dict.fromkeys(base + [s[:3] + rnd.choice(letters) + s[3:] for s in base]))
+
+
+def met(spark, listed):
+    folds = frame(spark, listed).selectExpr("name f").withColumn("n", F.length("f"))
+    return names.meetings(folds).count()
+
+
+def test_meetings_grow_with_the_names_not_with_their_pairs(spark):
+    few, many = (met(spark, invented(n, n, "abcdeimnorst", 6, 16)) for n in (2000, 8000))
+    assert 1000 <= few and many <= 5 * few
+
+
+def test_few_pairs_of_long_names_meet(spark):
+    assert met(spark, invented(3, 3000, "abcdeimnorst", 18, 28)) <= 0.002 * 3000**2 / 2
+
+
+def test_names_of_few_letters_meet_little_more_than_they_are_similar(spark):
+    listed = invented(1, 1000, "abcde", 9, 15)  # so like each other that similar pairs themselves grow with the square
+    similar = names.similar_pairs(frame(spark, listed)).count()
+    assert similar > 400 and met(spark, listed) <= 2.5 * similar
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.text(alphabet="abAé😀", min_size=1, max_size=9), st.text(alphabet="abé😀", min_size=1, max_size=9)), min_size=1, max_size=20),
+       st.integers(1, 30))
+def test_score_of_short_and_long_texts(spark, pairs, times):
+    df = spark.createDataFrame([(a * times, b * times) for a, b in pairs], "a string, b string")
+    got = df.select("a", "b", names.score(F.col("a"), F.col("b")).alias("s")).collect()
+    assert all(round(r.s) == score_exact(r.a, r.b) for r in got)
 
 
 def test_pairing_is_an_equi_join(spark):
     plan = names.similar_pairs(frame(spark, variants(1, 30)))._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "Python" not in plan

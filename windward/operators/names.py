@@ -4,28 +4,30 @@ Two names are similar when their score, 100 * (1 - d / (m + n)) rounded, is
 above a threshold; d is the number of single-character insertions and deletions
 between the lower-cased names and m, n are their lengths.
 
-Comparing all pairs is out of the question, and no pair may be missed, so pairs
-are found by equi-join. A similar pair allows at most k edits, k known from the
-lengths. The longer name is cut into more than k pieces; an edit can spoil only
-one piece, so at least one appears unchanged in the shorter name, shifted by no
-more than the edits allow.
+Comparing all pairs is out of the question, and no pair may be missed, so pairs are found by equi-join on what
+similar names must share. k, the most edits a similar pair allows, is known from the lengths.
+
+- Two names that are not long have a common subsequence of a length that follows from k: each is left with it
+  after a few deletions, so they meet on a whole name less a few letters (its deletion neighbourhood).
+- A longer name is cut into more than k / 2 parts, one of which has one edit at most, so it and the piece of the
+  other name it is aligned with meet as they are or less one letter.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from math import comb
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from windward.operators.lookup import lookup_join
 from windward.session import stage
 
 THRESHOLD = 85
 
-# Pieces beyond the k + 1 that are needed. A name joins on its rarest k + 1 pieces only:
-# those that survive the edits outnumber the ones left out.
-SPARE_PIECES = 3
+# A name is compared as a whole up to the length where one number of deletions gives at most so many results.
+MOST_KEYS = 2_000
+WORD = 62  # bits of a word of the common subsequence, so that sums of two and a carry fit a bigint
 
 
 def distinct_names(df: DataFrame, name: str, order: Column) -> DataFrame:
@@ -36,25 +38,57 @@ def distinct_names(df: DataFrame, name: str, order: Column) -> DataFrame:
     )
 
 
-@F.pandas_udf(T.DoubleType())
-def _score(a: pd.Series, b: pd.Series) -> pd.Series:
-    """100 * (1 - d / (m + n)), the common subsequence counted with one integer as bit row."""
-    def one(x: str, y: str) -> float:
-        if not x and not y:
-            return 100.0
-        at: dict[str, int] = {}
-        for i, ch in enumerate(x):
-            at[ch] = at.get(ch, 0) | (1 << i)
-        full = (1 << len(x)) - 1
-        row = full
-        for ch in y:
-            hit = row & at.get(ch, 0)
-            row = ((row + hit) | (row - hit)) & full
-        common = len(x) - row.bit_count()
-        total = len(x) + len(y)
-        return (1 - (total - 2 * common) / total) * 100
+def _let(value: Column, body) -> Column:
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _letters(c: Column) -> Column:
+    """The characters of a text that is not empty."""
+    return F.transform(F.sequence(F.lit(1), F.length(c)), lambda i: F.substring(c, i, F.lit(1)))
+
+
+def common_length(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence of two texts that are not empty.
+
+    One bit per character of ``a``, in words; per character of ``b`` each word is changed by one addition, whose
+    carry goes to the next. The zeros left are the common characters.
+    """
+    full = (1 << WORD) - 1
+    words = F.sequence(F.lit(0), F.floor((F.length(a) - 1) / WORD).cast("int"))
+
+    def mask(letters: Column, letter: Column) -> Column:
+        bit = lambda w: lambda acc, i: F.when(F.get(letters, w * WORD + i) == letter, acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), i))).otherwise(acc)
+        return F.transform(words, lambda w: F.aggregate(F.sequence(F.lit(0), F.lit(WORD - 1)), F.lit(0).cast("bigint"), bit(w)))
+
+    masks = _let(_letters(a), lambda letters: F.map_from_entries(
+        F.transform(F.array_distinct(letters), lambda c: F.struct(c.alias("key"), mask(letters, c).alias("value")))))
+
+    def word(row: Column, hits: Column):
+        def step(done: Column, w: Column) -> Column:
+            v = F.get(row, w)
+            hit = v.bitwiseAND(F.get(hits, w))
+            total = v + hit + done["carry"]
+            left = total.bitwiseAND(F.lit(full)).bitwiseOR(v.bitwiseAND(F.bitwise_not(hit)))
+            return F.struct(F.concat(done["out"], F.array(left)).alias("out"), F.shiftright(total, WORD).alias("carry"))
+        return step
+
+    def letter(table: Column):
+        def step(row: Column, c: Column) -> Column:
+            none = F.struct(F.array().cast("array<bigint>").alias("out"), F.lit(0).cast("bigint").alias("carry"))
+            return _let(F.try_element_at(table, c), lambda hits: F.when(hits.isNull(), row).otherwise(F.aggregate(words, none, word(row, hits), lambda x: x["out"])))
+        return step
+
+    start = F.transform(words, lambda w: F.lit(full))
+    last = F.length(a) - 1
+    ones = lambda row: F.aggregate(words, F.lit(0), lambda n, w: n + F.bit_count(F.get(row, w).bitwiseAND(
+        F.when(last - w * WORD >= WORD - 1, F.lit(full)).otherwise(F.call_function("shiftleft", F.lit(1).cast("bigint"), (last - w * WORD + 1)) - 1))))
+    return F.length(a) - _let(masks, lambda table: _let(F.aggregate(_letters(b), start, letter(table)), ones))
+
 
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="float64")
+def score(a: Column, b: Column) -> Column:
+    """100 * (1 - d / (m + n)), not rounded."""
+    total = F.length(a) + F.length(b)
+    return (1 - (total - 2 * common_length(a, b)) / total) * 100
 
 
 def _max_edits(total_length: str, threshold: int) -> str:
@@ -62,63 +96,92 @@ def _max_edits(total_length: str, threshold: int) -> str:
     return f"(({total_length}) * {995 - 10 * threshold} div 1000)"
 
 
-def _pieces(folds: DataFrame, threshold: int) -> DataFrame:
-    """The join tokens of each name as the longer one of a pair: (b, n_b, need, token)."""
-    need = f"{_max_edits('2 * n', threshold)} + 1"
-    parts = folds.withColumn("k", F.expr(f"least({need} + {SPARE_PIECES}, n)"))
-    return parts.select(
-        F.col("f").alias("b"), F.col("n").alias("n_b"), F.expr(need).alias("need"),
-        F.explode(F.array_distinct(F.expr(
-            "transform(sequence(0, k - 1), i -> xxhash64(n, int(i), "
-            "substring(f, int(i * n div k) + 1, int((i + 1) * n div k) - int(i * n div k))))"
-        ))).alias("token"),
-    )
+def _edits(total_length: int, threshold: int) -> int:
+    return total_length * (995 - 10 * threshold) // 1000
 
 
-def _probes(folds: DataFrame, threshold: int) -> DataFrame:
-    """The substrings of each name that could be a piece of a name as long or longer."""
-    need = f"{_max_edits('2 * n', threshold)} + 1"
-    allowed = _max_edits("m + n", threshold)
-    longer = (
-        folds.withColumnRenamed("n", "m")
-        .withColumn("n", F.explode(F.expr(f"sequence(m, m * {1995 - 10 * threshold} div {5 + 10 * threshold})")))
-        .withColumn("k", F.expr(f"least({need} + {SPARE_PIECES}, n)"))
-        .withColumn("edits", F.expr(allowed))
-        .where("n - m <= edits")
-        .withColumn("i", F.explode(F.expr("sequence(0, int(k - 1))")))
-        .withColumn("start", F.expr("int(i * n div k)"))
-        .withColumn("len", F.expr("int((i + 1) * n div k) - start"))
-        .withColumn("lo", F.expr("greatest(0, start - (edits + n - m) div 2)"))
-        .withColumn("hi", F.expr("least(m - len, start + (edits - n + m) div 2)"))
-        .where("lo <= hi")
-    )
-    return longer.select(
-        F.col("f").alias("a"), F.col("m").alias("n_a"),
-        F.explode(
-            F.expr(
-                "array_distinct(transform(sequence(lo, hi), "
-                "q -> xxhash64(int(n), i, substring(f, int(q) + 1, len))))"
-            )
-        ).alias("token"),
-    )
+def _deletions(n: int, threshold: int) -> list[int]:
+    """How many letters a name of length n loses, as against each length the other name may have, down to what they must have in common."""
+    fit = [m for m in range(1, 2 * n + 2) if abs(m - n) <= _edits(m + n, threshold)]
+    return [n - (m + n - _edits(m + n, threshold) + 1) // 2 for m in fit]
 
 
-def meetings(folds: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Pairs (a, n_a, b, n_b) that share one of the rarest pieces of the longer name.
+def whole_limit(threshold: int) -> int:
+    """The length up to which names are compared as a whole."""
+    n = 1
+    while n < 60 and max(comb(n + 1, max(d, 0)) for d in _deletions(n + 1, threshold)) <= MOST_KEYS:
+        n += 1
+    return n
 
-    How often a piece is asked for is counted exactly, over all names; each name
-    keeps the k + 1 pieces that are asked for least. A piece that many names
-    share, such as a given name, is left out wherever rarer ones are enough.
+
+def _whole_keys(folds: DataFrame, threshold: int, limit: int) -> DataFrame:
+    """(f, n, token) of names up to the limit: what is left of them after each number of deletions that counts."""
+    wanted = {n: sorted({d for d in _deletions(n, threshold) if d >= 0}) for n in range(1, limit + 1)}
+    counts = F.create_map(*[x for n, ds in wanted.items() for x in (F.lit(n), F.array(*map(F.lit, ds)))])
+    start = "array(named_struct('s', f, 'at', 0, 'gone', 0))"
+    # Letters go from left to right, so that each choice of letters comes once.
+    one_less = ("transform(sequence(x.at, length(x.s) - 1), i -> named_struct('s', concat(left(x.s, i), substring(x.s, i + 2)), 'at', i, 'gone', d))")
+    level = f"flatten(transform(filter(acc, x -> x.gone = d - 1 and length(x.s) > x.at), x -> {one_less}))"
+    left = f"if(array_max(wanted) = 0, {start}, aggregate(sequence(1, array_max(wanted)), {start}, (acc, d) -> concat(acc, {level})))"
+    tokens = f"array_distinct(transform(filter({left}, x -> array_contains(wanted, x.gone)), x -> xxhash64(x.s)))"
+    rows = folds.where(F.col("n") <= limit).withColumn("wanted", F.element_at(counts, F.col("n")))
+    return rows.select("f", "n", F.explode(F.expr(tokens)).alias("token"))
+
+
+def _parted(names: DataFrame, threshold: int) -> DataFrame:
+    """For names with the length ``n`` of the longer of a pair: p, the number of its parts, and each part's number j, start and len."""
+    p = f"int(greatest(2, ({_max_edits('2 * n', threshold)} + 2) div 2))"
+    parts = names.selectExpr("*", f"{p} as p", f"explode(sequence(0, {p} - 1)) as j")
+    return parts.selectExpr("*", "int(j * n div p) as start", "int((j + 1) * n div p) - int(j * n div p) as len")
+
+
+def _tokens(rows: DataFrame, strings: str) -> DataFrame:
+    """(f, of, token): an array of texts as tokens of one part of names of length n."""
+    return rows.select("f", "of", F.explode(F.expr(f"array_distinct(transform({strings}, s -> xxhash64(n, j, s)))")).alias("token"))
+
+
+_ONE_LESS = "transform(sequence(0, length({0}) - 1), i -> concat(left({0}, i), substring({0}, i + 2)))"
+
+
+def _part_keys(folds: DataFrame, threshold: int, limit: int) -> DataFrame:
+    """(f, of, token) of longer names of length ``of``: each part, and each part less one letter."""
+    rows = _parted(folds.where(F.col("n") > limit), threshold).withColumns({"of": F.col("n"), "part": F.expr("substring(f, start + 1, len)")})
+    return _tokens(rows, f"concat(array(part), {_ONE_LESS.format('part')})")
+
+
+def _part_probes(folds: DataFrame, threshold: int, limit: int) -> DataFrame:
+    """(f, of, token): the pieces of each name, of length ``of``, that a part of a name as long or longer may be aligned with.
+
+    A piece is as long as the part, or one letter shorter (which the part then has more), or one letter
+    longer (and is taken less one letter). The first part's piece begins where the name begins, the last
+    one's ends where it ends; between, edits before shift it.
     """
-    asked = _probes(folds, threshold)
-    often = asked.groupBy("token").agg(F.count("*").alias("often"))
-    rarest = Window.partitionBy("b").orderBy(F.coalesce("often", F.lit(0)), "token")
-    kept = (
-        lookup_join(_pieces(folds, threshold), often, ["token"])
-        .withColumn("_r", F.row_number().over(rarest)).where("_r <= need and often is not null")
-        .select("b", "n_b", "token")
-    )
-    return kept.join(asked, "token").where("n_a < n_b or a < b").select("a", "n_a", "b", "n_b")
+    longer = folds.selectExpr("f", "n as of", f"explode(sequence(n, int(n * {1995 - 10 * threshold} div {5 + 10 * threshold}))) as n")
+    longer = longer.where(f"n > {limit} and n - of <= {_max_edits('of + n', threshold)}").selectExpr("f", "of", "n", f"{_max_edits('of + n', threshold)} as edits")
+    parts = _parted(longer, threshold).selectExpr("*", "edits >= p as one", "int(start - (edits + n - of) div 2) as lead")
+
+    def pieces(size: str) -> str:
+        lo = f"case when j = 0 then 0 when j = p - 1 then of - ({size}) else greatest(0, lead) end"
+        hi = f"case when j = 0 then 0 when j = p - 1 then of - ({size}) else least(of - ({size}), int(start + (edits - n + of) div 2)) end"
+        here = f"transform(sequence({lo}, {hi}), q -> substring(f, q + 1, {size}))"
+        return f"if({size} < 0 or {size} > of or {lo} > {hi}, cast(array() as array<string>), {here})"
+
+    longer_ones = f"flatten(transform({pieces('len + 1')}, t -> {_ONE_LESS.format('t')}))"
+    return _tokens(parts, f"concat({pieces('len')}, if(one, concat({pieces('len - 1')}, {longer_ones}), cast(array() as array<string>)))")
+
+
+def meetings(folds: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Pairs (a, n_a, b, n_b), n_a <= n_b, that share what similar names share, each once. ``folds``: distinct texts f and their lengths n."""
+    limit = whole_limit(threshold)
+    # A name is small but has many keys: names are dealt to all cores, however few bytes they are. They are read four times.
+    folds = stage(folds.select("f", "n").repartition(folds.sparkSession.sparkContext.defaultParallelism, "f"), "names")
+    whole = _whole_keys(folds, threshold, limit)
+    side = lambda x: F.struct(F.col(f"{x}.n").alias("n"), F.col(f"{x}.f").alias("f"))
+    met = whole.alias("x").join(whole.alias("y"), "token").where("x.f < y.f").select(side("x").alias("x"), side("y").alias("y"))
+    keys, probes = (t.withColumnRenamed("of", "n") for t in (_part_keys(folds, threshold, limit), _part_probes(folds, threshold, limit)))
+    parted = keys.alias("x").join(probes.alias("y"), "token").where("x.f <> y.f").select(side("x").alias("x"), side("y").alias("y"))
+    pairs = met.unionByName(parted).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    return pairs.select(F.col("x.f").alias("a"), F.col("x.n").alias("n_a"), F.col("y.f").alias("b"), F.col("y.n").alias("n_b"))
 
 
 def similar_pairs(names: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -133,12 +196,12 @@ def similar_pairs(names: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     edits = _max_edits("n_a + n_b", threshold)
     candidates = (
         meetings(folds, threshold)
-        # Edit distance with substitutions is never larger: a cheap first test in the JVM.
+        # Edit distance with substitutions is never larger: a cheap first test.
         .where(F.expr(f"levenshtein(a, b, int({edits})) >= 0"))
         .select("a", "b")
-        .distinct()
     )
-    close = candidates.withColumn("score", F.rint(_score("a", "b"))).where(F.col("score") > threshold)
+    # Exploded, so that the score is computed once and not again for the filter.
+    close = candidates.withColumn("score", F.explode(F.array(F.rint(score(F.col("a"), F.col("b")))))).where(F.col("score") > threshold)
     one = names.select(F.col("f").alias("a"), F.col("name").alias("name_a"), F.col("ord").alias("ord_a"))
     two = names.select(F.col("f").alias("b"), F.col("name").alias("name_b"), F.col("ord").alias("ord_b"))
     # Names that differ in case only score 100.
