@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from windward.operators import derived, profile, upsert
 from windward.operators.asof import nearest_join, unmatched_groups
 from windward.operators.lookup import lookup_join
-from windward.operators.ranks import Rank, with_ranks
+from windward.operators.ranks import Rank, balanced_counts, hot_groups, with_ranks
 
 
 def nearest_by_hand(left, right):
@@ -97,6 +97,36 @@ def test_rank_equals_counting(spark, data, bucket):
     assert got == want
 
 
+def test_no_window_is_large_for_continuous_values_of_a_hot_group(spark):
+    n, most = 30_000, 1000
+    df = spark.range(n).select(F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 3 == 0, F.concat(F.lit("g"), F.col("id") % 500)).alias("g"),
+                               F.exp(F.rand(7) * 30).alias("v"), "id")
+    df = df.union(spark.range(2000).select(F.lit("hot"), F.lit(5.0), F.col("id") + n))  # one value very often
+    r = Rank("r", ["g"], "v", most)
+    rows_ = hot_groups(df, ["g"], most).first()["_rows"]
+    sizes = balanced_counts(df.where("g = 'hot'"), r, rows_).groupBy("g", "_b").count()
+    assert sizes.agg(F.max("count")).first()[0] <= most and sizes.count() > 20
+    got = with_ranks(df, r).orderBy("id").select("r").collect()
+    values = sorted((x.g, x.v, x.id) for x in df.collect())
+    want, place = {}, {}
+    for i, (g, v, k) in enumerate(values):
+        start = place.setdefault(g, i)
+        want[k] = want[values[i - 1][2]] if i > start and values[i - 1][1] == v else i - start + 1
+    assert [x.r for x in got] == [want[k] for k in sorted(want)]
+
+
+def test_small_groups_share_one_shuffle(spark):
+    df = spark.range(1000).selectExpr("id % 50 as g", "id * 1.5 as a", "-id as b")
+    plan = with_ranks(df, Rank("x", ["g"], "a"), Rank("y", ["g"], "b"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_rows_without_a_group_are_not_gathered(spark):
+    df = spark.range(5000).selectExpr("if(id % 2 = 0, null, id % 7) as g", "id * 1.0 as v")
+    got = with_ranks(df, Rank("x", ["g"], "v"))
+    assert got.where("x is null").count() == 2500 and got.where("g is null and x is not null").count() == 0
+
+
 def test_segment_ranks_by_time_and_by_finish(spark, rows):
     df = spark.sql("""SELECT 1 AS race_id, 1 AS segment_no, * FROM VALUES
       ('a', 30D, timestamp_ntz'2024-01-01 10:00:40'), ('b', 20D, timestamp_ntz'2024-01-01 10:00:50'),

@@ -1,16 +1,20 @@
 """Weather hours, distributions, the enrichment plan and the incremental jobs."""
 
+import os
 import random
-from datetime import date
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from windward.operators import distributions, weather
-from windward.plans import enrich
+from windward.operators import distributions, upsert, weather
+from windward.operators.counted import StepCounts
+from windward.plans import collect, enrich
 from windward.schemas import PROCESSED_COLUMNS, WEATHER_HOURLY, WEATHER_KEY
-from windward.streaming import ingest
-from windward.streaming.log_table import compact, read_batches, read_latest
+from windward.sources import tables
+from windward.streaming import ingest, ledger
+from windward.streaming.log_table import compact, read_batches, read_latest, write_batch
 
 SEG = "race_id string, who int, point_of_sail string, wind_speed_kn double, segment_speed_kn double, segment_vmc_kn double"
 
@@ -192,3 +196,149 @@ def test_the_reading_written_last_counts(spark):
         "written", F.when(F.col("temperature_c") == 20.0, 2).otherwise(1))
     got = enrich.latest_weather(again, ["written"]).collect()
     assert sorted((r.time, r.temperature_c) for r in got) == [("08:00:00", 20.0), ("09:00:00", 1.0)]
+
+
+def test_landed_races_to_bronze_over_three_batches(spark, tmp_path, rows):
+    land, table, check = tmp_path / "in", str(tmp_path / "t"), str(tmp_path / "c")
+    about = spark.createDataFrame([("idgara=1&token=a", "Cup"), ("idgara=2&token=b", "Cup"), ("idgara=4&token=d", "Cup")], "race_id string, event_name string")
+
+    def land_and_run(day, *files):
+        (land / day).mkdir(parents=True)
+        for name, racer, end in files:
+            (land / day / f"{name}.xml").write_text(f"<a><StatisticheDato><Nome>{racer}</Nome></StatisticheDato>{end}", "utf-8")
+        ingest.ingest_races(ingest.document_stream(spark, f"{land}/*"), table, check, about)
+
+    def have(name, columns):
+        schema = T.StructType.fromDDL("race_id string, event_name string, athlete_name string, reason string")
+        return rows(read_batches(spark, f"{table}{name}", schema).select(*columns, "batch_id"))
+
+    land_and_run("1", ("idgara=1&token=a", "Ann", "</a>"), ("idgara=2&token=b", "Bea", ""), ("idgara=3&token=c", "Cyd", "</a>"))
+    assert have("", ["race_id", "event_name", "athlete_name"]) == [("idgara=1&token=a", "Cup", "Ann", 0)]
+    assert have("_rejects", ["race_id", "reason"]) == [("idgara=2&token=b", "not well-formed", 0), ("idgara=3&token=c", "no page", 0)]
+    land_and_run("2", ("idgara=1&token=a", "Zoe", "</a>"), ("idgara=4&token=d", "Dee", "</a>"))  # a known race lands again
+    land_and_run("3", ("idgara=2&token=b", "Bea", "</a>"), ("idgara=4&token=d", "Eve", "</a>"))  # and a rejected one
+    assert have("", ["race_id", "athlete_name"]) == [("idgara=1&token=a", "Ann", 0), ("idgara=2&token=b", "Bea", 2), ("idgara=4&token=d", "Dee", 1)]
+    land_and_run("4")
+    assert len(have("", ["race_id"])) == 3 and len(have("_rejects", ["race_id"])) == 2
+
+
+def test_of_a_race_landed_twice_the_last_document_counts(spark, rows):
+    doc = lambda name: f"<a><StatisticheDato><Nome>{name}</Nome></StatisticheDato></a>"
+    page = "<script>dataLayer.push({'eventName':'E','race':'R','raceDate':'2024-05-01'});</script>"
+    documents = spark.createDataFrame([("r", doc("Zoe"), datetime(2024, 5, 1)), ("r", doc("Ann"), datetime(2024, 5, 2)), (None, doc("No"), datetime(2024, 5, 3))],
+                                      "race_id string, xml string, landed timestamp")
+    pages = spark.createDataFrame([("r", page, "Wind 10°")], "race_id string, html string, wind string")
+    links = spark.createDataFrame([("r", True, "u1"), ("r", True, "u2"), ("r", False, "u0"), (None, False, "x"), (None, False, "y"), (None, False, "y"), (None, False, None)],
+                                  "race_id string, ok boolean, url string")
+    races = collect.assemble_races(links, pages, documents)
+    assert rows(collect.bronze_segments(races), "race_id", "athlete_name") == [("r", "Ann")]
+    assert rows(collect.ingest_log(races)) == sorted([
+        ("r", "u0", "no token", False), ("r", "u1", "new", True), ("r", "u2", "repeated", True),
+        (None, "x", "no token", False), (None, "y", "no token", False), (None, None, "no token", False)], key=lambda t: tuple((v is None, str(v)) for v in t))
+    bare = collect.assemble_races(links.drop("url"), pages, documents.drop("landed"))
+    assert rows(collect.ingest_log(bare), "race_id", "status", "ok") == [("r", "new", True)] + [(None, "no token", False)] * 4
+    assert rows(collect.bronze_segments(bare), "athlete_name") == [("Zoe",)]
+
+
+def test_a_landing_within_the_delay_is_dropped_and_a_late_one_listed(spark, tmp_path, rows):
+    land, table, check = str(tmp_path / "in"), str(tmp_path / "t"), str(tmp_path / "c")
+    schema = "path string, landed timestamp, xml string"
+    doc = lambda name: f"<a><StatisticheDato><Nome>{name}</Nome></StatisticheDato></a>"
+    at = lambda minutes: datetime(2024, 5, 1) + timedelta(minutes=minutes)
+    batches = [[("in/r1.xml", at(0), doc("a")), ("in/r2.xml", at(10), doc("b"))], [("in2/r1.xml", at(20), doc("a again")), ("in/r3.xml", at(180), doc("c"))],
+               [("in/r4.xml", at(30), doc("late")), ("in/r5.xml", at(190), doc("e"))]]
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(land)
+        ingest.ingest_races(ingest.file_stream(spark, land, T.StructType.fromDDL(schema), "*.parquet"), table, check, delay="1 hour")
+    read = read_batches(spark, table, T.StructType.fromDDL("race_id string, athlete_name string"))
+    assert rows(read, "race_id", "athlete_name") == [("r1", "a"), ("r2", "b"), ("r3", "c"), ("r5", "e")]
+    assert rows(ingest.late_landings(spark, table), "race_id", "path") == [("r4", "in/r4.xml")]
+
+
+def test_a_lookup_reads_only_the_ledger_batches_that_may_hold_a_key(spark, tmp_path, rows):
+    path = str(tmp_path / "keys")
+    keys = lambda *part: spark.range(*part).select(F.concat(F.lit("k"), "id").alias("key"))
+    for b in range(5):
+        ledger.write_keys(keys(b * 1000, b * 1000 + 1000), path, b, "key")
+    asked = keys(2500, 2600).union(keys(9000, 9100)).union(spark.createDataFrame([(None,), (None,), ("k2500",)], "key string"))
+    fresh, seen = ledger.not_taken(asked, path, "key", 5)
+    assert rows(fresh) == rows(keys(9000, 9100).union(spark.createDataFrame([(None,), (None,)], "key string")))
+    assert seen.get["read"] == 1000  # one batch of five
+    fresh, seen = ledger.not_taken(keys(9000, 9100), path, "key", 5)
+    assert seen is None and fresh.count() == 100  # nothing passes: nothing is read
+    fresh, seen = ledger.not_taken(keys(2500, 2600), path, "key", 2)
+    assert seen is None and fresh.count() == 100  # later batches do not count
+    assert rows(ledger.not_taken(asked, path, "key", 5)[0]) == rows(upsert.not_yet_known(asked, keys(0, 5000), "key"))
+    ledger.write_keys(keys(0, 10), path, 0, "key")  # written again, a batch replaces itself
+    assert ledger.not_taken(keys(500, 510), path, "key", 5)[0].count() == 10
+    write_batch(keys(7000, 7010), path, 6)  # without a filter a batch is compared
+    assert ledger.not_taken(keys(7000, 7020), path, "key", 7)[0].count() == 10
+
+
+def test_an_upsert_in_place_leaves_other_partitions_alone(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    frame = lambda data: spark.createDataFrame(data, "day int, city string, v string, o int")
+    put = lambda data: tables.upsert_partitions(frame(data), path, ["day", "city"], [F.col("o")], ["day"])
+    files = lambda: {os.path.relpath(os.path.join(d, f), path): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+    put([(1, "a", "x", 1), (1, "b", "x", 1), (2, "a", "x", 1), (None, "a", "x", 1), (2, "a", "old", 0)])
+    before = files()
+    put([(2, "a", "new", 0), (2, "c", "new", 0), (3, "a", "new", 0), (None, "b", "new", 0), (2, "c", "newer", 1)])
+    after = files()
+    same = {f for f in before if f.startswith("day=1")}
+    assert same and all(after[f] == before[f] for f in same) and not {f for f in before if f.startswith("day=2")} & set(after)
+    want = sorted([(1, "a", "x"), (1, "b", "x"), (2, "a", "new"), (2, "c", "newer"), (3, "a", "new"), (None, "a", "x"), (None, "b", "new")],
+                  key=lambda t: tuple((v is None, str(v)) for v in t))
+    assert rows(spark.read.parquet(path), "day", "city", "v") == want
+    put([(2, "a", "new", 0), (2, "c", "new", 0), (3, "a", "new", 0), (None, "b", "new", 0), (2, "c", "newer", 1)])
+    assert rows(spark.read.parquet(path), "day", "city", "v") == want
+    put([])
+    assert rows(spark.read.parquet(path), "day", "city", "v") == want
+    with pytest.raises(ValueError):
+        tables.upsert_partitions(frame([]), path, ["city"], [F.col("o")], ["day"])
+    old = tables.read_table(spark, path)
+    touched = spark.createDataFrame([(2,)], "day int")
+    touched.write.parquet(str(tmp_path / "touched"))
+    plan = old.join(spark.read.parquet(str(tmp_path / "touched")).where("day < 9"), ["day"], "left_semi")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+
+def test_a_very_fast_segment_gives_all_its_bins(spark):
+    df = spark.createDataFrame([("r", 1, "Reaching", 8.0, 1e8, 3.5), ("r", 2, "Reaching", 8.0, 2.0, 2e7 + 0.5)], SEG)
+    curve = distributions.vmc_curve(distributions.sailing_rows(df))
+    got = curve.agg(F.count("*"), F.sum("n"), F.min("vmc_lo"), F.max("vmc_lo"), F.count_distinct(F.expr("vmc_lo div 1000000"))).first()
+    assert tuple(got) == (10**8, 2, 0, 10**8 - 1, 100)
+    plan = curve._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("explode(sequence") == 2
+
+
+def test_bins_are_spread_in_two_levels(spark, rows):
+    spans = spark.createDataFrame([("a", 0, 10), ("b", 5, 6), ("c", 3, 3), ("d", 7, 110)], "g string, lo long, hi long")
+    got = distributions.spread_bins(spans, "lo", "hi", "x", ["g"])
+    assert sorted((r.g, r.x) for r in got.collect()) == [("a", i) for i in range(10)] + [("b", 5)] + [("d", i) for i in range(7, 110)]
+    assert got.rdd.getNumPartitions() > 1
+
+
+def test_hours_inside_occupied_times_only(spark, rows):
+    df = spark.sql("""SELECT * FROM VALUES
+      (1D, 2D, timestamp_ntz'2024-01-01 10:50:00', timestamp_ntz'2024-01-01 11:10:00'),
+      (1D, 2D, timestamp_ntz'2024-01-01 11:05:00', timestamp_ntz'2024-01-01 11:06:00'),
+      (1D, 2D, timestamp_ntz'2024-01-01 19:59:00', timestamp_ntz'2024-01-02 08:01:00'),
+      (1D, 2D, timestamp_ntz'2024-01-05 12:00:00', timestamp_ntz'2024-01-05 11:00:00'),
+      (NULL, 2D, timestamp_ntz'2024-01-05 12:00:00', timestamp_ntz'2024-01-05 13:00:00')
+      AS t(lat, lon, segment_start, segment_end)""")
+    islands = weather.occupied_intervals(df)
+    assert [(str(a), str(b)) for a, b in rows(islands, "first_time", "last_time")] == [
+        ("2024-01-01 10:50:00", "2024-01-01 11:10:00"), ("2024-01-01 19:59:00", "2024-01-02 08:01:00"), ("2024-01-05 12:00:00", "2024-01-05 12:00:00")]
+    assert [(str(d), h) for d, h in rows(weather.hour_islands(islands), "day", "hour")] == [
+        ("2024-01-01", 10), ("2024-01-01", 11), ("2024-01-01", 19), ("2024-01-01", 20), ("2024-01-02", 8), ("2024-01-05", 12)]
+    span = weather.hour_spine(weather.location_ranges(df.where("lat is not null"))).select("day", "hour")
+    assert weather.hour_islands(islands).select("day", "hour").exceptAll(span).count() == 0
+
+
+def test_steps_are_counted_by_the_run_itself(spark, tmp_path, rows):
+    counts = StepCounts()
+    df = counts.after(spark.range(100), "landed")
+    df = counts.after(df.where("id % 2 = 0"), "even")
+    df = counts.after(df.where("id < 50"), "low")
+    assert tables.write_table(df, str(tmp_path / "t")) == 25
+    assert rows(counts.table(spark)) == [(0, "landed", 100, 0), (1, "even", 50, 50), (2, "low", 25, 25)]

@@ -96,11 +96,11 @@ def segment_ranks(df: DataFrame, group: list[str] | None = None) -> DataFrame:
     finished = df.withColumn("_finish_us", times.micros(F.col("segment_end")))
     return with_ranks(
         finished,
-        Rank("rank_segment", group, "segment_time_s", bucket=60.0),
-        Rank("rank_segment_end", group, "_finish_us", bucket=60e6),
+        Rank("rank_segment", group, "segment_time_s"),
+        Rank("rank_segment_end", group, "_finish_us"),
     ).drop("_finish_us")
 
 
 def rank_segment(df: DataFrame, group: list[str] | None = None) -> DataFrame:
     """Only the rank by time spent on the segment."""
-    return with_ranks(df, Rank("rank_segment", group or SEGMENT_KEY, "segment_time_s", bucket=60.0))
+    return with_ranks(df, Rank("rank_segment", group or SEGMENT_KEY, "segment_time_s"))

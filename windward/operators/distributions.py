@@ -49,12 +49,26 @@ def speed_histogram(df: DataFrame, width: int = 1) -> DataFrame:
     return _binned(df, left_edge(F.col("segment_speed_kn"), width), "speed_lo").drop("_max", "_vmax")
 
 
+def spread_bins(spans: DataFrame, first: str, last: str, name: str, keep: list[str]) -> DataFrame:
+    """One row per whole number ``first`` .. ``last`` - 1 of each span, as ``name``, with the columns ``keep``.
+
+    In two levels: a span is cut into about as many blocks as a block has bins, the blocks are dealt to all
+    tasks, and each then gives its bins. No row ever holds more than the root of a span's length.
+    """
+    tasks = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = F.greatest(F.lit(1), F.ceil(F.sqrt(F.col(last) - F.col(first)))).cast("bigint")
+    blocks = spans.where(F.col(last) > F.col(first)).withColumn("_size", size)
+    blocks = blocks.select(*keep, last, "_size", F.explode(F.sequence(F.col(first), F.col(last) - 1, F.col("_size"))).alias("_block"))
+    end = F.least(F.col("_block") + F.col("_size"), F.col(last)) - 1
+    dealt = blocks.repartition(tasks, "_block", *keep)
+    return dealt.select(*keep, F.explode(F.sequence("_block", end)).alias(name))
+
+
 def vmc_curve(df: DataFrame) -> DataFrame:
     """Segments per group and 1-knot VMC bin, empty bins included.
 
     Bins run from 0 to the group's maximum *speed*; VMC outside is left out. Each
-    bin in use also fills the gap up to the next one, so the empty bins of a very
-    fast segment are spread over the rows and never one array of all bins.
+    bin in use also fills the gap up to the next one; long gaps are spread over all tasks.
     """
     used = _binned(df, F.floor("segment_vmc_kn").cast("bigint"), "vmc_lo")
     top = F.ceil("_vmax").cast("bigint")
@@ -62,8 +76,8 @@ def vmc_curve(df: DataFrame) -> DataFrame:
     inside = used.select(*GROUP, "vmc_lo", "n", top.alias("top")).where("vmc_lo >= 0 and vmc_lo < top").unionByName(edge)
     starts = inside.groupBy(*GROUP, "vmc_lo", "top").agg(F.sum("n").alias("n"))
     after = F.lead("vmc_lo").over(Window.partitionBy(*GROUP).orderBy("vmc_lo"))
-    spans = starts.withColumn("_to", F.coalesce(after, F.col("top")))
-    return spans.select(*GROUP, "n", F.col("vmc_lo").alias("_lo"), F.explode(F.sequence("vmc_lo", F.col("_to") - 1)).alias("vmc_lo")).select(
+    spans = starts.withColumn("_to", F.coalesce(after, F.col("top"))).withColumnRenamed("vmc_lo", "_lo")
+    return spread_bins(spans, "_lo", "_to", "vmc_lo", [*GROUP, "n", "_lo"]).select(
         *GROUP, F.col("vmc_lo").cast("int").alias("vmc_lo"), (F.col("vmc_lo") + 0.5).alias("vmc_mid"),
         F.when(F.col("vmc_lo") == F.col("_lo"), F.col("n")).otherwise(0).cast("bigint").alias("n"),
     )
