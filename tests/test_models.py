@@ -1,8 +1,10 @@
 """Feature matrix, split, forest, grid, metrics, saved models."""
 
+import os
 import random
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from windward.operators import features, model
@@ -120,3 +122,48 @@ def test_training_writes_its_tables(spark, tmp_path):
     assert read("best").count() == 6  # other data, another model
     run("again")
     assert read("best").count() == 9
+
+
+def test_a_search_broken_off_fits_only_the_rest(spark, tmp_path, monkeypatch):
+    data = features.with_fold(features.model_matrix(processed(spark), "rank_v2", keep=["rid"]), F.col("rid"))
+    names = [n for n in features.feature_names(data, "rank_segment", ["rid"]) if n != "fold"]
+    grid = {"n_estimators": [3], "max_depth": [2, 3, 4], "min_samples_leaf": [2]}
+    ledger, fitted = str(tmp_path / "scores"), []
+
+    class Counting:
+        def __init__(self, inner, stop_after):
+            self.inner, self.stop_after = inner, stop_after
+
+        def fit(self, rows):
+            if len(fitted) >= self.stop_after:
+                raise RuntimeError("killed")
+            fitted.append(1)
+            return self.inner.fit(rows)
+
+    real = model._forest
+    search = lambda resume: model.grid_search(data, names, "rank_segment", grid, parallelism=1, ledger=ledger, resume=resume)
+    monkeypatch.setattr(model, "_forest", lambda *a, **k: Counting(real(*a, **k), 4))
+    with pytest.raises(RuntimeError, match="killed"):
+        search(False)
+    assert len(model.fitted_folds(spark, ledger)) == 4
+    fitted.clear()
+    monkeypatch.setattr(model, "_forest", lambda *a, **k: Counting(real(*a, **k), 100))
+    found = search(True)
+    assert len(fitted) == 3 * 3 - 4 + 1 and len(found.scores) == 3  # the folds left, and the best on all rows
+    fitted.clear()
+    again = search(True)
+    assert len(fitted) == 1 and again.scores == found.scores
+    fitted.clear()
+    assert len(search(False).scores) == 3 and len(fitted) == 10  # without resume from the start
+
+
+def test_the_saved_pipeline_takes_processed_rows(spark, tmp_path):
+    rows = processed(spark)
+    fitted, _ = train.train(rows, ["rid"], F.col("rid"), {"n_estimators": [4], "max_depth": [3]}, str(tmp_path), run_ts="x")
+    saved = [p for p in os.listdir(tmp_path) if p.endswith("-pipeline")]
+    whole = PipelineModel.load(str(tmp_path / saved[0]))
+    matrix = features.model_matrix(rows, "rank_v2", keep=["rid"])
+    names = features.feature_names(matrix, "rank_segment", ["rid"])
+    want = dict(model.predict(fitted, matrix, names, "rank_segment").select("rid", "prediction").collect())
+    got = dict(whole.transform(rows.where("age_class in ('U17', 'U19')").na.drop(subset=["sex", "point_of_sail", "rank_segment"])).select("rid", "prediction").collect())
+    assert want and got == want

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Transformer
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -141,6 +142,24 @@ def assemble(matrix: DataFrame, features: list[str], target: str) -> DataFrame:
     return vector.transform(matrix).withColumn("label", F.col(target).cast(T.DoubleType()))
 
 
+def encoder_stages(preset: Preset | str, features: list[str], values: dict[str, list] | None = None) -> list[Transformer]:
+    """The encoding of ``model_matrix`` and ``assemble`` as stages of a saved model: rows with a null number go,
+    numbers, angles and categories become features, features one vector."""
+    p = PRESETS[preset] if isinstance(preset, str) else preset
+    said = lambda v: "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    number = lambda c: f"cast(replace(cast(`{c}` as string), ',', '.') as double)"
+    columns = {c: number(c) for c in p.numeric}
+    for a in p.angles:
+        columns |= {f"{a}_sin": f"sin(radians({number(a)}))", f"{a}_cos": f"cos(radians({number(a)}))"}
+    for c in p.categorical:
+        columns |= {f"{c}_{v}": f"case when `{c}` = {said(v)} then 1 else 0 end" for v in (values or CATEGORIES)[c]}
+    kept = ", ".join(f"{expression} as `{name}`" for name, expression in columns.items() if name in features)
+    read = ", ".join(f"`{c}`" for c in dict.fromkeys([*p.numeric, *p.angles, *p.categorical]))
+    whole = " and ".join(f"`{c}` is not null" for c in [*p.numeric, *p.angles])
+    encode = SQLTransformer(statement=f"select * except ({read}), {kept} from __THIS__ where {whole}")
+    return [encode, VectorAssembler(inputCols=features, outputCol="features")]
+
+
 def hash_number(key: Column, modulus: int, salt: str = "") -> Column:
     """A number in 0..modulus-1 from the row key: the same in every run and engine."""
     digest = F.md5(F.concat(key.cast("string"), F.lit(salt)).cast("binary"))

@@ -7,16 +7,19 @@ import itertools
 import math
 import os
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from windward.operators.features import SEED, assemble
+from windward.session import delete_staged
 
 MAX_BINS = 256
 
@@ -59,13 +62,17 @@ def grid_points(grid: dict[str, list]) -> list[dict]:
     return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
 
 
-def forest(point: dict, seed: int = SEED) -> RandomForestRegressor:
+def _forest(params: dict, seed: int = SEED) -> RandomForestRegressor:
     return RandomForestRegressor(
         featuresCol="features", labelCol="label", seed=seed, maxBins=MAX_BINS,
-        cacheNodeIds=True, checkpointInterval=10, **forest_params(point),
+        cacheNodeIds=True, checkpointInterval=10, **params,
     )
 
 
+def forest(point: dict, seed: int = SEED) -> RandomForestRegressor:
+    return _forest(forest_params(point), seed)
+
+
 def fit_forest(train: DataFrame, features: list[str], target: str, point: dict) -> RandomForestRegressionModel:
     return forest(point).fit(assemble(train, features, target))
 
@@ -79,36 +86,66 @@ class GridResult:
     seconds: float
 
 
+def _distinct_fits(points: list[dict]) -> tuple[list[tuple], list[int]]:
+    """The fits that a list of points needs, and which fit each point has; points that mean the same to Spark share one."""
+    fits: dict[tuple, int] = {}
+    fit_of = [fits.setdefault(tuple(sorted(forest_params(p).items())), len(fits)) for p in points]
+    return list(fits), fit_of
+
+
+LEDGER = "fit string, fold int, score double, seconds double"
+
+
+def fitted_folds(spark: SparkSession, ledger: str) -> dict[tuple[str, int], float]:
+    """(fit, fold) -> score of what a search has written so far; a search has few rows, one per fit and fold."""
+    if not exists(spark, ledger):
+        return {}
+    return {(r.fit, r.fold): r.score for r in spark.read.schema(LEDGER).parquet(f"{ledger}/*").collect()}
+
+
 def grid_search(
     train: DataFrame, features: list[str], target: str, grid: dict[str, list],
-    fold: str = "fold", folds: int = 3, parallelism: int = 4,
+    fold: str = "fold", folds: int = 3, parallelism: int = 4, ledger: str | None = None, resume: bool = False,
 ) -> GridResult:
     """Every grid point on every fold, scored by R2; the best is fitted on all of ``train``.
 
-    Points that mean the same to Spark share their fits; each has its score. Folds come from a hash column, so no random state is carried. Fits run as
-    concurrent Spark jobs over one cached matrix.
+    Points that mean the same to Spark share their fits; each has its score. Folds come from a hash column, so no random
+    state is carried. Fits run as concurrent Spark jobs over one cached matrix. Each fold's score is written
+    to the folder ``ledger`` as soon as it is known; a search that resumes fits only what the ledger lacks.
     """
+    spark = train.sparkSession
     points = grid_points(grid)
-    fits: dict[tuple, int] = {}
-    fit_of = [fits.setdefault(tuple(sorted(forest_params(p).items())), len(fits)) for p in points]
-    base = RandomForestRegressor(
-        featuresCol="features", labelCol="label", seed=SEED, maxBins=MAX_BINS,
-        cacheNodeIds=True, checkpointInterval=10,
-    )
-    maps = [{base.getParam(name): value for name, value in params} for params in fits]
-    search = CrossValidator(
-        estimator=base, estimatorParamMaps=maps, numFolds=folds, foldCol=fold,
-        evaluator=RegressionEvaluator(metricName="r2"), parallelism=parallelism, seed=SEED,
-    )
+    fits, fit_of = _distinct_fits(points)
     started = time.time()
+    done: dict[tuple[str, int], float] = {}
+    if ledger and resume:
+        done = fitted_folds(spark, ledger)
+    elif ledger:
+        delete_staged(spark, [(ledger, None)])
     data = assemble(train, features, target).select("features", "label", fold).persist()
+    judge = RegressionEvaluator(metricName="r2")
+
+    def one(job: tuple[int, int]) -> None:
+        fit, part = job
+        begun = time.time()
+        model = _forest(dict(fits[fit])).fit(data.where(F.col(fold) != part))
+        score = float(judge.evaluate(model.transform(data.where(F.col(fold) == part))))
+        done[repr(fits[fit]), part] = score
+        if ledger:
+            row = spark.createDataFrame([(repr(fits[fit]), part, score, time.time() - begun)], LEDGER)
+            row.coalesce(1).write.mode("overwrite").parquet(f"{ledger}/fit-{fit}-fold-{part}")
+
     try:
-        fitted = search.fit(data)
+        left = [(i, part) for i in range(len(fits)) for part in range(folds) if (repr(fits[i]), part) not in done]
+        with ThreadPoolExecutor(parallelism) as pool:
+            list(pool.map(inheritable_thread_target(spark)(one), left))  # raises what a fit has raised
+        mean = [sum(done[repr(f), part] for part in range(folds)) / folds for f in fits]
+        scored = [(p, mean[i]) for p, i in zip(points, fit_of)]
+        best, score = max(scored, key=lambda s: s[1])
+        model = forest(best).fit(data)
     finally:
         data.unpersist()
-    scored = [(p, float(fitted.avgMetrics[i])) for p, i in zip(points, fit_of)]
-    best, score = max(scored, key=lambda s: s[1])
-    return GridResult(fitted.bestModel, best, score, scored, time.time() - started)
+    return GridResult(model, best, score, scored, time.time() - started)
 
 
 def predict(model: RandomForestRegressionModel, data: DataFrame, features: list[str], target: str) -> DataFrame:
@@ -176,3 +213,10 @@ def load_or_fit(spark: SparkSession, path: str, fit, resume: bool = False) -> tu
     found = fit()
     found.model.write().overwrite().save(path)
     return found.model, found
+
+
+def save_pipeline(fitted: RandomForestRegressionModel, stages: list[Transformer], path: str) -> PipelineModel:
+    """Encoders, assembler and forest as one saved model, which takes the rows as they are."""
+    whole = PipelineModel([*stages, fitted])
+    whole.write().overwrite().save(path)
+    return whole

@@ -31,7 +31,9 @@ def train(
     ``by`` is the row key that decides split and fold; rows that must not be
     torn apart, such as one race's, share it. The matrix is written once and
     every fit reads that table. With ``resume`` a model saved for the same data,
-    features, target and grid is loaded instead. Run tables are written either way.
+    features, target and grid is loaded instead, and a search of these that was broken off fits only what it
+    had not scored yet. Run tables are written either way, and beside the forest the whole model, encoding included
+    (``-pipeline``), which takes processed rows as they are.
     """
     spark = processed.sparkSession
     target = features.PRESETS[preset].target
@@ -39,10 +41,13 @@ def train(
     names = features.feature_names(matrix, target, key)
     data = stage(features.with_fold(features.with_split(matrix, by), by), "matrix")
     train_rows, test_rows = data.where("is_train"), data.where("not is_train")
+    path = model.model_path(root, names, target, grid, model.data_version(train_rows))
     fitted, found = model.load_or_fit(
-        spark, model.model_path(root, names, target, grid, model.data_version(train_rows)),
-        lambda: model.grid_search(train_rows, names, target, grid, parallelism=parallelism), resume,
+        spark, path,
+        lambda: model.grid_search(train_rows, names, target, grid, parallelism=parallelism, ledger=f"{path}-scores", resume=resume), resume,
     )
+    if found is not None:
+        model.save_pipeline(fitted, features.encoder_stages(preset, names, values), f"{path}-pipeline")
     metrics = model.regression_metrics(model.predict(fitted, test_rows, names, target))
     tables = model.run_tables(spark, found, metrics, model.importances(spark, fitted, names), data)
     write_run(tables, f"{root}/runs", run_ts or datetime.now().strftime(RUN_STAMP))
