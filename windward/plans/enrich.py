@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from windward.functions import text, times
 from windward.operators import columns, derived, filters, names, profile, upsert, weather
 from windward.operators.asof import nearest_join
+from windward.operators.counted import StepCounts, counted
 from windward.operators.lookup import lookup_join
 from windward.schemas import PROCESSED_COLUMNS, WEATHER_KEY, require_columns
 from windward.session import stage
@@ -39,17 +40,18 @@ def weather_hours(segments: DataFrame, by: list[str] | None = None) -> DataFrame
 
 def clean_segments(
     segments: DataFrame, order: Column, first_names: DataFrame | None = None,
-    rules: dict[str, str] | None = None, threshold: int = names.THRESHOLD,
+    rules: dict[str, str] | None = None, threshold: int = names.THRESHOLD, counts: StepCounts | None = None,
 ) -> DataFrame:
     """Names unified, excluded runs out, profile extracted and then completed.
 
-    The event rules look at the course as landed, before its tokens are removed.
+    The event rules look at the course as landed, before its tokens are removed. ``counts`` is told the rows after each
+    filter; names are unified here and now, which runs the filters.
     """
     out = (
-        require_columns(segments, ["athlete_name", "serial_no", "course", "event_name"])
+        counted(counts, require_columns(segments, ["athlete_name", "serial_no", "course", "event_name"]), "landed")
         .transform(columns.drop_columns, UNUSED)
-        .transform(filters.exclude_matching, "course")
-        .transform(filters.exclude_by_rule, rules or {})
+        .transform(lambda df: counted(counts, filters.exclude_matching(df, "course"), "excluded runs"))
+        .transform(lambda df: counted(counts, filters.exclude_by_rule(df, rules or {}), "event rules"))
         .withColumn("athlete_name", text.clean_name(F.col("athlete_name")))
         .transform(names.unify_names, "athlete_name", order, threshold)
         .transform(profile.extract_profile)

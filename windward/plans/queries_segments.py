@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from windward.operators import derived, distributions, features, model, names, profile, weather
 from windward.operators.asof import nearest_join, unmatched_groups
+from windward.operators.counted import StepCounts
 from windward.operators.lookup import lookup_join
 from windward.plans import enrich
 from windward.plans import standins as s
@@ -48,14 +49,20 @@ def asof_nearest(spark, d):
     ).drop("day")
 
 
-@query(f"""SELECT site, strftime(day, '%Y-%m-%d') AS day, 'no reading' AS reason, count(*) AS rows_dropped
-FROM {_EV} p WHERE event_type = 'purchase' AND NOT EXISTS (SELECT 1 FROM {_EV} v
-  WHERE v.event_type = 'view' AND v.site = p.site AND v.day = p.day) GROUP BY 1, 2""")
+_ASKED = f"""(SELECT CASE WHEN event_id % 13 > 0 THEN site END AS site, day, CASE WHEN event_id % 11 > 0 THEN t END AS t FROM {_EV} WHERE event_type = 'purchase')"""
+
+
+@query(f"""SELECT site, strftime(day, '%Y-%m-%d') AS day, reason, sum(lost)::BIGINT AS rows_dropped FROM (
+  SELECT p.site, p.day, CASE WHEN p.site IS NULL THEN 'no key' WHEN v.site IS NULL THEN 'no reading' ELSE 'no time' END AS reason,
+    CASE WHEN v.site IS NULL OR p.t IS NULL THEN 1 ELSE 0 END AS lost
+  FROM {_ASKED} p LEFT JOIN (SELECT DISTINCT site, day FROM {_EV} WHERE event_type = 'view' AND user_id % 5 > 0) v ON v.site = p.site AND v.day = p.day)
+GROUP BY 1, 2, 3 HAVING sum(lost) > 0""")
 def asof_unmatched(spark, d):
+    """Rows without a place, without a time, or at a place and day without a reading."""
     e = s.site_events(spark, d)
-    report = unmatched_groups(
-        e.where("event_type = 'purchase'"), e.where("event_type = 'view'"), ["site", "day"], "t"
-    )
+    asked = e.where("event_type = 'purchase'").select(
+        F.when(F.col("event_id") % 13 > 0, F.col("site")).alias("site"), "day", F.when(F.col("event_id") % 11 > 0, F.col("t")).alias("t"))
+    report = unmatched_groups(asked, e.where("event_type = 'view' and user_id % 5 > 0"), ["site", "day"], "t")
     return report.withColumn("day", F.col("day").cast("string"))
 
 
@@ -78,7 +85,7 @@ ENRICHED = f"""(SELECT *,
   {SAIL} AS point_of_sail,
   CAST(rank() OVER (PARTITION BY race_id, segment_no ORDER BY segment_time_s) AS INTEGER) AS rank_segment,
   CAST(rank() OVER (PARTITION BY race_id, segment_no ORDER BY day, start_s + segment_time_s) AS INTEGER) AS rank_segment_end
-  FROM (SELECT s.*, w.temperature_c, w.pressure_hpa, w.humidity_pct, w.wind_speed_kn, w.t AS time_seconds,
+  FROM (SELECT s.*, w.temperature_c, w.pressure_hpa, w.humidity_pct, w.wind_speed_kn, w.t AS time_seconds, w.event_id AS reading,
     abs((wind_dir_site - heading_deg + 540) % 360 - 180) AS angle,
     row_number() OVER (PARTITION BY rid ORDER BY abs(start_s + segment_time_s / 2 - w.t), w.t,
       w.temperature_c DESC, w.pressure_hpa DESC) AS rn
@@ -99,6 +106,41 @@ def enriched_segments(spark, d):
     )
 
 
+_CLOCK = "'%H:%M:%S'"
+_AT = "(day + to_seconds(CAST({} AS BIGINT)))"
+_LAYER = {
+    "race_id": "race_id", "event_name": "'E' || (race_id % 10)", "event_location": "CAST(site * 0.5::DOUBLE + 40.125 AS VARCHAR) || ', ' || CAST(site * 0.25::DOUBLE + 3.5 AS VARCHAR)",
+    "course": "'R' || (race_id % 7)", "race_date": "strftime(day, '%Y-%m-%d')", "wind_dir_site": "wind_dir_site", "athlete_name": "'C' || athlete_no", "serial_no": "serial_no",
+    "total_time_s": "total_time_s", "total_length_m": "total_length_m", "total_dist_m": "total_dist_m", "total_efficiency_pct": "95.5::DOUBLE", "segment_no": "segment_no",
+    "port_pct": "40.0::DOUBLE", "starboard_pct": "60.0::DOUBLE", "segment_time_s": "segment_time_s", "segment_dist_m": "segment_dist_m", "segment_length_m": "segment_length_m",
+    "heading_deg": "heading_deg", "segment_efficiency_pct": "90.0::DOUBLE", "segment_start_clock": f"strftime({_AT.format('start_s')}, {_CLOCK})",
+    "segment_end_clock": f"strftime({_AT.format('start_s + segment_time_s')}, {_CLOCK})", "rank_entry": "CAST(segment_no AS INTEGER)",
+    "sex": "CASE WHEN serial_no % 2 = 0 THEN 'Men' ELSE 'Women' END", "age_class": "'U19'", "race_year": "CAST(year(day) AS INTEGER)", "race_month": "CAST(month(day) AS INTEGER)",
+    "race_day": "CAST(day(day) AS INTEGER)", "segment_start": f"strftime({_AT.format('start_s')}, '%Y-%m-%d %H:%M:%S')",
+    "segment_end": f"strftime({_AT.format('start_s + segment_time_s')}, '%Y-%m-%d %H:%M:%S')", "segment_date": "strftime(day, '%Y-%m-%d')",
+    "segment_mid_clock": f"strftime({_AT.format('start_s')} + to_milliseconds(CAST(segment_time_s * 500 AS BIGINT)), '%H:%M:%S.%g')",
+    "segment_speed_kn": "segment_speed_kn", "segment_vmc_kn": "segment_vmc_kn", "mid_seconds": "start_s + segment_time_s / 2", "day": "CAST(day(day) AS INTEGER)",
+    "month": "CAST(month(day) AS INTEGER)", "year": "CAST(year(day) AS INTEGER)", "time": f"strftime({_AT.format('time_seconds')}, {_CLOCK})", "city": "'Site ' || site",
+    "latitude": "site * 0.5::DOUBLE + 40.125", "longitude": "site * 0.25::DOUBLE + 3.5", "temperature_c": "temperature_c", "pressure_hpa": "pressure_hpa", "humidity_pct": "humidity_pct",
+    "wind_speed_kn": "wind_speed_kn", "wind_dir_weather": "CAST(reading % 360 AS DOUBLE)", "rain_mm": "0.0::DOUBLE", "time_seconds": "time_seconds", "course_vmc_kn": "course_vmc_kn",
+    "course_speed_kn": "course_speed_kn", "course_diff_m": "total_dist_m - total_length_m", "segment_diff_m": "segment_dist_m - segment_length_m", "point_of_sail": "point_of_sail",
+    "speed_wind_ratio": "segment_speed_kn / nullif(wind_speed_kn, 0)", "rank_segment": "rank_segment", "rank_segment_end": "rank_segment_end",
+}
+
+
+@query(f"SELECT {', '.join(f'{v} AS {k}' for k, v in _LAYER.items())} FROM {ENRICHED}")
+def processed_layer(spark, d):
+    """The processed layer as it is written: 57 columns in their order, days and moments as text."""
+    race = F.col("race_id")
+    cleaned = s.race_segments(spark, d).withColumns({
+        "event_name": F.concat(F.lit("E"), race % 10), "course": F.concat(F.lit("R"), race % 7), "athlete_name": F.concat(F.lit("C"), F.col("athlete_no")),
+        "total_efficiency_pct": F.lit(95.5), "segment_efficiency_pct": F.lit(90.0), "port_pct": F.lit(40.0), "starboard_pct": F.lit(60.0),
+        "rank_entry": F.col("segment_no").cast("int"), "sex": F.when(F.col("serial_no") % 2 == 0, "Men").otherwise("Women"), "age_class": F.lit("U19"),
+    }).drop("athlete_no")
+    layer = enrich.processed_layer(enrich.enrich_segments(cleaned, s.weather_table(spark, d)))
+    return layer.withColumns({c: F.col(c).cast("string") for c, kind in layer.dtypes if kind in ("date", "timestamp", "timestamp_ntz")})
+
+
 @query(f"""SELECT wind_bin, point_of_sail, count(*) AS n, CAST(sum(CAST(round(segment_vmc_kn, 4) AS DECIMAL(18,4))) AS DOUBLE) AS sum_vmc
 FROM (SELECT *, CAST(floor(wind_speed_kn / 2) * 2 AS INTEGER) AS wind_bin FROM {ENRICHED})
 WHERE wind_speed_kn >= 6 AND segment_vmc_kn IS NOT NULL GROUP BY 1, 2""")
@@ -213,6 +255,10 @@ SELECT race_id, segment_no, serial_no, athlete_no, athlete_name, course, sex,
 FROM unified LEFT JOIN known ON ks = serial_no AND kn = athlete_name""")
 def cleaned_segments(spark, d):
     """Names unified, excluded runs out, profile extracted and completed, in one plan."""
+    return _cleaned(spark, d).select(*ID, "athlete_name", "course", "sex", "age_class")
+
+
+def _cleaned(spark, d, counts=None):
     sailed = lookup_join(
         s.segments(spark, d).select(*ID),
         _part_names(spark, d).withColumnRenamed("p_partkey", "athlete_no"), ["athlete_no"], "inner",
@@ -220,8 +266,21 @@ def cleaned_segments(spark, d):
     race = s.courses(spark, d).select("race_id", "event_name", "course")
     order = (F.col("race_id") * 10 + F.col("segment_no")) * 10_000_000 + F.col("athlete_no")
     return enrich.clean_segments(
-        lookup_join(sailed, race, ["race_id"], "inner"), order, rules={"EVENT 3": "IQFOIL"}
-    ).select(*ID, "athlete_name", "course", "sex", "age_class")
+        lookup_join(sailed, race, ["race_id"], "inner"), order, rules={"EVENT 3": "IQFOIL"}, counts=counts
+    )
+
+
+@query(f"""WITH landed AS (SELECT e.raw, e.event_name FROM lineitem JOIN part ON p_partkey = l_partkey JOIN {EXTRACTED} e ON e.race_id = l_orderkey),
+steps AS (SELECT count(*) AS a, count(*) FILTER (kept) AS b, count(*) FILTER (kept AND ruled) AS c FROM (
+  SELECT raw IS NULL OR NOT regexp_matches(raw, 'abandon|recall', 'i') AS kept,
+    event_name <> 'EVENT 3' OR coalesce(regexp_matches(raw, 'IQFOIL', 'i'), FALSE) AS ruled FROM landed))
+SELECT 0 AS no, 'landed' AS step, a AS rows, 0::BIGINT AS removed FROM steps UNION ALL SELECT 1, 'excluded runs', b, a - b FROM steps
+UNION ALL SELECT 2, 'event rules', c, b - c FROM steps""")
+def clean_counts(spark, d):
+    """Rows each cleaning step leaves and removes, counted while names are unified."""
+    counts = StepCounts()
+    _cleaned(spark, d, counts)
+    return counts.table(spark)
 
 
 # ---------------------------------------------------------------- places and hours
@@ -232,14 +291,18 @@ _RANGES = f"""(SELECT round(la, 4) AS lat, round(lo, 4) AS lon, CAST(min(a) AS D
   CAST(max(b) AS DATE) AS last_day FROM {_VISITS} GROUP BY 1, 2)"""
 
 
-def _ranges(spark, d):
+def _visits(spark, d):
     site = F.col("user_id") % 25
     took = F.make_dt_interval(secs=F.floor(F.col("value") * 60).cast("decimal(18,6)"))
-    visits = s.table(spark, d, "events").select(
+    located = s.table(spark, d, "events").select(
         F.concat((site * 1.11111).cast("string"), F.lit(", "), (site * 0.5).cast("string")).alias("event_location"),
         F.col("ts").alias("segment_start"), (F.col("ts") + took).alias("segment_end"),
     )
-    return weather.location_ranges(weather.parse_coordinates(visits))
+    return weather.parse_coordinates(located)
+
+
+def _ranges(spark, d):
+    return weather.location_ranges(_visits(spark, d))
 
 
 @query(f"""SELECT lat, lon, strftime(first_day, '%Y-%m-%d') AS first_day, strftime(last_day, '%Y-%m-%d') AS last_day,
@@ -256,6 +319,22 @@ def hour_spine(spark, d):
     return weather.hour_spine(_ranges(spark, d)).select("lat", "lon", F.col("day").cast("string").alias("day"), "hour")
 
 
+_ISLANDS = f"""(SELECT lat, lon, min(a) AS first_time, max(b) AS last_time FROM (
+  SELECT *, sum(CASE WHEN reached >= date_trunc('hour', a) THEN 0 ELSE 1 END) OVER (PARTITION BY lat, lon ORDER BY a, b, k) AS island FROM (
+    SELECT *, max(b) OVER (PARTITION BY lat, lon ORDER BY a, b, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM (
+      SELECT round(la, 4) AS lat, round(lo, 4) AS lon, a, greatest(a, b) AS b, row_number() OVER () AS k FROM {_VISITS})))
+  GROUP BY lat, lon, island)"""
+
+
+@query(f"""SELECT DISTINCT lat, lon, strftime(h, '%Y-%m-%d') AS day, CAST(hour(h) AS INTEGER) AS hour FROM (
+  SELECT lat, lon, unnest(generate_series(date_trunc('hour', first_time), date_trunc('hour', last_time), INTERVAL 1 HOUR)) AS h FROM {_ISLANDS})
+  WHERE hour(h) BETWEEN 8 AND 20""")
+def hour_islands(spark, d):
+    """Hours to be fetched only inside the times that visits cover."""
+    found = weather.hour_islands(weather.occupied_intervals(_visits(spark, d)))
+    return found.select("lat", "lon", F.col("day").cast("string").alias("day"), "hour")
+
+
 # ---------------------------------------------------------------- measures
 
 
