@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,12 +18,16 @@ from windward.llm.common import block_ids, bucketed, expand, factor, narrow, pie
 from windward.operators.lookup import lookup_join
 from windward.session import stage
 
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
+UNITS_AT_ONCE = 25_000
 META = "▁"  # stands for a space in pieces
 
 #: A single space between two other characters. No token of either kind reaches over it, so the text
 #: falls into units there, and equal units are encoded and aligned alike.
 BORDER = re.compile(rf"(?<=[^{SPACE}]) (?=[^{SPACE}])")
+#: White space beside a space, or a space at an end: only here a space may be no border.
+_WHITE = "[\\t-\\r \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+UNEVEN = f"(^|{_WHITE}) | ({_WHITE}|$)"
 
 
 class Pieces:
@@ -34,6 +39,7 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes_of = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(META, " ").encode() for i, p in enumerate(names)]
+        self.sizes = np.fromiter(map(len, self.bytes_of), np.int64, len(self.bytes_of))
         #: A piece with a space after another character would reach over a unit's border.
         self.splits = not any(re.search(f"[^{META}]{META}", p) for p in names)
 
@@ -66,56 +72,92 @@ class Units:
     """Distinct units of a block, encoded by both tokenizers and aligned."""
 
     def __init__(self, texts: list[str], merges: Merges, other: Pieces) -> None:
-        """``texts``: units without the space before them."""
-        a, n_a = merges.chunk_ids([" " + t for t in texts])
+        """``texts``: units without the space before them. A part of them at a time is encoded, which bounds memory."""
+        parts = [_Part(texts[i:i + UNITS_AT_ONCE], merges, other) for i in range(0, max(len(texts), 1), UNITS_AT_ONCE)]
+        joined = lambda name: np.concatenate([getattr(p, name) for p in parts])
+        self.good, self.n_a, self.n_b, self.n_groups, self.n_pairs, self.times = map(joined, ("good", "n_a", "n_b", "n_groups", "n_pairs", "times"))
+        self.named = [x for p in parts for x in p.named]
+        self.pairs, self.pair_of = np.unique(joined("pair"), return_inverse=True)
+        self.n_links = sums(self.times, self.n_pairs)
+
+
+class _Part:
+    """Figures of some units; ``pair`` and ``times`` list each unit's distinct linked pairs and how often it has each."""
+
+    def __init__(self, texts: list[str], merges: Merges, other: Pieces) -> None:
+        spaced = [" " + t for t in texts]
+        a, n_a = _byte_level(spaced, merges)
         b, n_b = other.encode(texts)
-        a_size = np.fromiter(map(len, merges.bytes_of), np.int64, len(merges.bytes_of))[a]
-        b_size = np.fromiter(map(len, other.bytes_of), np.int64, len(other.bytes_of))[b]
-        a_at, b_at = np.append(0, np.cumsum(n_a)), np.append(0, np.cumsum(n_b))
-        self.good = np.fromiter((self._whole(" " + t, a[a_at[i]:a_at[i + 1]], b[b_at[i]:b_at[i + 1]], merges, other) for i, t in enumerate(texts)), bool, len(texts))
+        a_size, b_size = merges.sizes[a], other.sizes[b]
+        self.good = self._whole(spaced, b, sums(a_size, n_a), sums(b_size, n_b), other)
         keep_a, keep_b = np.repeat(self.good, n_a), np.repeat(self.good, n_b)
         a, b, a_end, b_end = a[keep_a], b[keep_b], np.cumsum(a_size[keep_a]), np.cumsum(b_size[keep_b])
         self.n_a, self.n_b = np.where(self.good, n_a, 0), np.where(self.good, n_b, 0)
         a_last, b_last = terminals(a_end, b_end)
         ends, group_a = np.unique(a_last, return_inverse=True)  # terminals in the order of the text
         group_b = np.searchsorted(ends, b_last)
-        self._name(merges, a, b, np.bincount(group_a, minlength=len(ends)), np.bincount(group_b, minlength=len(ends)), ends)
-        self._pair(a, b, group_a, group_b, len(ends))
-
-    @staticmethod
-    def _whole(text: str, a: np.ndarray, b: np.ndarray, merges: Merges, other: Pieces) -> bool:
-        want = text.encode()
-        return b"".join([other.bytes_of[i] for i in b.tolist()]) == want and b"".join([merges.bytes_of[i] for i in a.tolist()]) == want
-
-    def _name(self, merges: Merges, a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, ends: np.ndarray) -> None:
-        """Each unit's groups as text, and their number."""
-        unit_of_token = np.repeat(np.arange(len(self.n_a)), self.n_a)
-        self.group_unit = unit_of_token[ends]
-        self.n_groups = np.bincount(self.group_unit, minlength=len(self.n_a))
-        at, bt = [merges.texts[i] for i in a.tolist()], list(map(str, b.tolist()))
-        i = j = 0
-        named = []
-        for p, q in zip(in_a.tolist(), in_b.tolist(), strict=True):
-            named.append((at[i] if p == 1 else ",".join(at[i:i + p])) + "|" + (bt[j] if q == 1 else ",".join(bt[j:j + q])))
-            i, j = i + p, j + q
+        group_unit = np.repeat(np.arange(len(texts)), self.n_a)[ends]
+        self.n_groups = np.bincount(group_unit, minlength=len(texts))
+        named = _group_names(merges, a, b, np.bincount(group_a, minlength=len(ends)), np.bincount(group_b, minlength=len(ends)))
         cut = np.append(0, np.cumsum(self.n_groups)).tolist()
         self.named = [";".join(named[x:y]) for x, y in zip(cut, cut[1:], strict=False)]
+        self._pair(a, b, group_a, group_b, group_unit)
 
-    def _pair(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, groups: int) -> None:
-        """Each unit's distinct linked pairs, and how often it has each. Within a group ids are counted before they are paired."""
+    @staticmethod
+    def _whole(spaced: list[str], b: np.ndarray, a_size: np.ndarray, b_size: np.ndarray, other: Pieces) -> np.ndarray:
+        """Whether both tokenizers give a unit back byte by byte. Byte-level tokens of the right length always do."""
+        want = [t.encode() for t in spaced]
+        size = np.fromiter(map(len, want), np.int64, len(want))
+        like = (size == b_size) & (size == a_size)
+        table = other.bytes_of
+        text = np.frombuffer(b"".join(want), np.uint8)[np.repeat(like, size)]
+        back = np.frombuffer(b"".join([table[i] for i in b.tolist()]), np.uint8)[np.repeat(like, b_size)]
+        return like & (sums(text != back, np.where(like, size, 0)) == 0)
+
+    def _pair(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, group_unit: np.ndarray) -> None:
+        """Within a group ids are counted before they are paired."""
         a_key, a_n = np.unique(group_a << 32 | a, return_counts=True)
         b_key, b_n = np.unique(group_b << 32 | b, return_counts=True)
-        a_of, b_many = a_key >> 32, np.bincount(b_key >> 32, minlength=groups)
+        a_of, b_many = a_key >> 32, np.bincount(b_key >> 32, minlength=len(group_unit))
         left = np.repeat(np.arange(len(a_key)), b_many[a_of])
         right = expand(starts_of(b_many)[a_of], b_many[a_of])
-        pair = (a_key[left] & 0xFFFFFFFF) << 20 | (b_key[right] & 0xFFFFFFFF)
-        self.pairs, code = np.unique(pair, return_inverse=True)
-        unit = self.group_unit[a_of[left]]
-        key, at = np.unique(unit * max(len(self.pairs), 1) + code, return_inverse=True)
+        pairs, code = np.unique((a_key[left] & 0xFFFFFFFF) << 20 | (b_key[right] & 0xFFFFFFFF), return_inverse=True)
+        key, at = np.unique(group_unit[a_of[left]] * max(len(pairs), 1) + code, return_inverse=True)
         self.times = np.bincount(at, weights=a_n[left] * b_n[right], minlength=len(key)).astype(np.int64)
-        self.pair_of = key % max(len(self.pairs), 1)
-        self.n_pairs = np.bincount(key // max(len(self.pairs), 1), minlength=len(self.n_a))
-        self.n_links = sums(self.times, self.n_pairs)
+        self.pair = pairs[key % max(len(pairs), 1)]
+        self.n_pairs = np.bincount(key // max(len(pairs), 1), minlength=len(self.n_a))
+
+
+def _byte_level(spaced: list[str], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of units and how many each has. A unit of letters is one part for the pre-tokenizer."""
+    parts, n = [], np.ones(len(spaced), np.int64)
+    for i, t in enumerate(spaced):
+        if t[1:].isalpha():
+            parts.append(t)
+        else:
+            found = merges.split.findall(t)
+            parts += found
+            n[i] = len(found)
+    codes, distinct = factor(parts)
+    flat, counts = merges.merge([w.encode() for w in distinct])
+    size = counts[codes]
+    return flat[expand(starts_of(counts)[codes], size)], sums(size, n)
+
+
+def _group_names(merges: Merges, a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray) -> list[str]:
+    """Each group as text; groups of one token of either kind, most of them, share one string for each pair."""
+    a_at, b_at = starts_of(in_a), starts_of(in_b)
+    names = np.empty(len(in_a), object)
+    single = (in_a == 1) & (in_b == 1)
+    codes, which = np.unique(a[a_at[single]] << 20 | b[b_at[single]], return_inverse=True)
+    shared = np.empty(len(codes), object)
+    shared[:] = [f"{c >> 20}|{c & 0xFFFFF}" for c in codes.tolist()]
+    names[single] = shared[which]
+    rest = np.flatnonzero(~single)
+    texts = merges.texts
+    names[rest] = [",".join([texts[x] for x in a[i:i + p].tolist()]) + "|" + ",".join(map(str, b[j:j + q].tolist()))
+                   for i, p, j, q in zip(a_at[rest].tolist(), in_a[rest].tolist(), b_at[rest].tolist(), in_b[rest].tolist(), strict=True)]
+    return names.tolist()
 
 
 def sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -142,31 +184,53 @@ def default_pieces() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def distinct_sorted(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    return x[new]
+
+
+def split_units(texts: pa.Array, splits: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """The order in which texts are taken, the number of units of each, all units as numbers, and the distinct units.
+
+    Where every space is a border, texts are split as they are; the others one by one. Empty texts have no unit.
+    """
+    even = np.asarray(pc.and_(pc.greater(pc.binary_length(texts), 0), pc.invert(pc.match_substring_regex(texts, UNEVEN)))) & splits
+    plain, rest = np.flatnonzero(even), np.flatnonzero(~even)
+    lists = pc.split_pattern(texts.take(pa.array(plain)), " ")
+    parts = [(BORDER.split(t) if splits else [t]) if t else [] for t in texts.take(pa.array(rest)).to_pylist()]
+    n = np.concatenate([np.asarray(pc.list_value_length(lists)), np.fromiter(map(len, parts), np.int64, len(parts))]).astype(np.int64)
+    flat = pa.concat_arrays([pc.list_flatten(lists).cast(pa.large_string()), pa.array([u for p in parts for u in p], pa.large_string())])
+    coded = flat.dictionary_encode()
+    return np.concatenate([plain, rest]), n, coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+
+
 def aligned_blocks(docs: DataFrame, first: str, second: str, keep_groups: bool) -> DataFrame:
     """Blocks of whole documents as a bucketed table: figures and groups per document, its units as numbers,
     each unit's pairs, and the block's distinct pairs with the number of its documents that hold each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges, other = coders(first, second)
         for batch in pieces(batches, "text", BLOCK_BYTES):
-            texts = batch.column("text").to_pylist()
-            parts = [(BORDER.split(t) if other.splits else [t]) if t else [] for t in texts]
-            n = np.fromiter(map(len, parts), np.int64, len(parts))
-            codes, distinct = factor([u for p in parts for u in p])
+            taken, n, codes, distinct = split_units(batch.column("text"), other.splits)
             units = Units(distinct, merges, other)
             good = sums(~units.good[codes], n) == 0
             codes, n = codes[np.repeat(good, n)], np.where(good, n, 0)
-            ends = np.cumsum(n)
-            named = [";".join([units.named[c] for c in codes[e - m:e].tolist()]) for e, m in zip(ends.tolist(), n.tolist(), strict=True)]
-            used = np.unique(np.repeat(np.arange(len(n)), n) * max(len(distinct), 1) + codes)
+            cut = np.append(0, np.cumsum(n)).tolist()
+            named = (";".join([units.named[c] for c in codes[x:y].tolist()]) for x, y in zip(cut, cut[1:], strict=False))
+            if keep_groups:
+                named = list(named)
+            digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in named]
+            used = distinct_sorted(np.repeat(np.arange(len(n)), n) * max(len(distinct), 1) + codes)
             doc, unit = used // max(len(distinct), 1), used % max(len(distinct), 1)
             held = units.pair_of[expand(starts_of(units.n_pairs)[unit], units.n_pairs[unit])]
-            held = np.unique(held * max(len(n), 1) + np.repeat(doc, units.n_pairs[unit])) // max(len(n), 1)
+            held = distinct_sorted(held * max(len(n), 1) + np.repeat(doc, units.n_pairs[unit])) // max(len(n), 1)
             in_docs = np.bincount(held, minlength=len(units.pairs))
-            lists = [batch.column("id").to_pylist(), *[sums(x[codes], n) for x in (units.n_a, units.n_b, units.n_groups, units.n_links)]]
+            lists = [batch.column("id").take(pa.array(taken)).to_pylist(), *[sums(x[codes], n) for x in (units.n_a, units.n_b, units.n_groups, units.n_links)]]
             cells = [n.astype(np.int32), codes.astype(np.int32), units.n_pairs.astype(np.int32), units.pair_of.astype(np.int32), units.times, units.pairs, in_docs]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(block_ids(1)), *[pa.array([x], pa.list_(pa.int64())) for x in lists],
-                 pa.array([[hashlib.sha256(g.encode()).hexdigest() if m else "" for g, m in zip(named, n, strict=True)]], pa.list_(pa.string())),
+                 pa.array([digests], pa.list_(pa.string())),
                  pa.array([named if keep_groups else None], pa.list_(pa.string())), *[pa.array([pressed(x)], pa.binary()) for x in cells]],
                 names=[f.split()[0] for f in schema.split(", ")])
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from windward.llm.common import MIX, expand, factor, narrow, pieces, starts_of
 from windward.llm.sharding import before_each
-from windward.session import run_dir, stage
+from windward.session import run_dir, settle, stage, staged_so_far
 
 # The pre-tokenizer's pattern, the byte alphabet's printable ranges, Unicode's white space.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -91,6 +91,7 @@ class Merges:
         for token, i in self.added.items():
             self.bytes_of[i] = token.encode()
         self.texts = [str(i) for i in range(size)]
+        self.sizes = np.fromiter(map(len, self.bytes_of), np.int64, size)
         self.of_byte = np.array([vocab[c] for c in chars], np.int64)
         self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, (a, b) in enumerate(spec["model"]["merges"]):
@@ -404,13 +405,15 @@ def publish_lexicon(words: DataFrame, tokenizer: str) -> str | None:
     out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
     out.write(blob.lexicon)
     out.close()
-    spark.sparkContext.addFile(path)
+    spark.sparkContext.addFile(path)  # the file stays with the session: executors that join later fetch it too
     return os.path.basename(path)
 
 
 def compile_lexicon(docs: DataFrame, tokenizer: str, most: int = 100_000) -> str | None:
     """Count the words of all documents and publish the frequent ones. ``most`` bounds the file, not the text."""
-    return publish_lexicon(frequent_words(docs, tokenizer, most), tokenizer)
+    since = staged_so_far()
+    words = settle(frequent_words(docs, tokenizer, most), "frequent-words", since)
+    return publish_lexicon(words, tokenizer)
 
 
 def default_tokenizer() -> str:
