@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windward.operators.lookup import lookup_join
-from windward.session import run_dir, stage
+from windward.session import note_staged, run_dir, settle, stage, staged_so_far
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -109,6 +109,7 @@ def bucketed(rows: DataFrame, buckets: int, label: str) -> DataFrame:
     path = run_dir(rows.sparkSession, label)
     name = os.path.basename(path).replace("-", "_")
     rows.write.bucketBy(buckets, "block").option("path", path).option("compression", "zstd").saveAsTable(name)
+    note_staged(path, name)
     return rows.sparkSession.table(name)
 
 
@@ -146,6 +147,7 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     two joins over the edges; a node with very many edges is combined map-side and
     its join partition can be split. Each round is written to the shared folder.
     """
+    since = staged_so_far()
     now = stage(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), label)
     seen = None
     while True:
@@ -154,9 +156,9 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         large = lookup_join(both.filter("v > u"), least, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         mins = large.groupBy("u").agg(F.min("v").alias("m"))
         small = lookup_join(large, mins, ["u"])
-        now = stage(
+        now = settle(
             small.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-            .union(mins.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), label)
+            .union(mins.select("u", F.col("m").alias("v"))).filter("u <> v").distinct(), label, since)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             break

@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from windward.llm.common import block_ids, bucketed, expand, match_documents, mix, pieces, starts_of, text_key, text_of
 from windward.operators.lookup import lookup_join
-from windward.session import stage
+from windward.session import settle, stage, staged_so_far
 
 ORDER = 4
 BLOCK_BYTES = 8_000_000
 CHUNK_SYMBOLS = 500_000
+GRAMS_PER_SHARD = 1_000_000  # asked for by all blocks
 START, END, AGAIN = "\x02", "\x03", "\ue000"
 FOLDS = 5
 FENCE = 6.0
@@ -74,7 +75,7 @@ class Grams:
 
 
 def pack(texts: list[str]) -> bytes:
-    return zstandard.compress("\0".join(t.replace("\0", " ") for t in texts).encode(), 3)
+    return zstandard.compress("\0".join(t.replace("\0", " ") for t in texts).encode(), 6)
 
 
 def unpack(blob: bytes) -> list[str]:
@@ -172,8 +173,11 @@ def kneser_ney(counts: DataFrame, order: int) -> tuple[list[DataFrame], list[Dat
     return tables, weights, (gamma.gamma if gamma else 1.0) / bottom
 
 
-def log_probabilities(wanted: DataFrame, tables: list[DataFrame], weights: list[DataFrame], unknown: float, order: int) -> DataFrame:
-    """(gram, lp) for distinct n-grams: from the last symbol up, each order joined with its own counts."""
+def log_probabilities(wanted: DataFrame, tables: list[DataFrame], weights: list[DataFrame], unknown: float, order: int, since: int) -> DataFrame:
+    """(gram, lp) for distinct n-grams: from the last symbol up, each order joined with its own counts.
+
+    Only the last order's table stays of what was staged since the given moment.
+    """
     now = None
     for k in range(1, order + 1):
         grams = wanted.select(_suffix("gram", k).alias("gram")).distinct() if k < order else wanted
@@ -184,10 +188,68 @@ def log_probabilities(wanted: DataFrame, tables: list[DataFrame], weights: list[
         rows = rows.withColumns({"context": F.substring("gram", 1, k - 1), "low": _suffix("gram", k - 1)})
         rows = lookup_join(rows, weights[k - 1], ["context"]).fillna(1.0, ["gamma"])
         rows = lookup_join(rows, now.withColumnsRenamed({"gram": "low", "p": "q"}), ["low"])
-        now = stage(rows.select("gram", (F.col("a") + F.col("gamma") * F.col("q")).alias("p")), "lm-probabilities")
+        found = rows.select("gram", (F.col("a") + F.col("gamma") * F.col("q")).alias("p"))
+        now = settle(found, "lm-probabilities", since) if k == order else stage(found, "lm-probabilities")
     return now.select("gram", F.log("p").cast("float").alias("lp"))
 
 
+def _codes(grams: list[str], order: int) -> np.ndarray:
+    """The characters of n-grams as numbers, one row each."""
+    return np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(-1, order)
+
+
+def _shard(codes: np.ndarray, shards: int) -> np.ndarray:
+    key = np.zeros(len(codes), np.uint64)
+    for column in codes.T:
+        key = mix(key + column.astype(np.uint64) + np.uint64(1))
+    return (key % np.uint64(shards)).astype(np.int64)
+
+
+def _by_shard(codes: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of n-grams by shard, and in it by their characters; the shards there are, and the number of n-grams in each."""
+    shard = _shard(codes, shards)
+    order = np.lexsort((*codes.T[::-1], shard))
+    some, n = np.unique(shard, return_counts=True)
+    return order, some, n
+
+
+def _answers(blocks: DataFrame, lp: DataFrame, order: int, shards: int) -> DataFrame:
+    """(block, lp): for each block the log probabilities of its n-grams, in the order of ``_by_shard``, in pieces.
+
+    Blocks ask each shard for its n-grams in one packed row, and get one back.
+    """
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                codes = _codes(batch.column("grams")[i].as_py(), order)
+                at, some, n = _by_shard(codes, shards)
+                codes, ends = codes[at], np.cumsum(n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(some.astype(np.int32)), pa.array(np.full(len(some), batch.column("block")[i].as_py(), np.int64)),
+                     pa.array([zstandard.compress(np.ascontiguousarray(codes[e - k:e].T).tobytes(), 3) for e, k in zip(ends, n, strict=True)], pa.binary())],
+                    ["shard", "block", "grams"])
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shard = _shard(_codes(batch.column("gram").to_pylist(), order), shards) if batch.num_rows else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), batch.column("gram"), batch.column("lp")], ["shard", "gram", "lp"])
+
+    def tell(asked: pa.Table, known: pa.Table) -> pa.Table:
+        values = known.column("lp").to_numpy()
+        index = pd.Index(known.column("gram").to_pylist(), dtype=object)
+        out = []
+        for packed in asked.column("grams").to_pylist():
+            codes = np.ascontiguousarray(np.frombuffer(zstandard.decompress(packed), np.uint32).reshape(order, -1).T)
+            text = codes.tobytes().decode("utf-32-le")
+            out.append(values[index.get_indexer([text[i:i + order] for i in range(0, len(text), order)])].astype(np.float32).tobytes())
+        return pa.table({"block": asked.column("block"), "shard": asked.column("shard"), "lp": pa.array(out, pa.binary())})
+
+    asked = blocks.select("block", "grams").mapInArrow(ask, "shard int, block long, grams binary").repartition(2 * shards, "shard")
+    known = lp.mapInArrow(place, "shard int, gram string, lp float").repartition(2 * shards, "shard")
+    told = asked.groupBy("shard").cogroup(known.groupBy("shard")).applyInArrow(tell, "block long, shard int, lp binary")
+    return told.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("shard", "lp"))).alias("lp"))
+
+
 def document_scores(docs: DataFrame, trusted: DataFrame, order: int = ORDER) -> DataFrame:
     """(id, tk, n_symbols, nll): the mean negative log probability of each document's symbols.
 
@@ -196,19 +258,21 @@ def document_scores(docs: DataFrame, trusted: DataFrame, order: int = ORDER) ->
     n-grams once, which is what is shuffled, not the n-grams of every document.
     """
     blocks = text_blocks(docs, order)
+    since = staged_so_far()
     counts = stage(trusted_counts(blocks, trusted, order), "lm-counts")
     tables, weights, unknown = kneser_ney(counts, order)
-    asked = blocks.select("block", F.posexplode("grams").alias("i", "gram"))
-    lp = log_probabilities(stage(asked.select("gram").distinct(), "lm-grams"), tables, weights, unknown, order)
-    answers = lookup_join(asked, lp, ["gram"]).groupBy("block").agg(F.collect_list(F.struct("i", "lp")).alias("lp"))
+    asked = stage(blocks.select(F.explode("grams").alias("gram")).distinct(), "lm-grams")
+    lp = log_probabilities(asked, tables, weights, unknown, order, since)
+    shards = max(1, -(-(blocks.agg(F.sum(F.size("grams"))).first()[0] or 0) // GRAMS_PER_SHARD))
+    answers = _answers(blocks, lp, order, shards)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 grams = Grams(unpack(batch.column("blob")[i].as_py()), order)
-                answer = batch.column("lp")[i].values
-                lp = np.empty(len(answer))
-                lp[answer.field("i").to_numpy()] = answer.field("lp").to_numpy()
+                at, _, _ = _by_shard(_codes(batch.column("grams")[i].as_py(), order), shards)
+                lp = np.empty(len(at))
+                lp[at] = np.frombuffer(b"".join(p["lp"] for p in batch.column("lp")[i].as_py()), np.float32)
                 known, sums, sizes = pd.Index([], dtype="int64"), [], []
                 for key, n, _, _ in grams.chunks():
                     codes, fresh = pd.factorize(key)
@@ -223,7 +287,7 @@ def document_scores(docs: DataFrame, trusted: DataFrame, order: int = ORDER) ->
                     [batch.column("ids")[i].values, batch.column("tks")[i].values, pa.array(size - 1), pa.array(-np.concatenate(sums) / size)],
                     ["id", "tk", "n_symbols", "nll"])
 
-    joined = blocks.select("block", "blob", "ids", "tks").join(answers, "block").select("blob", "ids", "tks", "lp")
+    joined = blocks.select("block", "blob", "grams", "ids", "tks").join(answers, "block").select("blob", "grams", "ids", "tks", "lp")
     return joined.mapInArrow(run, "id long, tk long, n_symbols long, nll double")
 
 
@@ -256,7 +320,8 @@ def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, fence: float =
     trusted = stage(trusted_ids(labels, id_col), "trusted")
     held = F.pmod(F.xxhash64("tk", F.lit(7)), F.lit(FOLDS)) == 0
     sources = stage(distinct_trusted(keyed, trusted), "trusted-texts")
-    scores = stage(document_scores(keyed, sources.filter(~held), order), "lm-scores").dropDuplicates(["id", "tk"])
+    since = staged_so_far()
+    scores = settle(document_scores(keyed, sources.filter(~held), order), "lm-scores", since).dropDuplicates(["id", "tk"])
     facts = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text_col).alias("tk"), F.col(lang_col).cast("string").alias("lang"))
     rows = facts.alias("f").join(scores.alias("s"), F.col("f.id").eqNullSafe(F.col("s.id")) & (F.col("f.tk") == F.col("s.tk"))).select(
         "f.id", "f.tk", "f.lang", "s.n_symbols", "s.nll")
