@@ -1,9 +1,10 @@
+import os
 import re
 
 import pytest
 
 import corpus_pipeline
-from windward.session import stage
+from windward.session import drop_staged, shared_dir, stage, staged_so_far
 
 BASE = "/root/testdata/sf0.001"
 
@@ -73,5 +74,39 @@ def test_encoding_is_lossless(tables):
         assert after.decoded_sha256[i] == hashlib.sha256(before.text[i].encode()).hexdigest() and len(after.ids[i]) == after.n_tokens[i]
 
 
-def test_run_applies_the_stages(spark, tables):
-    assert corpus_pipeline.run(spark, BASE).count() == len(tables["encode"][1])
+def size(folder):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(folder) for f in files)
+
+
+def test_run_applies_the_stages_and_leaves_its_last_table_only(spark, tables):
+    corpus_pipeline._delete_left(spark)
+    folder, since = shared_dir(spark), staged_so_far()
+    before, held = set(os.listdir(folder)), size(folder)
+    listed = {t.name for t in spark.catalog.listTables()}
+    out = corpus_pipeline.run(spark, BASE)
+    assert out.count() == len(tables["encode"][1])
+    new = {name.rsplit("-", 1)[0] for name in set(os.listdir(folder)) - before if not name.startswith(".")}
+    assert new == {"pipeline-encode", "lexicon"}  # executors fetch the lexicon as long as the session lasts
+    lexicons = sum(os.path.getsize(os.path.join(folder, f)) for f in set(os.listdir(folder)) - before if "lexicon-" in f)
+    assert size(folder) - held - lexicons < 3 * os.path.getsize(f"{BASE}/documents.parquet")
+    assert {t.name for t in spark.catalog.listTables()} <= listed
+    assert drop_staged(spark, since) == 1
+
+
+def test_a_stage_keeps_what_its_input_still_reads(spark):
+    docs = spark.read.parquet(f"{BASE}/documents.parquet")
+    steps = dict(corpus_pipeline.STAGES)
+    lines = steps["lines"](spark, docs, BASE)
+    clean = steps["benchmark"](spark, lines, BASE)  # the first one's result is not written
+    assert 0 < clean.count() <= docs.count()
+
+
+def test_null_repeated_and_clashing_rows_pass_all_stages(spark, edges, no_docs):
+    for docs in (edges, no_docs):
+        ids = {r.doc_id for r in docs.collect()}
+        for name, step in corpus_pipeline.STAGES:
+            columns = docs.columns
+            docs = stage(step(spark, docs, BASE), f"test-{name}")
+            assert docs.columns == columns or name == "encode"
+        assert {r.doc_id for r in docs.collect()} <= ids
+    assert docs.count() == 0

@@ -1,6 +1,9 @@
 import zlib
 from collections import Counter
 
+import pytest
+from pyspark.sql import functions as F
+
 from windward.llm.sharding import before_each, shard_documents
 
 
@@ -37,3 +40,26 @@ def test_prefix_sums_over_stretches(spark):
     for i in range(20000):
         assert got[i] == total
         total += i % 7
+
+
+@pytest.mark.parametrize("shards", [8, 3])
+def test_places_against_a_plain_sort(spark, edges, shards):
+    large = spark.range(3000).selectExpr("id doc_id", "repeat('a', int(id % 50)) text", "case when id % 3 = 0 then 'hot' when id % 7 > 0 then concat('s', id % 11) end source")
+    for docs in (edges.select("doc_id", "text", "source"), large):
+        text = F.coalesce("text", F.lit(""))
+        seen = docs.select("doc_id", "source", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).cast("long").alias("crc"))
+        stratum = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null"))
+        rows = seen.select("*", F.xxhash64(F.lit(42), "doc_id", "crc", "size").alias("u"), stratum.alias("s"),
+                           (F.pmod(F.xxhash64(F.lit(42), stratum), F.lit(1 << 20)) / (1 << 20)).alias("phase")).collect()
+        own = lambda r: (r.u, r.doc_id is not None, r.doc_id or 0, r.crc, r.size)
+        placed = []
+        for s in {r.s for r in rows}:
+            ours = sorted((r for r in rows if r.s == s), key=own)
+            placed += [((k + r.phase) / len(ours), r.s, *own(r), r) for k, r in enumerate(ours)]
+        placed.sort(key=lambda x: x[:-1])
+        want, filled = Counter(), Counter()
+        for i, (*_, r) in enumerate(placed):
+            shard = i * shards // len(rows)
+            want[r.doc_id, r.size, r.crc, shard, filled[shard]] += 1
+            filled[shard] += 1
+        assert Counter((r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in shard_documents(docs, shards).collect()) == want

@@ -30,9 +30,10 @@ def brute(rows, limit=0.95):
 
 
 def check(spark, rows, **options):
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, cls long, v string".replace(", label int, cls long, v string", ""))
+    clashing = ", ".join(f"'x' {c}" for c in ("cls", "v", "n", "id", "block", "position", "kept", "component_id", "n_links", "row", "vector"))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").selectExpr("*", *clashing.split(", "))
     want = brute(rows)
-    got = vectors.near_duplicates(df.selectExpr("*", "'x' cls", "'y' v", "1 n"), **options).collect()
+    got = vectors.near_duplicates(df, **options).collect()
     assert sorted(str((r.vec_id, r.n_links, r.component_id)) for r in got) == sorted(
         str((i, *want[i, None if v is None else tuple(v)])) for i, v in rows)
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
