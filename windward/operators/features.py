@@ -41,6 +41,7 @@ class Preset:
         return [*self.numeric, *self.angles, *self.categorical, self.target]
 
 
+# The columns of each preset.
 PRESETS = {
     # The wide set; it contains outcomes of the segment itself.
     "rank_v1": Preset(

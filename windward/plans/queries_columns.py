@@ -97,13 +97,13 @@ COURSES = """(SELECT o_orderkey AS race_id, 'EVENT ' || CAST(o_custkey % 10 AS V
     WHEN 7 THEN 'JUNIOR u19 Women ' || o_orderpriority WHEN 8 THEN 'R' || CAST(o_custkey AS VARCHAR)
   END AS course, o_totalprice AS total_length_m, o_totalprice * 1.05::DOUBLE AS total_dist_m,
   CAST(o_custkey % 500 AS DOUBLE) AS total_time_s FROM orders)"""
+_TOKENS = "|".join([text.U17_PATTERN, text.U19_PATTERN, text.SEX_PATTERN, text.BOARD_PATTERN])
 EXTRACTED = f"""(SELECT race_id, event_name, course AS raw,
   upper(substr(x, 1, 1)) || lower(substr(x, 2)) AS sex,
-  CASE WHEN regexp_matches(course, 'U\\s*19|Under\\s*19|YOUTH', 'i') THEN 'U19'
-       WHEN regexp_matches(course, 'U\\s*17|Under\\s*17|JUNIOR', 'i') THEN 'U17' END AS age_class,
-  trim(regexp_replace(regexp_replace(course,
-    '(U\\s*17|Under\\s*17|JUNIOR|U\\s*19|Under\\s*19|YOUTH|Men|Women|IQfoil)', '', 'gi'), '\\s+', ' ', 'g')) AS course
-  FROM (SELECT *, nullif(regexp_extract(course, '(Men|Women)', 1, 'i'), '') AS x FROM {COURSES}))"""
+  CASE WHEN regexp_matches(course, '{text.U19_PATTERN}', 'i') THEN 'U19'
+       WHEN regexp_matches(course, '{text.U17_PATTERN}', 'i') THEN 'U17' END AS age_class,
+  trim(regexp_replace(regexp_replace(course, '({_TOKENS})', '', 'gi'), '\\s+', ' ', 'g')) AS course
+  FROM (SELECT *, nullif(regexp_extract(course, '({text.SEX_PATTERN})', 1, 'i'), '') AS x FROM {COURSES}))"""
 
 
 @query(f"""SELECT race_id, course FROM {COURSES}

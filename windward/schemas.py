@@ -7,8 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# Statistics tag -> our column name.
-RACER_TAGS = {
+# Statistics tag -> our column name. Any of them may stand in a racer or in a segment.
+STAT_TAGS = {
     "Seriale": "serial_no",
     "Nome": "athlete_name",
     "TotTempPerc": "total_time_s",
@@ -22,8 +22,6 @@ RACER_TAGS = {
     "AvgVMG": "avg_vmg",
     "AvgVMC": "avg_vmc",
     "AvgSpeed": "avg_speed_kn",
-}
-SEGMENT_TAGS = {
     "SegNum": "segment_no",
     "CrtRaceSegSX": "port_pct",
     "CrtRaceSegDX": "starboard_pct",
@@ -37,7 +35,6 @@ SEGMENT_TAGS = {
     "SegEnteredRank": "rank_entry",
     "SegExitRank": "rank_exit_scraped",
 }
-STAT_TAGS = {**RACER_TAGS, **SEGMENT_TAGS}
 
 RACE_COLUMNS = ["race_id", "event_name", "event_location", "course", "race_date", "wind_dir_site"]
 FIRST_COLUMNS = RACE_COLUMNS + ["athlete_name", "serial_no"]
@@ -127,7 +124,7 @@ WEATHER_HOURLY = T.StructType([
 ])
 WEATHER_KEY = ["day", "month", "year", "time", "city"]
 
-# The processed layer in its fixed order, for sources that name columns by position.
+# The processed layer in its order, for sources that name columns by position.
 PROCESSED_COLUMNS = [
     "race_id", "event_name", "event_location", "course", "race_date", "wind_dir_site",
     "athlete_name", "serial_no", "total_time_s", "total_length_m", "total_dist_m",
