@@ -141,6 +141,15 @@ def test_each_document_is_read_once(spark):
     assert plan.count("<!--.*?-->") == 1 and "from_xml" not in plan and "Python" not in plan
 
 
+def test_what_is_read_of_a_document_is_not_copied_again(spark, rows):
+    """An element of a transformed array is copied with all it holds, so values that are computed once go another way."""
+    plan = race_xml.parse_races(spark.createDataFrame([("r", DOC)], "race_id string, xml string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "transform(array(" not in plan
+    doc = "<a>" + R % "<Nome> É b\t c \n</Nome><Seriale>\n</Seriale><Sériale.é-1>x</Sériale.é-1><cInfoRaceSegment>\n<SegNum> 1  2 </SegNum>\n</cInfoRaceSegment>" + "</a>"
+    races = spark.createDataFrame([("r", doc)], "race_id string, xml string")
+    assert rows(race_xml.parse_races(races), "athlete_name", "serial_no", "segment_no") == [("É b\t c", None, "1  2")]
+
+
 @pytest.mark.parametrize("raw, want", [
     ('<?xml version="1.0"?>\n<string xmlns="x"><a/></string>\n', "<a/>"),
     ("<a><string>inner</string>tail</a>", "<a>inner"),
