@@ -4,6 +4,7 @@ import os
 import subprocess
 import sys
 
+import pyspark
 import pytest
 
 from windward import session
@@ -57,3 +58,24 @@ def test_a_folder_that_loses_rows_is_not_used(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(session, "_lost_rows", lambda *_: 3)
     with pytest.raises(ValueError, match="all executors share"):
         session.shared_dir(_Cluster(spark, "both lost", **conf))
+
+
+def test_a_folder_the_executors_cannot_write_is_not_used(spark, tmp_path):
+    conf = {"spark.checkpoint.dir": "/proc/none/kept", "spark.sql.warehouse.dir": f"{tmp_path}/tables"}
+    assert session.shared_dir(_Cluster(spark, "one closed", **conf)) == f"{tmp_path}/tables/windward-staged"
+    assert os.listdir(tmp_path / "tables/windward-staged") == []
+    with pytest.raises(ValueError, match="cannot write there"):
+        session.shared_dir(_Cluster(spark, "both closed", **conf | {"spark.sql.warehouse.dir": "/proc/none/tables"}))
+
+
+def test_executors_of_their_own_pass_over_a_folder_that_each_has_for_itself(tmp_path):
+    (tmp_path / "home").mkdir()
+    for part in os.listdir(os.path.dirname(pyspark.__file__)):
+        if part != "work":  # executors work in Spark's home
+            (tmp_path / "home" / part).symlink_to(os.path.join(os.path.dirname(pyspark.__file__), part))
+    conf = {"spark.sql.warehouse.dir": f"file://{tmp_path}/tables", "spark.driver.host": "127.0.0.1", "spark.executor.memory": "1g",
+            "spark.checkpoint.dir": "/proc/self/cwd/kept"}
+    out = subprocess.run([sys.executable, "-c", JOB, *[f"{k}={v}" for k, v in conf.items()]], cwd=tmp_path, capture_output=True, text=True, timeout=300,
+                         env=os.environ | {"PYTHONPATH": ROOT, "SPARK_CONF_DIR": str(tmp_path), "SPARK_HOME": str(tmp_path / "home"), "SPARK_SCALA_VERSION": "2.13"})
+    told = next((line for line in out.stdout.splitlines() if line.startswith("rows ")), out.stderr[-2000:])
+    assert told.replace("file:///", "file:/") == f"rows 1000 file:{tmp_path}/tables/windward-staged"
