@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from windward import session
 from windward.operators import distributions, upsert, weather
 from windward.operators.counted import StepCounts
 from windward.plans import collect, enrich
@@ -124,6 +125,22 @@ def test_segments_stay_when_there_is_no_weather_at_all(spark):
     assert some.count() == 4
 
 
+@pytest.mark.parametrize("most", [2, 100])
+def test_staged_segments_are_as_landed_and_met_in_parts(spark, monkeypatch, most):
+    weather_ = readings(spark, ("10:00:00", 20.0, 8.0), ("20:00:00", 15.0, 0.0))
+    many = landed(spark).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(3))))
+    monkeypatch.setattr(enrich, "PART_ROWS", most)
+    since = session.staged_so_far()
+    out = enrich.enrich_segments(many, weather_)
+    tables_ = [spark.read.parquet(path) for path, _ in session._STAGED[since:]]
+    assert not [t for t in tables_ if {"segment_speed_kn", "segment_mid_clock", "lat_key"} & set(t.columns)]
+    assert len(tables_) > 2 if most == 2 else [len(t.columns) for t in tables_][0] == len(many.columns) + 1
+    assert sum(t.count() for t in tables_) == (12 if most == 2 else 15 + 12)
+    assert sorted((r["o"], r["copy"], r["temperature_c"], r["rank_segment"], r["segment_mid_clock"]) for r in out.collect()) == sorted(
+        (r["o"], c, r["temperature_c"], 1 + 3 * (r["rank_segment"] - 1), r["segment_mid_clock"])
+        for r in enrich.enrich_segments(landed(spark), weather_).collect() for c in (1, 2, 3))
+
+
 def test_weather_hours_cover_the_midnight_end(spark):
     hours = enrich.weather_hours(landed(spark))
     assert {str(r[0]) for r in hours.select("day").distinct().collect()} == {"2024-05-01", "2024-05-02"}
