@@ -101,6 +101,15 @@ def test_edges(edges, spark):
     assert kept.columns == edges.columns and kept.filter("text is null").count() == 3
 
 
+def test_texts_without_symbols_stay_beside_trusted_ones(frame, make_words):
+    docs = frame([(i, make_words(3000 + i, 40)) for i in range(60)] + [(100, ""), (101, None), (102, " \n ")])
+    labels = docs.filter("doc_id < 60").select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    got = {r.doc_id: r for r in quality.judge(docs, labels).collect()}
+    assert len(got) == 63
+    for i in (100, 101, 102):
+        assert (got[i].n_symbols, got[i].perplexity, got[i].rejected) == (0, None, False) and got[i].threshold > 1
+
+
 def test_copies_do_not_move_the_thresholds(frame, spark, make_words):
     # In one language a third of the rows are copies of one text, in the other three quarters.
     distinct = [(i, make_words(1000 + i, 60)) for i in range(400)]

@@ -336,7 +336,7 @@ def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, fence: float =
     overall = quartiles([], "all", 1).first() or [None, None]  # one row
     out = lookup_join(lookup_join(rows, quartiles(["l", "size"], "size"), ["l", "size"]), quartiles(["l"], "lang"), ["l"])
     # Beside a class of its own length, a short text is allowed the wider scatter of few symbols.
-    wide = fence * F.sqrt(F.greatest(F.lit(1.0), F.lit(SHORT) / F.col("n_symbols")))
+    wide = fence * F.sqrt(F.greatest(F.lit(1.0), F.try_divide(F.lit(SHORT), F.col("n_symbols"))))
     limit = F.coalesce(F.col("size_top") + fence * F.col("size_range"), F.col("lang_top") + wide * F.col("lang_range"),
                        F.lit(overall[0]).cast("double") + wide * F.lit(overall[1]).cast("double"))
     return out.select(F.col("id").alias("doc_id"), F.col("tk").alias("text_key"), "lang", "n_symbols",
